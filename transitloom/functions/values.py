@@ -42,3 +42,13 @@ def is_number(df: DataFrame, column: str) -> Column:
 def present_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Those of ``columns`` that ``df`` has, in the given order."""
     return [name for name in columns if name in df.columns]
+
+
+def once(column: Column) -> Column:
+    """``column`` computed once per row, to be selected under an alias.
+
+    The optimizer copies a projected expression into every filter above it that uses
+    it, which would parse the same text again for each use. It does not look through a
+    generator, so the value passes through one of a single element.
+    """
+    return F.explode(F.array(column))

@@ -12,7 +12,7 @@ from transitloom.functions.times import (
     epoch_date,
     reformat_date,
 )
-from transitloom.functions.values import clamp_non_negative, topic_segment
+from transitloom.functions.values import clamp_non_negative, once, topic_segment
 from transitloom.schemas import RAW_VEHICLE_ENVELOPE, RAW_WEATHER
 
 _CORRUPT = "_corrupt"
@@ -64,10 +64,12 @@ def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload"
     parsed = raw.select(
         F.col(topic).alias("topic"),
         F.col(payload).alias("payload"),
-        F.from_json(
-            payload,
-            _with_corrupt(RAW_VEHICLE_ENVELOPE),
-            {"columnNameOfCorruptRecord": _CORRUPT},
+        once(
+            F.from_json(
+                payload,
+                _with_corrupt(RAW_VEHICLE_ENVELOPE),
+                {"columnNameOfCorruptRecord": _CORRUPT},
+            )
         ).alias("message"),
     )
     vp = F.col("message.VP")
@@ -189,7 +191,7 @@ def normalize_weather(
     A document without its time, main, wind or clouds block, or without any weather
     entry, is left out.
     """
-    document = raw.select(F.from_json(payload, RAW_WEATHER).alias("w")).select("w.*")
+    document = raw.select(once(F.from_json(payload, RAW_WEATHER)).alias("w")).select("w.*")
     first = F.get("weather", F.lit(0))
     visibility = F.when(F.col("visibility").isNull(), F.lit("N/A")).otherwise(
         F.try_variant_get("visibility", "$", "string")

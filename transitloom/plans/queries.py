@@ -174,9 +174,11 @@ _FLAT = [
 
 @_query
 def json_parse(spark, sf_dir):
-    parsed = parse_json(decode_value(_vehicle_records(spark, sf_dir)), VEHICLE)
+    fields = ["vehicle_id", "route", "journey_id", "timestamp_seconds", "speed", "occupancy"]
+    messages = decode_value(_vehicle_records(spark, sf_dir))
+    parsed = parse_json(messages, VEHICLE, columns=[*fields, "location"])
     return parsed.select(
-        "vehicle_id", "route", "journey_id", "timestamp_seconds", "speed", "occupancy",
+        *fields,
         F.col("location.latitude").alias("vehicle_latitude"),
         F.col("location.longitude").alias("vehicle_longitude"),
     )
