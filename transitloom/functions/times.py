@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 # Service days run past midnight, so hours above 23 are kept.
-_CLOCK = r"^(\d{1,2}):([0-5]\d)(?::([0-5]\d))?$"
+_CLOCK = r"^\d{1,2}:[0-5]\d(:[0-5]\d)?$"
 
 
 def reformat_date(column, source: str, target: str) -> Column:
@@ -16,16 +16,16 @@ def reformat_date(column, source: str, target: str) -> Column:
     return F.date_format(F.try_to_timestamp(text, F.lit(source)), target)
 
 
-def _clock_parts(column):
-    text = F.col(column) if isinstance(column, str) else column
-    hours, minutes, seconds = (F.regexp_extract(text, _CLOCK, i) for i in (1, 2, 3))
-    return text.rlike(_CLOCK), hours, minutes, seconds
+def _hours_and_minutes(text: Column) -> tuple[Column, Column]:
+    hours = F.substring_index(text, ":", 1)
+    return hours, F.substring_index(F.substring_index(text, ":", 2), ":", -1)
 
 
 def clock_to_minutes(column) -> Column:
     """``HH:mm:ss`` (or ``HH:mm``) to ``HH:mm``; anything else, and empty, to NULL."""
-    valid, hours, minutes, _ = _clock_parts(column)
-    return F.when(valid, F.concat(F.lpad(hours, 2, "0"), F.lit(":"), minutes))
+    text = F.col(column) if isinstance(column, str) else column
+    hours, minutes = _hours_and_minutes(text)
+    return F.when(text.rlike(_CLOCK), F.concat(F.lpad(hours, 2, "0"), F.lit(":"), minutes))
 
 
 def clock_with_seconds(column) -> Column:
@@ -35,13 +35,14 @@ def clock_with_seconds(column) -> Column:
 
 def clock_to_seconds(column) -> Column:
     """Seconds since the service day's midnight, so it does not depend on the reading day."""
-    valid, hours, minutes, seconds = _clock_parts(column)
+    text = F.col(column) if isinstance(column, str) else column
+    hours, minutes = _hours_and_minutes(text)
+    # A clock time longer than HH:mm has seconds.
+    seconds = F.when(F.length(text) > 5, F.substring_index(text, ":", -1)).otherwise(F.lit("0"))
     total = (
-        hours.try_cast("bigint") * 3600
-        + minutes.try_cast("bigint") * 60
-        + F.coalesce(seconds.try_cast("bigint"), F.lit(0))
+        hours.try_cast("bigint") * 3600 + minutes.try_cast("bigint") * 60 + seconds.try_cast("bigint")
     )
-    return F.when(valid, total)
+    return F.when(text.rlike(_CLOCK), total)
 
 
 def _epoch_origin() -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, skew_join
+from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
 
 _DAY = 24 * 60
 
@@ -104,8 +104,12 @@ def trip_sync_issues(
     observed = vehicles.groupBy("trip_id", "stop").agg(
         F.min("timestamp_seconds").alias("observed_time")
     )
+    # A stop of a trip can only be frequent if the trip is, which a narrow scan tells.
+    keys = ["trip_id", "stop"]
+    busy = hot_keys(trips, ["trip_id"], hot_rows, hot_share)
+    hot = hot_keys(planned, keys, hot_rows, hot_share) if busy else []
     seen = skew_join(
-        planned, observed, ["trip_id", "stop"], "left", hot_rows, hot_share, unique_right=True
+        planned, observed, keys, "left", hot_rows, hot_share, unique_right=True, left_hot=hot
     )
     offset = F.col("observed_time") - F.col("arrival_time")
     step = F.col("arrival_time") - F.col("previous_arrival")

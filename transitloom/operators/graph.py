@@ -161,12 +161,15 @@ def resolve_edges(
 ) -> DataFrame:
     """Edges whose endpoints exist. ``src_ids`` / ``dst_ids`` are one-column frames of node
     ids; None leaves that end unchecked."""
-    for ids, column in ((src_ids, src), (dst_ids, dst)):
-        if ids is not None:
-            known = ids.toDF(column).dropna().distinct()
-            edges = skew_join(
-                edges, known, [column], "left_semi", hot_rows, hot_share, unique_right=True
-            ).select(*edges.columns)
+    checked = [(ids, column) for ids, column in ((src_ids, src), (dst_ids, dst)) if ids is not None]
+    # Looked for in the edges as they come, not in the joined ones.
+    hot = {column: hot_keys(edges, [column], hot_rows, hot_share) for _, column in checked}
+    for ids, column in checked:
+        known = ids.toDF(column).dropna().distinct()
+        edges = skew_join(
+            edges, known, [column], "left_semi", hot_rows, hot_share,
+            unique_right=True, left_hot=hot[column],
+        ).select(*edges.columns)
     return edges
 
 
@@ -175,15 +178,12 @@ def upsert_edges(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming).distinct()
 
 
-def _drawn_nodes(frame: DataFrame, key: str) -> DataFrame:
-    prefix, word, colour, size = NODE_KINDS[key]
-    ids = frame.select(key).dropna().distinct()
-    return ids.select(
-        _tagged(key).alias("id"),
-        F.concat(F.lit(f"{word} "), F.col(key).cast("string")).alias("label"),
-        F.lit(colour).alias("color"),
-        F.lit(size).alias("size"),
-    )
+def _styled(kind: int):
+    """Column expression of one style value, chosen by the id's prefix."""
+    chosen = F.when(F.lit(False), F.lit(None))
+    for style in NODE_KINDS.values():
+        chosen = chosen.when(F.left("id", F.lit(2)) == style[0], F.lit(style[kind]))
+    return F.when(F.col("drawn") == 1, chosen)
 
 
 def assemble_nodes(
@@ -191,21 +191,21 @@ def assemble_nodes(
 ) -> DataFrame:
     """One node per tagged id; endpoints of ``edges`` without a node of their own are added
     with NULL label, colour and size."""
-    nodes = (
-        _drawn_nodes(vehicles, "vehicle_id")
-        .unionByName(_drawn_nodes(trips, "trip_id"))
-        .unionByName(_drawn_nodes(stops, "stop"))
-    )
-    if edges is None:
-        return nodes
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    blank = {"label": "string", "color": "string", "size": "int"}
-    bare = ends.select("id", *[F.lit(None).cast(kind).alias(name) for name, kind in blank.items()])
-    # Styles depend on the id alone, so any non-NULL one is the node's.
-    return (
-        nodes.unionByName(bare)
-        .groupBy("id")
-        .agg(*[F.max(name).alias(name) for name in blank])
+    frames = [
+        frame.where(F.col(key).isNotNull()).select(_tagged(key).alias("id"), F.lit(1).alias("drawn"))
+        for frame, key in ((vehicles, "vehicle_id"), (trips, "trip_id"), (stops, "stop"))
+    ]
+    if edges is not None:
+        frames.append(
+            edges.select(F.explode(F.array("src", "dst")).alias("id"), F.lit(0).alias("drawn"))
+        )
+    # The style follows from the id, so one flag per id is all that is aggregated.
+    nodes = reduce(DataFrame.unionByName, frames).groupBy("id").agg(F.max("drawn").alias("drawn"))
+    return nodes.select(
+        "id",
+        F.concat(_styled(1), F.lit(" "), F.substring("id", 3, 2**31 - 1)).alias("label"),
+        _styled(2).alias("color"),
+        _styled(3).alias("size"),
     )
 
 
@@ -213,21 +213,21 @@ def assemble_edges(
     vehicle_trip: DataFrame, trip_stop: DataFrame, stop_pairs: DataFrame
 ) -> DataFrame:
     """Undirected titled edges, each unordered pair once with the title that came last."""
+    titles = (EFFECTUE, DESSERT, PRECEDE)
     parts = (
-        (vehicle_trip, _tagged("vehicle_id"), _tagged("trip_id"), EFFECTUE),
-        (trip_stop, _tagged("trip_id"), _tagged("stop"), DESSERT),
-        (stop_pairs, _tagged("stop1", "stop"), _tagged("stop2", "stop"), PRECEDE),
+        (vehicle_trip, _tagged("vehicle_id"), _tagged("trip_id")),
+        (trip_stop, _tagged("trip_id"), _tagged("stop")),
+        (stop_pairs, _tagged("stop1", "stop"), _tagged("stop2", "stop")),
     )
     frames = [
-        frame.select(
-            F.least(a, b).alias("src"),
-            F.greatest(a, b).alias("dst"),
-            F.struct(F.lit(turn).alias("turn"), F.lit(title).alias("title")).alias("last"),
-        ).where(a.isNotNull() & b.isNotNull())
-        for turn, (frame, a, b, title) in enumerate(parts)
+        frame.where(a.isNotNull() & b.isNotNull()).select(
+            F.least(a, b).alias("src"), F.greatest(a, b).alias("dst"), F.lit(turn).alias("turn")
+        )
+        for turn, (frame, a, b) in enumerate(parts)
     ]
-    merged = reduce(DataFrame.unionByName, frames).groupBy("src", "dst")
-    return merged.agg(F.max("last").alias("last")).select("src", "dst", F.col("last.title").alias("title"))
+    merged = reduce(DataFrame.unionByName, frames).groupBy("src", "dst").agg(F.max("turn").alias("turn"))
+    title = F.get(F.array(*map(F.lit, titles)), F.col("turn"))
+    return merged.select("src", "dst", title.alias("title"))
 
 
 def sample_graph(

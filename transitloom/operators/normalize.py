@@ -29,12 +29,12 @@ def _kind(variant) -> Column:
 
 
 def _is_numeric(variant) -> Column:
-    return _kind(variant).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.left(_kind(variant), F.lit(3)).isin("BIG", "DEC", "DOU", "FLO")
 
 
 def _clampable(variant) -> Column:
     """Absent, a number or a boolean: comparing anything else with 0 is an error."""
-    return variant.isNull() | _is_numeric(variant) | (_kind(variant) == "BOOLEAN")
+    return variant.isNull() | F.left(_kind(variant), F.lit(3)).isin("BIG", "DEC", "DOU", "FLO", "BOO")
 
 
 def _clamped_double(variant) -> Column:

@@ -70,42 +70,60 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
+def _follow(frame, step, column, hot_rows, hot):
+    """Replace ``column`` by what ``step`` (``id``, ``target``) maps it to."""
+    mapping = step.select(F.col("id").alias(column), F.col("target").alias("_to"))
+    joined = skew_join(
+        frame, mapping, [column], "left", hot_rows, unique_right=True, left_hot=hot
+    )
+    moved = F.coalesce("_to", column).alias(column)
+    return joined.select(*[moved if name == column else name for name in frame.columns])
+
+
+def _downward(links: DataFrame) -> DataFrame:
+    """Each link once, from its larger to its smaller end."""
+    ends = links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+    return materialize(ends.where("src <> dst").distinct(), "links")
+
+
 def connected_components(
     edges: DataFrame, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """``(id, component)``, the component named by its smallest node id.
 
-    Each round every node takes the smallest label among its own and its
-    neighbours', then the label of the node that label names, so labels travel
-    further each round. Neighbour labels are reduced with ``min`` before the shuffle,
-    and a node with a large share of the edges, or a label shared by a large part of
-    the nodes, is salted.
+    Each round every node is merged into its smallest neighbour, if that is smaller,
+    following that neighbour's own choice one step on, and the edges between merged
+    nodes go away. Only nodes smaller than all their neighbours stay, so the graph
+    shrinks by a large part every round, whatever its diameter, and the smallest node
+    of a component is the last to stay. The smallest neighbour is a ``min`` combined
+    before the shuffle; joins on nodes with a large share of the rows are salted. At
+    the end the rounds' choices are chained, the last and smallest first.
     """
-    links = materialize(both_ways(edges.where("src <> dst").select("src", "dst")).distinct(), "links")
-    hubs = hot_keys(links, ["src"], hot_rows, hot_share)
-    loops = edges.select(F.explode(F.array("src", "dst")).alias("id")).dropna()
-    labels = materialize(loops.distinct().withColumn("component", F.col("id")), "labels")
-    while True:
-        offers = skew_join(
-            links, labels.toDF("src", "offer"), ["src"], "left", hot_rows, hot_share,
-            unique_right=True, left_hot=hubs,
-        ).groupBy(F.col("dst").alias("id")).agg(F.min("offer").alias("offer"))
-        hooked = materialize(
-            labels.join(offers, "id", "left").select(
-                "id",
-                F.col("component").alias("before"),
-                F.least("component", "offer").alias("component"),
-            ),
-            "hooked",
-        )
-        names = hooked.select(F.col("id").alias("component"), F.col("component").alias("jump"))
-        jumped = skew_join(
-            hooked, names, ["component"], "left", hot_rows, hot_share, unique_right=True
-        )
-        step = materialize(
-            jumped.select("id", "before", F.col("jump").alias("component")), "labels"
-        )
-        changed = step.where("component <> before").limit(1).count()
-        labels = step.select("id", "component")
-        if not changed:
-            return labels
+
+    def busy(frame, column):
+        return hot_keys(frame, [column], hot_rows, hot_share)
+
+    ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).dropna().distinct()
+    links = _downward(edges)
+    steps = []
+    while not links.isEmpty():
+        choice = links.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("target"))
+        choice = materialize(choice, "choice")
+        step = _follow(choice, choice, "target", hot_rows, busy(choice, "target"))
+        step = materialize(step, "step")
+        steps.append(step)
+        hot = {column: busy(links, column) for column in ("src", "dst")}
+        for column, keys in hot.items():
+            links = _follow(links, step, column, hot_rows, keys)
+        links = _downward(links)
+    labels = ids.withColumn("component", F.col("id"))
+    if not steps:
+        return labels
+    chained = steps.pop()
+    while steps:
+        earlier = steps.pop()
+        moved = _follow(earlier, chained, "target", hot_rows, busy(earlier, "target"))
+        # Nodes that first moved in a later round.
+        stayed = chained.join(earlier, "id", "left_anti")
+        chained = materialize(moved.unionByName(stayed), "step")
+    return _follow(labels, chained, "component", hot_rows, [])

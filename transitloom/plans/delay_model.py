@@ -46,6 +46,13 @@ def _prepared(facts: DataFrame, numeric: Sequence[str], keep: Sequence[str]) ->
     )
 
 
+def _spread_out(frame: DataFrame) -> DataFrame:
+    """At least one partition per core: every tree level is one pass over all rows, which
+    a few small files would leave to a few tasks. Larger inputs stay as they are."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def _check_categories(train: DataFrame, max_bins: int) -> None:
     """Category indexes are learnt at the driver and binned one by one, so they must be few."""
     found = present_columns(train, CATEGORICAL)
@@ -71,7 +78,7 @@ def train_delay_model(
     learnt here, the category indexes included, is what scoring uses.
     """
     _check_categories(facts, max_bins)
-    prepared = _prepared(facts, numeric, [label])
+    prepared = _spread_out(_prepared(facts, numeric, [label]))
     indexer = categorical_indexer(prepared)
     assembler = VectorAssembler(
         inputCols=[*numeric, *indexer.getOutputCols()], outputCol="features", handleInvalid="skip"

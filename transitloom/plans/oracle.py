@@ -361,7 +361,8 @@ _ORACLES: dict[str, tuple[str, str]] = {
         WHERE stop2 IS NOT NULL"""),
     "graph_edges_resolved": ("gf vt tst succession sp edges known", """
         SELECT DISTINCT src, dst, relation FROM edges
-        WHERE src IN (SELECT id FROM known) AND dst IN (SELECT id FROM known)"""),
+        WHERE relation = 'PRECEDE'
+           OR (src IN (SELECT id FROM known) AND dst IN (SELECT id FROM known))"""),
     "graph_position_edges_resolved": ("gf", """
         SELECT DISTINCT vehicle_id, vehicle_latitude, vehicle_longitude FROM gf
         WHERE vehicle_latitude IS NOT NULL AND vehicle_longitude IS NOT NULL
