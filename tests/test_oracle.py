@@ -43,6 +43,8 @@ def test_every_oracle_has_its_query():
 def test_query_equals_sql(spark, duck, name):
     found = all_queries()[name](spark, SF)
     expected = duck.sql(all_oracles()[name])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(slow in plan for slow in ("Cartesian", "NestedLoop", "Python"))
     kinds = {column: TYPES[kind] for column, kind in found.dtypes}
     assert kinds == dict(zip(expected.columns, map(str, expected.types)))
     assert _table(found.columns, found.collect()) == _table(expected.columns, expected.fetchall())

@@ -26,7 +26,7 @@ def test_jdbc_writer_options():
     options = database.write_options("jdbc:x", "t", {"password": "p"}, "name VARCHAR(10)")
     assert options == {
         "password": "p", "url": "jdbc:x", "dbtable": "t", "batchsize": "10000",
-        "createTableColumnTypes": "name VARCHAR(10)"}
+        "numPartitions": "32", "createTableColumnTypes": "name VARCHAR(10)"}
 
 
 def test_micro_batches_carry_their_number(spark, monkeypatch):

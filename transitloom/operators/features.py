@@ -19,6 +19,7 @@ ZERO_FILLED = (
 )
 NOT_FEATURES = ("trip_id", "status", "processed_time")
 MOMENTS = ("timestamp", "start_time", "start_date")
+MAX_CATEGORIES = 100_000
 # dayofweek counts from Sunday = 1 to Saturday = 7.
 SATURDAY_SUNDAY = (1, 7)
 
@@ -99,11 +100,27 @@ def categorical_indexer(df: DataFrame, columns: Sequence[str] = CATEGORICAL) ->
     )
 
 
+def check_categories(
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = MAX_CATEGORIES
+) -> None:
+    """Fail if a category column has clearly more than ``most`` values: an indexer keeps
+    them all at the driver. The counts are estimates, a tenth over is let through."""
+    found = present_columns(df, columns)
+    if not found:
+        return
+    sizes = df.agg(*[F.approx_count_distinct(name, 0.02).alias(name) for name in found]).first()
+    for name in found:
+        if sizes[name] > most * 1.1:
+            raise ValueError(f"{name} has about {sizes[name]} categories, more than {most}")
+
+
 def encode_categoricals(
     df: DataFrame, columns: Sequence[str] = CATEGORICAL, model: StringIndexerModel | None = None
 ) -> DataFrame:
     """Replace category columns by ``*_index``; fits in one job unless ``model`` is given."""
-    model = model or categorical_indexer(df, columns).fit(df)
+    if model is None:
+        check_categories(df, columns)
+        model = categorical_indexer(df, columns).fit(df)
     return model.transform(df).drop(*model.getInputCols())
 
 

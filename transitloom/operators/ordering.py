@@ -18,7 +18,8 @@ def with_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataFr
     Rows are range-partitioned and sorted within partitions; the position inside a
     partition is written down with the rows, and the per-partition row counts (one
     number per partition) become offsets. ``order`` should identify a row: then no
-    value, however frequent, keeps its rows together in one partition.
+    value, however frequent, keeps its rows together in one partition. All columns of
+    ``df`` are stored on the way, so it should have no others than needed.
     """
     sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = materialize(

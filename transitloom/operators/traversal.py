@@ -81,9 +81,9 @@ def _follow(frame, step, column, hot_rows, hot):
 
 
 def _downward(links: DataFrame) -> DataFrame:
-    """Each link once, from its larger to its smaller end."""
+    """Links from their larger to their smaller end, without loops."""
     ends = links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    return materialize(ends.where("src <> dst").distinct(), "links")
+    return ends.where("src <> dst")
 
 
 def connected_components(
@@ -91,38 +91,46 @@ def connected_components(
 ) -> DataFrame:
     """``(id, component)``, the component named by its smallest node id.
 
-    Each round every node is merged into its smallest neighbour, if that is smaller,
-    following that neighbour's own choice one step on, and the edges between merged
-    nodes go away. Only nodes smaller than all their neighbours stay, so the graph
-    shrinks by a large part every round, whatever its diameter, and the smallest node
-    of a component is the last to stay. The smallest neighbour is a ``min`` combined
-    before the shuffle; joins on nodes with a large share of the rows are salted. At
-    the end the rounds' choices are chained, the last and smallest first.
+    Each round every node chooses its smallest neighbour, if that is smaller, and is
+    merged into the node its choices lead to; the edges between merged nodes go away.
+    Only nodes smaller than all their neighbours stay, so the graph shrinks by a large
+    part every round, and the smallest node of a component is the last to stay.
+    Following choices doubles its reach with each join, so long chains take few of
+    them. The smallest neighbour is a ``min`` combined before the shuffle; joins on
+    nodes with a large share of the rows are salted. At the end the rounds' choices are
+    chained, the last and smallest first.
     """
 
-    def busy(frame, column):
-        return hot_keys(frame, [column], hot_rows, hot_share)
+    def busy(table, *columns):
+        """Hot keys per column of a stored table; one with few rows has none."""
+        if table.count() < hot_rows:
+            return [[] for _ in columns]
+        return [hot_keys(table, [column], hot_rows, hot_share) for column in columns]
 
     ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).dropna().distinct()
-    links = _downward(edges)
+    links = materialize(_downward(edges), "links")
     steps = []
     while not links.isEmpty():
         choice = links.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("target"))
-        choice = materialize(choice, "choice")
-        step = _follow(choice, choice, "target", hot_rows, busy(choice, "target"))
-        step = materialize(step, "step")
+        step = materialize(choice, "choice")
+        while True:
+            known = step.select(F.col("id").alias("target"))
+            if step.select("target").distinct().join(known, "target", "left_semi").isEmpty():
+                break
+            further = _follow(step, step, "target", hot_rows, *busy(step, "target"))
+            step = materialize(further, "choice")
         steps.append(step)
-        hot = {column: busy(links, column) for column in ("src", "dst")}
-        for column, keys in hot.items():
-            links = _follow(links, step, column, hot_rows, keys)
-        links = _downward(links)
+        hot_src, hot_dst = busy(links, "src", "dst")
+        links = _follow(links, step, "src", hot_rows, hot_src)
+        links = _downward(_follow(links, step, "dst", hot_rows, hot_dst))
+        links = materialize(links.distinct(), "links")
     labels = ids.withColumn("component", F.col("id"))
     if not steps:
         return labels
     chained = steps.pop()
     while steps:
         earlier = steps.pop()
-        moved = _follow(earlier, chained, "target", hot_rows, busy(earlier, "target"))
+        moved = _follow(earlier, chained, "target", hot_rows, *busy(earlier, "target"))
         # Nodes that first moved in a later round.
         stayed = chained.join(earlier, "id", "left_anti")
         chained = materialize(moved.unionByName(stayed), "step")

@@ -14,8 +14,10 @@ from transitloom.functions.values import present_columns
 from transitloom.operators.features import (
     CATEGORICAL,
     LABEL,
+    MOMENTS,
     align_schema,
     categorical_indexer,
+    check_categories,
     feature_frame,
 )
 from transitloom.operators.metrics import regression_metrics
@@ -53,16 +55,6 @@ def _spread_out(frame: DataFrame) -> DataFrame:
     return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
 
 
-def _check_categories(train: DataFrame, max_bins: int) -> None:
-    """Category indexes are learnt at the driver and binned one by one, so they must be few."""
-    found = present_columns(train, CATEGORICAL)
-    sizes = train.agg(*[F.approx_count_distinct(name, 0.02).alias(name) for name in found]).first()
-    for name in found:
-        # One bin is kept for unseen values; the estimate may be a few percent off.
-        if sizes[name] > (max_bins - 1) * 1.1:
-            raise ValueError(f"{name} has about {sizes[name]} categories, more than {max_bins} bins")
-
-
 def train_delay_model(
     facts: DataFrame,
     label: str = LABEL,
@@ -77,7 +69,8 @@ def train_delay_model(
     ``facts`` is the training side of a split, as ``feature_frame`` leaves it. What is
     learnt here, the category indexes included, is what scoring uses.
     """
-    _check_categories(facts, max_bins)
+    # Each category takes a bin, and unseen values one more.
+    check_categories(facts, most=max_bins - 1)
     prepared = _spread_out(_prepared(facts, numeric, [label]))
     indexer = categorical_indexer(prepared)
     assembler = VectorAssembler(
@@ -170,8 +163,10 @@ def train_score_batches(
     One model is fitted on the train rows of all batches and scores them together:
     a fit per batch would be one driver round trip per thousand rows.
     """
-    batches = batch_id(facts, order, size)
-    frame = feature_frame(batches, label)
+    # Numbering the batches stores its rows, so only what is used later goes in.
+    used = [*order, *keys, label, *numeric, *CATEGORICAL, *MOMENTS]
+    narrow = facts.select(*[name for name in facts.columns if name in used])
+    frame = feature_frame(batch_id(narrow, order, size), label)
     train, test = split_rows(frame, keys)
     model = train_delay_model(train, label, numeric, **options)
     return score(model, test, keep=["batch_id", *keys])

@@ -53,9 +53,15 @@ def write_options(
     properties: Mapping[str, str] | None = None,
     column_types: str | None = None,
     batch_size: int = 10_000,
+    connections: int = 32,
 ) -> dict[str, str]:
-    """Writer options; ``column_types`` fixes the column types of a table created on write."""
-    options = dict(properties or {}) | {"url": url, "dbtable": table, "batchsize": str(batch_size)}
+    """Writer options; ``column_types`` fixes the column types of a table created on write.
+
+    At most ``connections`` tasks write at a time, whatever the size of the frame.
+    """
+    options = dict(properties or {}) | {
+        "url": url, "dbtable": table, "batchsize": str(batch_size), "numPartitions": str(connections),
+    }
     if column_types:
         options["createTableColumnTypes"] = column_types
     return options
