@@ -24,30 +24,25 @@ def _with_corrupt(schema: StructType) -> StructType:
 
 
 def _kind(variant) -> Column:
-    """JSON type of a variant: BIGINT, DECIMAL(..), DOUBLE, STRING, BOOLEAN, VOID, OBJECT<..>, ..."""
-    return F.schema_of_variant(variant)
+    """First letters of a variant's JSON type: BIG(INT), DEC(IMAL), DOU(BLE), STR(ING), ..."""
+    return F.left(F.schema_of_variant(variant), F.lit(3))
 
 
-def _is_numeric(variant) -> Column:
-    return F.left(_kind(variant), F.lit(3)).isin("BIG", "DEC", "DOU", "FLO")
+def _is_numeric(kind) -> Column:
+    return kind.isin("BIG", "DEC", "DOU", "FLO")
 
 
-def _clampable(variant) -> Column:
-    """Absent, a number or a boolean: comparing anything else with 0 is an error."""
-    return variant.isNull() | F.left(_kind(variant), F.lit(3)).isin("BIG", "DEC", "DOU", "FLO", "BOO")
-
-
-def _clamped_double(variant) -> Column:
+def _clamped_double(variant, kind) -> Column:
     number = F.try_variant_get(variant, "$", "double")
-    return F.when(variant.isNull() | _is_numeric(variant), clamp_non_negative(number)).cast("double")
+    return F.when(kind.isNull() | _is_numeric(kind), clamp_non_negative(number)).cast("double")
 
 
-def _clamped_int(variant) -> Column:
+def _clamped_int(variant, kind) -> Column:
     """Like the double, but a fraction or an overflow has no int value."""
     number = F.try_variant_get(variant, "$", "double")
-    whole = F.when(_kind(variant) == "BIGINT", F.try_variant_get(variant, "$", "int"))
+    whole = F.when(kind == "BIG", F.try_variant_get(variant, "$", "int"))
     return (
-        F.when(variant.isNull() | (_is_numeric(variant) & (number <= 0)), F.lit(0))
+        F.when(kind.isNull() | (_is_numeric(kind) & (number <= 0)), F.lit(0))
         .otherwise(whole)
         .cast("int")
     )
@@ -56,10 +51,11 @@ def _clamped_int(variant) -> Column:
 def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload") -> DataFrame:
     """Parse raw vehicle messages and say which are valid.
 
-    Adds ``vp`` (the envelope's fields) and ``valid``. A message is rejected when the
-    payload is not a JSON object, when ``VP`` is there but is not an object, or when a
-    clamped field is there but cannot be compared with a number. A payload without
-    ``VP`` is valid and yields an all-NULL message.
+    Adds ``vp`` (the envelope's fields), ``kinds`` (JSON types of the clamped fields)
+    and ``valid``. A message is rejected when the payload is not a JSON object, when
+    ``VP`` is there but is not an object, or when a clamped field is there but cannot
+    be compared with a number. A payload without ``VP`` is valid and yields an all-NULL
+    message.
     """
     parsed = raw.select(
         F.col(topic).alias("topic"),
@@ -73,34 +69,40 @@ def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload"
         ).alias("message"),
     )
     vp = F.col("message.VP")
-    # The second look parses the text again, only for rows the typed parse left open.
-    document = F.try_parse_json("payload")
-    envelope = F.try_variant_get(document, "$.VP", "variant")
-    well_formed = F.when(
-        vp.isNotNull() & F.col(f"message.{_CORRUPT}").isNull(), F.lit(True)
-    ).otherwise(
-        F.coalesce(
-            _kind(document).startswith("OBJECT")
-            & (envelope.isNull() | _kind(envelope).startswith("OBJECT")),
-            F.lit(False),
-        )
+    clean = vp.isNotNull() & F.col(f"message.{_CORRUPT}").isNull()
+    # The text is parsed again only for rows the typed parse left open.
+    look = F.struct(
+        F.when(~clean, F.try_parse_json("payload")).alias("document"),
+        F.struct(*[_kind(vp[name]).alias(name) for name in _CLAMPED]).alias("kinds"),
+    )
+    looked = parsed.select(
+        "topic", "payload", vp.alias("vp"), clean.alias("clean"), once(look).alias("look")
+    ).select("topic", "payload", "vp", "clean", "look.document", "look.kinds")
+
+    envelope = F.try_variant_get("document", "$.VP", "variant")
+    well_formed = F.col("clean") | (
+        (_kind(F.col("document")) == "OBJ") & (envelope.isNull() | (_kind(envelope) == "OBJ"))
     )
     # The JSON parser stops after the first value; text behind it makes a message invalid.
     well_formed = well_formed & F.rtrim("payload").endswith("}")
+    # Absent, a number or a boolean: comparing anything else with 0 is an error.
     clampable = F.lit(True)
     for name in _CLAMPED:
-        clampable = clampable & _clampable(F.col(f"message.VP.{name}"))
-    return parsed.select(
+        kind = F.col(f"kinds.{name}")
+        clampable = clampable & (kind.isNull() | _is_numeric(kind) | (kind == "BOO"))
+    return looked.select(
         "topic",
         "payload",
-        vp.alias("vp"),
+        "vp",
+        "kinds",
         F.coalesce(well_formed & clampable, F.lit(False)).alias("valid"),
     )
 
 
 def _vehicle_columns() -> list[Column]:
     vp = {name: F.col(f"vp.{name}") for name in RAW_VEHICLE_ENVELOPE["VP"].dataType.names}
-    speed = _clamped_double(vp["spd"])
+    kind = {name: F.col(f"kinds.{name}") for name in _CLAMPED}
+    speed = _clamped_double(vp["spd"], kind["spd"])
     # Absent destination gets the default, an explicit null stays null.
     destination = F.when(vp["desi"].isNull(), F.lit("unknown")).otherwise(
         F.try_variant_get(vp["desi"], "$", "string")
@@ -125,9 +127,9 @@ def _vehicle_columns() -> list[Column]:
             vp["long"].alias("longitude"),
             speed.alias("speed"),
             vp["hdg"].alias("heading"),
-            _clamped_double(vp["acc"]).alias("accuracy"),
+            _clamped_double(vp["acc"], kind["acc"]).alias("accuracy"),
         ).alias("location"),
-        _clamped_int(vp["occu"]).alias("occupancy"),
+        _clamped_int(vp["occu"], kind["occu"]).alias("occupancy"),
         vp["stop"].alias("stop"),
         vp["odo"].alias("odometer"),
         vp["loc"].alias("location_source"),
