@@ -118,13 +118,14 @@ def test_weather_by_place(spark):
     assert rows(found, "id", "temperature") == [(1, 1.0), (2, 3.0), (3, None)]
 
 
-def test_sync_issues(spark):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_sync_issues(spark, hot_rows):
     trips = spark.createDataFrame(
         [("t", [("a", 100, 110), ("b", 90, 95), ("c", 1000, 1010)]), ("u", [])],
         "trip_id string, stop_time_updates array<struct<stop_id:string,arrival_time:long,departure_time:long>>")
     vehicles = spark.createDataFrame([("t", "a", 100), ("t", "c", 2000), ("t", "c", 1500), ("x", "a", 1)],
                                      "trip_id string, stop string, timestamp_seconds long")
-    assert rows(enrichment.trip_sync_issues(trips, vehicles, 300)) == [
+    assert rows(enrichment.trip_sync_issues(trips, vehicles, 300, hot_rows, 1 / 100)) == [
         ("t", 1, "b", "out_of_order", -10), ("t", 2, "c", "out_of_sync", 500)]
 
 

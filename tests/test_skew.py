@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from transitloom.operators import graph
+from transitloom.operators import graph, ordering
 from transitloom.operators.ordering import batch_id, next_in_group, with_rank
 from transitloom.operators.skew import hot_keys, skew_join
 from transitloom.operators.trip_join import join_trips_vehicles
 from transitloom.plans import testdata
+from transitloom.storage import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +107,25 @@ def test_stop_succession_with_hot_trips(spark, order):
         visits = graph.trip_stop_edges(facts).groupBy("trip_id").count()
         per_trip = visits.select("trip_id", (F.col("count") - 1).alias("n")).where("n > 0")
         assert rows(hot.groupBy("trip_id").agg(F.count("*").alias("n"))) == rows(per_trip)
+
+
+def test_frequent_value_is_ranked_over_several_partitions(spark, monkeypatch):
+    stored = []
+
+    def keep(df, name):
+        stored.append(materialize(df, name))
+        return stored[-1]
+
+    monkeypatch.setattr(ordering, "materialize", keep)
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("v"), "id"
+    ).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = with_rank(frame, ["v"]).orderBy("rank").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [row["rank"] for row in found] == list(range(20_000))
+    assert [row.v for row in found] == sorted(row.v for row in found)
+    part = F.shiftright("_place", 33)
+    assert stored[0].where("v = 7").select(part).distinct().count() > 2

@@ -4,7 +4,11 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from transitloom.operators.enrichment import windowed_delay
 from transitloom.operators.messages import encode_json, read_messages
-from transitloom.operators.trip_join import join_trip_vehicle_streams, join_trips_vehicles
+from transitloom.operators.trip_join import (
+    distinct_trips,
+    join_trip_vehicle_streams,
+    join_trips_vehicles,
+)
 from transitloom.plans import testdata
 from transitloom.schemas import TRIP, VEHICLE
 from transitloom.sources.topics import topic_options
@@ -106,6 +110,15 @@ def test_windowed_delay_streams(spark, topics, tmp_path):
     assert rows(spark.table("delays")) == rows(windowed_delay(batch, "at", "1 hour"))
 
 
+def test_repeated_trips_are_kept_once(spark, topics, tmp_path):
+    batches, stream = topics
+    polled = read_messages(stream("trip"), TRIP)
+    once = distinct_trips(polled.unionByName(polled), watermark="400 days")
+    job = sinks.start_files(once, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True)
+    job.awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), *TRIP.names) == rows(batches["trip"], *TRIP.names)
+
+
 def test_topic_options():
     assert topic_options("broker:9092", "weather") == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "weather", "startingOffsets": "latest"}

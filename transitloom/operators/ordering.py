@@ -17,13 +17,15 @@ def with_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataFr
 
     Rows are range-partitioned and sorted within partitions; the position inside a
     partition is written down with the rows, and the per-partition row counts (one
-    number per partition) become offsets. ``order`` should identify a row: then no
-    value, however frequent, keeps its rows together in one partition. All columns of
-    ``df`` are stored on the way, so it should have no others than needed.
+    number per partition) become offsets. Rows of equal ``order`` follow each other by a
+    hash of their content and input partition, so that a frequent value can be cut into
+    several ranges; which of them comes first is settled once, when the rows are stored.
+    All columns of ``df`` are stored on the way, so it should have no others than needed.
     """
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns, F.spark_partition_id()))
+    sorted_rows = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
     staged = materialize(
-        sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "ranked"
+        sorted_rows.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), "ranked"
     )
     part = F.shiftright(F.col("_place"), _ROW_BITS)
     sizes = staged.groupBy(part.alias("part")).count().orderBy("part").collect()

@@ -23,6 +23,7 @@ from transitloom.operators.features import (
 from transitloom.operators.metrics import regression_metrics
 from transitloom.operators.ordering import batch_id
 from transitloom.operators.sampling import split_rows
+from transitloom.storage import materialize
 
 # The size of the forest and its bins.
 TREES, MAX_BINS, MAX_DEPTH, SEED = 100, 256, 5, 42
@@ -48,11 +49,15 @@ def _prepared(facts: DataFrame, numeric: Sequence[str], keep: Sequence[str]) ->
     )
 
 
-def _spread_out(frame: DataFrame) -> DataFrame:
-    """At least one partition per core: every tree level is one pass over all rows, which
-    a few small files would leave to a few tasks. Larger inputs stay as they are."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+def _training_table(prepared: DataFrame) -> DataFrame:
+    """The prepared rows stored, since indexer and forest read them several times.
+
+    Every tree level is one pass over all rows, which a few small files would leave to a
+    few tasks: then there is one partition per core. Larger tables stay as they are.
+    """
+    stored = materialize(prepared, "training")
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)
 
 
 def train_delay_model(
@@ -69,9 +74,9 @@ def train_delay_model(
     ``facts`` is the training side of a split, as ``feature_frame`` leaves it. What is
     learnt here, the category indexes included, is what scoring uses.
     """
+    prepared = _training_table(_prepared(facts, numeric, [label]))
     # Each category takes a bin, and unseen values one more.
-    check_categories(facts, most=max_bins - 1)
-    prepared = _spread_out(_prepared(facts, numeric, [label]))
+    check_categories(prepared, most=max_bins - 1)
     indexer = categorical_indexer(prepared)
     assembler = VectorAssembler(
         inputCols=[*numeric, *indexer.getOutputCols()], outputCol="features", handleInvalid="skip"

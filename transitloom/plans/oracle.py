@@ -283,7 +283,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
                'total_stops', total_stops, 'speed', speed, 'occupancy', occupancy, 'stop', stop)
                AS VARCHAR) AS value FROM facts"""),
     "trip_vehicle_join": ("ev vehicle trip", _TRIP_VEHICLE),
-    "latest_trips": ("ev trip", "SELECT trip_id, route_id, start_time, start_date FROM trip"),
+    "distinct_trips": ("ev trip", "SELECT trip_id, route_id, start_time, start_date FROM trip"),
     "time_features": ("", """
         SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour,
                CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week,

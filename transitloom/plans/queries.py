@@ -17,7 +17,16 @@ from transitloom.functions.times import (
     moment_to_epoch,
     reformat_date,
 )
-from transitloom.operators import enrichment, features, graph, metrics, normalize, ordering, traversal
+from transitloom.operators import (
+    enrichment,
+    features,
+    graph,
+    metrics,
+    normalize,
+    ordering,
+    traversal,
+    trip_join,
+)
 from transitloom.operators.messages import (
     decode_value,
     encode_json,
@@ -26,7 +35,7 @@ from transitloom.operators.messages import (
     read_messages,
 )
 from transitloom.operators.sampling import split_rows
-from transitloom.operators.trip_join import join_trips_vehicles, latest_trip_updates
+from transitloom.operators.trip_join import join_trips_vehicles
 from transitloom.plans import delay_model, graph_tables, testdata
 from transitloom.schemas import (
     PREDICTIONS,
@@ -209,10 +218,10 @@ def trip_vehicle_join(spark, sf_dir):
 
 
 @_query
-def latest_trips(spark, sf_dir):
+def distinct_trips(spark, sf_dir):
     trips = testdata.trip_rows(testdata.event_rows(spark, sf_dir))
     polled = trips.unionByName(trips)
-    return latest_trip_updates(polled).select("trip_id", "route_id", "start_time", "start_date")
+    return trip_join.distinct_trips(polled).select("trip_id", "route_id", "start_time", "start_date")
 
 
 # --- features -----------------------------------------------------------------------
