@@ -131,6 +131,11 @@ def test_degrees_add_up(spark):
     assert tuple(total) == (150, 150, 300)
 
 
+def test_edges_read_only_their_columns(spark):
+    plan = graph.trip_stop_edges(testdata.graph_facts(spark, SF))._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_discount:double>" in plan
+
+
 def test_export_skips_empty_frames_and_reading_tolerates_them(spark, tmp_path):
     facts = testdata.graph_facts(spark, SF).where("stop IS NULL")
     written = graph_tables.export_graph(facts, str(tmp_path))

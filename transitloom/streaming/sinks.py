@@ -33,7 +33,10 @@ def start_console(df: DataFrame, checkpoint: str, available_now: bool = False) -
 
 
 def table_writer(path: str) -> BatchWriter:
-    """Write each micro-batch to its own ``epoch_id`` folder; a replay overwrites it."""
+    """Write each micro-batch to its own ``epoch_id`` folder; a replay overwrites it.
+
+    The folder belongs to one checkpoint: with another one the numbers start over.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch_id={epoch_id}")
