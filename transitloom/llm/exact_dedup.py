@@ -75,6 +75,8 @@ def exact_duplicates(
         F.coalesce(pick_row("row_no", "doc_id"), F.min("row_no")).alias("keep_row"),
         F.count("*").alias("group_size"),
     )
+    # Stored, the groups have a shuffle of their own, and the join can split a large group.
+    groups = materialize(groups, "content-groups")
     return named.join(groups, ["digest", "variant"]).select(
         "doc_id", "keep_id", "group_size",
         (F.col("row_no") == F.col("keep_row")).alias("kept"),
