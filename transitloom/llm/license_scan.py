@@ -122,6 +122,7 @@ def scan_licenses(
             F.count(F.when(is_line, 1)).alias("n_notice_lines"),
         )
     )
+    matches = materialize(matches, "license-matches")
     found = matches.withColumnsRenamed({name: f"_{name}" for name in key})
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
     return hashed.join(found, same, "left").select(

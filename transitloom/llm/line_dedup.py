@@ -148,8 +148,10 @@ def repeated_runs(
     )
     interval = ["length", "head_rank", "tail_rank"]
     firsts = named.groupBy(*interval).agg(F.min("start").alias("first"), F.count("*").alias("n"))
+    # Stored, so that the join has a shuffle of its own and can split a run that is everywhere.
+    firsts = materialize(firsts.where("n > 1"), "first-runs")
     later = (
-        named.join(firsts.where("n > 1"), interval)
+        named.join(firsts, interval)
         .where("start > first")
         .select("start", "length", "first")
     )

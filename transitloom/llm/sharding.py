@@ -135,6 +135,7 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     first = ranked.groupBy("shard").agg(
         F.min("rank").alias("first"), F.max("size").alias("largest")
     )
+    first = materialize(first, "overflow-starts")
     fitting = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("largest")))
     piece = F.floor((F.col("rank") - F.col("first")) / fitting).cast("string")
     return ranked.join(first, "shard").select(
