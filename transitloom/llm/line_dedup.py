@@ -190,7 +190,8 @@ def deduplicated_lines(
     lines = F.split("text", "\n")
     staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     kept = F.array_join(F.transform(staying, lambda at: lines[at]), "\n")
-    return rows.join(gone, same, "left").select(
+    # The list grows with the corpus: one plan for all sizes, which shuffles the texts once.
+    return rows.join(gone.hint("merge"), same, "left").select(
         "row",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
