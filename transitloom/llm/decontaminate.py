@@ -13,15 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitloom.llm.frames import ascii_lower, column, packed, unpacked
+from transitloom.llm.frames import ascii_lower, batch_texts, column, packed_text, unpacked
 from transitloom.storage import materialize
 
 # Words are runs of a-z, 0-9 and characters beyond ASCII; as bytes, these are the classes.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _WORD_CHARS = "([^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+)"
-_WORDS_AT_ONCE = 1_000_000
+_GAP = re.compile(rb"[^0-9a-z\x80-\xff]")
+_WORDS_AT_ONCE = 250_000
+_BYTES_AT_ONCE = 1 << 20
 _SPANS = "array<struct<start:bigint,end:bigint>>"
-_FOUND = f"text binary, spans {_SPANS}, items array<string>, n_words bigint"
+_FOUND = f"spans {_SPANS}, items array<string>, n_words bigint"
 _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -105,6 +107,16 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, a bounded number at a time."""
+    text, at = text.lower(), 0
+    while at < len(text):
+        gap = _GAP.search(text, at + _BYTES_AT_ONCE)
+        end = gap.start() if gap else len(text)
+        yield _WORD.findall(text, at, end)
+        at = end
+
+
 def _scan(windows: _WindowSet, texts: list[bytes | None]):
     """Per text: number of words, merged word spans of window occurrences, items found."""
     counts = [0] * len(texts)
@@ -122,15 +134,18 @@ def _scan(windows: _WindowSet, texts: list[bytes | None]):
 
     arrays, places, gathered = [], [], 0
     for i, text in enumerate(texts):
-        words = _WORD.findall(text.lower()) if text else []
-        counts[i] = len(words)
-        if not words:
+        if not text:
             continue
-        known = map(windows.word_ids.get, words, itertools.repeat(0))
         # Unknown words are 0, and one more 0 keeps windows from reaching into the next text.
-        arrays.append(np.fromiter(itertools.chain(known, (0,)), np.uint64, len(words) + 1))
+        parts = [
+            np.fromiter(map(windows.word_ids.get, words, itertools.repeat(0)), np.uint64, len(words))
+            for words in _words(text)
+        ]
+        ids = np.concatenate([*parts, np.zeros(1, dtype=np.uint64)])
+        counts[i] = len(ids) - 1
+        arrays.append(ids)
         places.append(i)
-        gathered += len(words)
+        gathered += len(ids)
         if gathered >= _WORDS_AT_ONCE:
             search(arrays, places)
             arrays, places, gathered = [], [], 0
@@ -167,32 +182,30 @@ def contamination(
     )
     blocks = max(1, ceil(pairs.count() / max_pairs))
     block = F.pmod(F.xxhash64("window", "item"), F.lit(blocks))
-    state = packed(
+    state = packed_text(
         documents,
+        text_col,
         carry,
-        text=column(text_col).cast("binary"),
         spans=F.array().cast(_SPANS),
         items=F.array().cast("array<string>"),
     )
-    schema = T.StructType([state.schema["row"], *T.StructType.fromDDL(_FOUND).fields])
+    own = [field for field in state.schema if field.name in ("row", "text")]
+    schema = T.StructType([*own, *T.StructType.fromDDL(_FOUND).fields])
     for number in range(blocks):
         mine = pairs.where(block == number).select("window", "item").collect()
         windows = spark.sparkContext.broadcast([tuple(pair) for pair in mine])
-        last = number + 1 == blocks
 
-        def scan(batches, windows=windows, last=last):
+        def scan(batches, windows=windows):
             index = _WindowSet(windows.value)
             for batch in batches:
-                texts = batch.column("text")
-                counts, spans, items = _scan(index, texts.to_pylist())
+                counts, spans, items = _scan(index, batch_texts(batch, text_col))
                 for i, known in enumerate(batch.column("spans").to_pylist()):
                     spans[i] = _merged([*spans[i], *((s["start"], s["end"]) for s in known)])
                 for i, known in enumerate(batch.column("items").to_pylist()):
                     items[i].update(known)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("row"),
-                        pa.nulls(len(batch), pa.binary()) if last else texts,
+                        *(batch.column(field.name) for field in own),
                         pa.array(
                             [[{"start": a, "end": b} for a, b in found] for found in spans],
                             _ARROW_SPANS,
@@ -200,11 +213,11 @@ def contamination(
                         pa.array([sorted(found) for found in items], pa.list_(pa.string())),
                         pa.array(counts, pa.int64()),
                     ],
-                    names=["row", "text", "spans", "items", "n_words"],
+                    names=schema.names,
                 )
 
-        state = state.select("row", "text", "spans", "items").mapInArrow(scan, schema)
-        if not last:
+        state = state.drop("n_words").mapInArrow(scan, schema)
+        if number + 1 < blocks:
             state = materialize(state, "scanned")
     return state.select("row", "n_words", "spans", "items")
 
@@ -249,7 +262,7 @@ def cut_spans(
         for batch in batches:
             texts = []
             spans = batch.column("spans").to_pylist()
-            for text, ranges in zip(batch.column("text").to_pylist(), spans, strict=True):
+            for text, ranges in zip(batch_texts(batch, text_col), spans, strict=True):
                 if text is not None and ranges:
                     words = [match.span() for match in _WORD.finditer(text.lower())]
                     for place in reversed(ranges):
@@ -260,9 +273,7 @@ def cut_spans(
             )
 
     schema = T.StructType([found.schema["row"], T.StructField("clean", T.StringType())])
-    cleaned = found.select(
-        "row", F.col("row")[text_col].cast("binary").alias("text"), "spans"
-    ).mapInArrow(cut, schema)
+    cleaned = found.select("row", "spans").mapInArrow(cut, schema)
     return cleaned.select(
         *[
             (F.col("clean") if name == text_col else F.col("row")[name]).alias(name)

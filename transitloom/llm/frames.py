@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,22 @@ def packed(df: DataFrame, carry: list[str] | None = None, **extra: Column) -> Da
     return df.select(whole, *[value.alias(name) for name, value in extra.items()])
 
 
+def packed_text(
+    df: DataFrame, text_col: str, carry: list[str] | None, **extra: Column
+) -> DataFrame:
+    """:func:`packed` with the text as well, once: in ``row`` if that carries it, else beside."""
+    if carry is not None and text_col not in carry:
+        extra["text"] = column(text_col)
+    return packed(df, carry, **extra)
+
+
+def batch_texts(batch: pa.RecordBatch, text_col: str) -> list[bytes | None]:
+    """The texts of a batch of :func:`packed_text` in UTF-8."""
+    beside = "text" in batch.schema.names
+    texts = batch.column("text") if beside else batch.column("row").field(text_col)
+    return texts.cast(pa.binary()).to_pylist()
+
+
 def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of ``like`` out of ``row``."""
     return df.select(*[column("row")[name].alias(name) for name in like.columns])

@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitloom.llm.frames import column, packed, unpacked
+from transitloom.llm.frames import batch_texts, column, packed_text, unpacked
 
 UNDETERMINED = "und"
-_BYTES_AT_ONCE = 1 << 21
+_BYTES_AT_ONCE = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -265,10 +265,7 @@ def identify(
     * Repeated rows get the same answer each; other columns ride along and are not read.
     """
     spark = documents.sparkSession
-    text = column(text_col)
-    state = packed(
-        documents, carry, text=F.when(text.rlike(r"\p{L}"), text.cast("binary"))
-    )
+    state = packed_text(documents, text_col, carry, legible=column(text_col).rlike(r"\p{L}"))
     schema = T.StructType(
         [state.schema["row"], *T.StructType.fromDDL("lang_pred string, score double").fields]
     )
@@ -277,10 +274,10 @@ def identify(
     def classify(batches):
         trees = shared.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch_texts(batch, text_col)
+            legible = batch.column("legible").to_pylist() if trees.languages else []
             langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            ready = [i for i, x in enumerate(texts) if x] if trees.languages else []
-            for group in _groups(ready, texts):
+            for group in _groups([i for i, x in enumerate(legible) if x], texts):
                 bits = trees.text_bits([texts[i] for i in group])
                 best = bits.argmin(axis=1)
                 scale = np.array([min(1, horizon / len(texts[i])) for i in group])
