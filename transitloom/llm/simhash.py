@@ -246,7 +246,8 @@ def drop_near_duplicates(
     rows = documents.select(
         *own, F.struct(*[column(name) for name in documents.columns]).alias("row")
     )
-    kept = _matching(rows, gone, key, "left_anti")
+    # The list grows with the corpus: one plan for all sizes, which shuffles the texts once.
+    kept = _matching(rows, gone.hint("merge"), key, "left_anti")
     if not repeated.isEmpty():
         once = _matching(kept, repeated, key, "left_semi").dropDuplicates(key)
         kept = _matching(kept, repeated, key, "left_anti").unionByName(once)
@@ -255,7 +256,7 @@ def drop_near_duplicates(
 
 def _matching(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
     """Join where null keys match each other."""
-    other = right.select(*[F.col(name).alias(f"_{name}") for name in key])
+    other = right.withColumnsRenamed({name: f"_{name}" for name in key})
     same: Column = F.lit(True)
     for name in key:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
