@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

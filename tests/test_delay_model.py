@@ -51,15 +51,42 @@ def test_unseen_categories_are_scored(facts, trained):
     assert delay_model.score(model, strange).count() == strange.count()
 
 
-def test_feature_count_is_checked(trained):
+def test_features_of_the_frame_are_checked(facts, trained):
     model, _ = trained
-    with pytest.raises(ValueError, match="expects 22 features"):
-        delay_model.check_features(model, ["speed"])
+    frame = feature_frame(facts).drop("odometer", "line")
+    with pytest.raises(ValueError, match="odometer, line_index"):
+        delay_model.score(model, frame)
+    filled = delay_model.score(model, feature_frame(facts).drop("odometer"), fill=["odometer"])
+    assert filled.where("odometer = 0 AND predicted_delay IS NOT NULL").count() == filled.count()
 
 
-def test_too_many_categories_are_refused(facts):
-    with pytest.raises(ValueError, match="categories"):
-        delay_model.train_delay_model(feature_frame(facts), max_bins=16, trees=2)
+@pytest.mark.parametrize("stop", ["CASE WHEN line % 2 = 0 THEN stop END", "concat('A', stop)"])
+def test_every_row_is_scored(facts, trained, stop):
+    model, _ = trained
+    frame = feature_frame(facts).withColumn("stop", F.expr(stop))
+    scored = delay_model.score(model, frame, keep=["line"])
+    assert scored.count() == frame.count()
+    gap = scored.where("stop IS NULL")
+    assert gap.count() > 0 and gap.where("predicted_delay IS NOT NULL").count() == 0
+    assert scored.where("stop IS NOT NULL AND predicted_delay IS NULL").count() == 0
+
+
+def test_more_categories_than_bins(facts):
+    model = delay_model.train_delay_model(feature_frame(facts), max_bins=16, trees=2)
+    labels = dict(zip(model.stages[0].getInputCols(), model.stages[0].labelsArray))
+    assert len(labels["line"]) == 14
+    scored = delay_model.score(model, feature_frame(facts))
+    assert scored.where("line_index > 14").count() == 0
+
+
+def test_model_does_not_depend_on_how_rows_lie(facts):
+    frame = feature_frame(facts)
+    ids = ["journey_id"]
+    found = [
+        rows(delay_model.score(delay_model.train_delay_model(frame.repartition(n), trees=3), frame, ids))
+        for n in (1, 7)
+    ]
+    assert found[0] == found[1]
 
 
 def test_batches_keep_their_test_rows(facts):

@@ -38,13 +38,33 @@ def test_alignment_adds_zeros_in_order(spark):
 
 def test_unseen_category_gets_the_extra_index(spark):
     train = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), (None,)], "line string")
-    model = features.categorical_indexer(train, ["line"]).fit(train)
+    model = features.categorical_indexer(train, ["line"])
     test = spark.createDataFrame([("a",), ("b",), ("c",), ("new",), (None,)], "line string")
     encoded = features.encode_categoricals(test, ["line"], model)
     assert encoded.columns == ["line_index"]
     assert [row[0] for row in encoded.collect()] == [1.0, 0.0, 2.0, 3.0, 3.0]
 
 
+def test_encoding_without_a_model_ranks_every_value(spark):
+    train = spark.createDataFrame([("b", 1), ("b", 2), ("a", 2), ("c", 3), (None, 3)], "line string, operator int")
+    encoded = features.encode_categoricals(train, ["line", "operator", "absent"])
+    assert rows(encoded) == [(0.0, 0.0), (0.0, 2.0), (1.0, 0.0), (2.0, 1.0), (3.0, 1.0)]
+
+
+def test_hours_belong_to_the_zone_asked_for(spark):
+    moment = spark.createDataFrame([("2024-01-05T23:30:00Z",)], "at string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            utc = features.time_features(moment, "at").first()
+            local = features.time_features(moment, "at", zone="Europe/Helsinki").first()
+            assert (utc.hour, utc.is_weekend) == (23, 0)
+            assert (local.hour, local.is_weekend) == (1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_metrics_of_known_errors(spark):
     perfect = spark.createDataFrame([(1.0, 1.0), (-3.0, -3.0)], "delay double, prediction double")
     assert tuple(metrics.regression_metrics(perfect).first()) == (2, 0.0, 0.0, 1.0, 0.0)

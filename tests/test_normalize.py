@@ -192,3 +192,16 @@ def test_parsing_is_permissive_and_can_be_narrowed(spark):
         "Row(vehicle_id=None, route=None)",
         "Row(vehicle_id=None, route=None)",
     ]
+
+
+@pytest.mark.parametrize("after", ["\n", "\r\n", "\t", " \n ", ""])
+@pytest.mark.parametrize("document", ['{"VP":{"veh":3}}', "{}", '{"VP":{"veh":3,"desi":"{x}}"},"a":{"b":[]}}'])
+def test_white_space_may_stand_around_a_document(spark, document, after):
+    raw = _vehicles(spark, after + document + after)
+    assert normalize_vehicle(raw).count() == 1 and rejected_vehicle(raw).count() == 0
+
+
+@pytest.mark.parametrize("behind", ['{"VP":{}}', " x}", ",{}", "]", "}", ',"x"]', "\x0b"])
+def test_nothing_else_may_stand_behind_it(spark, behind):
+    raw = _vehicles(spark, '{"VP":{"veh":3}}' + behind, "{}" + behind)
+    assert normalize_vehicle(raw).count() == 0 and rejected_vehicle(raw).count() == 2

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from transitloom.operators.enrichment import windowed_delay
 from transitloom.operators.messages import encode_json, read_messages
+from transitloom.operators import trip_join
 from transitloom.operators.trip_join import (
     distinct_trips,
     join_trip_vehicle_streams,
@@ -39,7 +40,7 @@ def test_stream_join_equals_batch_join(spark, topics, tmp_path, salts):
     path = f"{tmp_path}/joined"
     job = store_joined_facts(
         stream("trip"), stream("vehicle"), [sinks.table_writer(path)], f"{tmp_path}/cp",
-        available_now=True, salts=salts,
+        watermark=None, available_now=True, salts=salts,
     )
     job.awaitTermination()
     expected = join_trips_vehicles(batches["trip"], batches["vehicle"]).drop("processed_time")
@@ -63,6 +64,15 @@ def test_stream_join_with_watermark_keeps_close_pairs(spark, topics, tmp_path):
     assert rows(found, *expected.columns) == rows(expected)
 
 
+def test_trips_start_in_their_zone(spark):
+    trip = [("2024-01-05", "25:30")]
+    starts = spark.createDataFrame(trip, "start_date string, start_time string")
+    found = starts.select(
+        *[F.unix_seconds(trip_join._trip_time(zone)) for zone in ("UTC", "Europe/Helsinki")]
+    ).first()
+    assert found[0] == 1704504600 and found[1] == found[0] - 7200
+
+
 def test_ingest_resumes_without_repeating(spark, topics, tmp_path):
     batches, stream = topics
     for _ in range(2):

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.functions.times import clock_to_seconds, date_to_epoch, moment_to_epoch
 from transitloom.functions.values import is_number, present_columns
+from transitloom.operators.ordering import with_rank
+from transitloom.storage import materialize
 
 LABEL = "delay"
 CATEGORICAL = ("vehicle_type", "route_id", "location_source", "operator", "direction", "line")
@@ -19,20 +21,31 @@ ZERO_FILLED = (
 )
 NOT_FEATURES = ("trip_id", "status", "processed_time")
 MOMENTS = ("timestamp", "start_time", "start_date")
-MAX_CATEGORIES = 100_000
+# Fixed values above: the names of the columns of stored facts and of the model's features.
 # dayofweek counts from Sunday = 1 to Saturday = 7.
 SATURDAY_SUNDAY = (1, 7)
 
 
 def time_features(
-    df: DataFrame, moment: str = "timestamp", weekend_days: Sequence[int] = SATURDAY_SUNDAY
+    df: DataFrame,
+    moment: str = "timestamp",
+    weekend_days: Sequence[int] = SATURDAY_SUNDAY,
+    zone: str = "UTC",
 ) -> DataFrame:
-    """Add hour, day_of_week and is_weekend; nothing if ``moment`` is not a column."""
+    """Add hour, day_of_week and is_weekend; nothing if ``moment`` is not a column.
+
+    Instants (timestamps, and texts that name their offset) are read in ``zone``, whatever
+    the session's; a timestamp without a zone is taken as it stands.
+    """
     if moment not in df.columns:
         return df
     when = F.col(moment)
-    if dict(df.dtypes)[moment] == "string":
+    kind = dict(df.dtypes)[moment]
+    if kind == "string":
         when = F.try_to_timestamp(when)
+    if kind != "timestamp_ntz":
+        local = when.cast("timestamp").cast("timestamp_ntz")
+        when = F.convert_timezone(F.current_timezone(), F.lit(zone), local)
     day = F.dayofweek(when)
     return df.withColumns(
         {
@@ -88,42 +101,68 @@ def align_schema(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = (
     return df.select(*keep, *columns)
 
 
-def categorical_indexer(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> StringIndexer:
-    """One indexer for all category columns of ``df``: most frequent first, ties by name,
-    NULL and unseen values as one extra index."""
-    found = present_columns(df, columns)
-    return StringIndexer(
-        inputCols=found,
-        outputCols=[f"{name}_index" for name in found],
-        handleInvalid="keep",
-        stringOrderType="frequencyDesc",
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``name, value, count`` of the category columns, one pass; NULL is no value."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value"))
+            for name in columns
+        ]
     )
+    counted = df.select(F.explode(pairs).alias("pair")).select("pair.name", "pair.value")
+    return counted.where("value IS NOT NULL").groupBy("name", "value").count()
+
 
+def categorical_indexer(
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = 254
+) -> StringIndexerModel:
+    """A model with an index for each of the ``most`` most frequent values of every category.
 
-def check_categories(
-    df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = MAX_CATEGORIES
-) -> None:
-    """Fail if a category column has clearly more than ``most`` values: an indexer keeps
-    them all at the driver. The counts are estimates, a tenth over is let through."""
+    Most frequent first, ties by name. NULL, unseen and all rarer values share one extra
+    index, so that ``most + 1`` bins hold any category and the driver a bounded list.
+    """
     found = present_columns(df, columns)
-    if not found:
-        return
-    # A sketch is one binary value per column, far narrower than HyperLogLog registers.
-    sketches = [F.hll_sketch_agg(F.col(name).cast("string")) for name in found]
-    sizes = df.agg(*[F.hll_sketch_estimate(s).alias(n) for s, n in zip(sketches, found)]).first()
+    counts = materialize(_value_counts(df, found), "category-counts")
+    labels = []
     for name in found:
-        if sizes[name] > most * 1.1:
-            raise ValueError(f"{name} has about {sizes[name]} categories, more than {most}")
+        top = counts.where(F.col("name") == name).orderBy(F.desc("count"), "value").limit(most)
+        labels.append([row["value"] for row in top.collect()])
+    return StringIndexerModel.from_arrays_of_labels(
+        labels, found, [f"{name}_index" for name in found], "keep"
+    )
 
 
 def encode_categoricals(
     df: DataFrame, columns: Sequence[str] = CATEGORICAL, model: StringIndexerModel | None = None
 ) -> DataFrame:
-    """Replace category columns by ``*_index``; fits in one job unless ``model`` is given."""
-    if model is None:
-        check_categories(df, columns)
-        model = categorical_indexer(df, columns).fit(df)
-    return model.transform(df).drop(*model.getInputCols())
+    """Replace category columns by ``*_index``: those of ``model``, or else a rank by frequency.
+
+    Without a model every value has its own index, however many there are: values are ranked
+    as a table (ties by name) and joined back. NULL gets the number of values.
+    """
+    if model is not None:
+        return model.transform(df).drop(*model.getInputCols())
+    found = present_columns(df, columns)
+    if not found:
+        return df
+    counts = _value_counts(df, found).withColumn("rarity", -F.col("count"))
+    ranked = materialize(with_rank(counts, ["name", "rarity", "value"]), "category-ranks")
+    sizes = {
+        row["name"]: row
+        for row in ranked.groupBy("name").agg(F.min("rank").alias("first"), F.count("*").alias("n")).collect()
+    }
+    encoded = df
+    for name in found:
+        first, n = (sizes[name]["first"], sizes[name]["n"]) if name in sizes else (0, 0)
+        own = ranked.where(F.col("name") == name).select(
+            F.col("value").alias("_value"), (F.col("rank") - first).cast("double").alias("_index")
+        )
+        encoded = (
+            encoded.join(own, F.col(name).cast("string") == F.col("_value"), "left")
+            .withColumn(f"{name}_index", F.coalesce("_index", F.lit(float(n))))
+            .drop("_value", "_index", name)
+        )
+    return encoded
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

@@ -70,9 +70,18 @@ def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload"
     )
     vp = F.col("message.VP")
     clean = vp.isNotNull() & F.col(f"message.{_CORRUPT}").isNull()
-    # The text is parsed again only for rows the typed parse left open.
+    # One object that holds one object at most, and nothing but JSON white space around it:
+    # what the typed parse has read is the whole text. Other texts are parsed again, as the
+    # first of two elements: the second shows that the document was read to its end, and no
+    # text can hold its own digest to feign that.
+    plain = F.col("payload").rlike(r"^[ \t\r\n]*\{[^{}]*\{[^{}]*\}[^{}]*\}[ \t\r\n]*$")
+    clean = clean & plain
+    digest = F.md5(F.col("payload").cast("binary"))
+    whole = F.concat(F.lit("["), "payload", F.lit(',"'), digest, F.lit('"]'))
+    framed = F.try_parse_json(F.when(~clean, whole))
+    ended = F.try_variant_get(framed, "$[1]", "string") == digest
     look = F.struct(
-        F.when(~clean, F.try_parse_json("payload")).alias("document"),
+        F.when(ended, F.try_variant_get(framed, "$[0]", "variant")).alias("document"),
         F.struct(*[_kind(vp[name]).alias(name) for name in _CLAMPED]).alias("kinds"),
     )
     looked = parsed.select(
@@ -83,8 +92,6 @@ def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload"
     well_formed = F.col("clean") | (
         (_kind(F.col("document")) == "OBJ") & (envelope.isNull() | (_kind(envelope) == "OBJ"))
     )
-    # The JSON parser stops after the first value; text behind it makes a message invalid.
-    well_formed = well_formed & F.rtrim("payload").endswith("}")
     # Absent, a number or a boolean: comparing anything else with 0 is an error.
     clampable = F.lit(True)
     for name in _CLAMPED:
@@ -99,7 +106,8 @@ def parse_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload"
     )
 
 
-def _vehicle_columns() -> list[Column]:
+def vehicle_columns() -> list[Column]:
+    """The vehicle schema's columns from what ``parse_vehicle`` adds."""
     vp = {name: F.col(f"vp.{name}") for name in RAW_VEHICLE_ENVELOPE["VP"].dataType.names}
     kind = {name: F.col(f"kinds.{name}") for name in _CLAMPED}
     speed = _clamped_double(vp["spd"], kind["spd"])
@@ -139,7 +147,7 @@ def _vehicle_columns() -> list[Column]:
 
 def normalize_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload") -> DataFrame:
     """Valid raw vehicle messages as rows of the vehicle schema."""
-    return parse_vehicle(raw, topic, payload).where("valid").select(*_vehicle_columns())
+    return parse_vehicle(raw, topic, payload).where("valid").select(*vehicle_columns())
 
 
 def rejected_vehicle(raw: DataFrame, topic: str = "topic", payload: str = "payload") -> DataFrame:

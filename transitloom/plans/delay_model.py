@@ -17,7 +17,6 @@ from transitloom.operators.features import (
     MOMENTS,
     align_schema,
     categorical_indexer,
-    check_categories,
     feature_frame,
 )
 from transitloom.operators.metrics import regression_metrics
@@ -27,7 +26,10 @@ from transitloom.storage import materialize
 
 # The size of the forest and its bins.
 TREES, MAX_BINS, MAX_DEPTH, SEED = 100, 256, 5, 42
+# Bagging is seeded per partition, so their number belongs to the model, not to the cluster.
+TRAINING_PARTITIONS = 16
 
+# The names of the model's features.
 NUMERIC_FEATURES = (
     "total_stops", "vehicle_id", "journey_id", "speed", "occupancy", "vehicle_latitude",
     "vehicle_longitude", "timestamp_seconds", "stop", "odometer", "hour", "day_of_week",
@@ -49,15 +51,15 @@ def _prepared(facts: DataFrame, numeric: Sequence[str], keep: Sequence[str]) ->
     )
 
 
-def _training_table(prepared: DataFrame) -> DataFrame:
+def _training_table(prepared: DataFrame, partitions: int) -> DataFrame:
     """The prepared rows stored, since indexer and forest read them several times.
 
-    Every tree level is one pass over all rows, which a few small files would leave to a
-    few tasks: then there is one partition per core. Larger tables stay as they are.
+    Rows are placed by a hash of their content and sorted by it, so the same rows and seed
+    give the same forest on any cluster.
     """
     stored = materialize(prepared, "training")
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)
+    content = F.xxhash64(*stored.columns)
+    return stored.repartition(partitions, content).sortWithinPartitions(content, *stored.columns)
 
 
 def train_delay_model(
@@ -68,16 +70,18 @@ def train_delay_model(
     max_bins: int = MAX_BINS,
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> PipelineModel:
     """Fit encoding, assembling and forest as one model on prepared facts.
 
     ``facts`` is the training side of a split, as ``feature_frame`` leaves it. What is
-    learnt here, the category indexes included, is what scoring uses.
+    learnt here, the category indexes included, is what scoring uses. Categories with more
+    values than bins keep the most frequent ones apart. ``partitions`` should grow with the
+    training table; another number gives another, equally good forest.
     """
-    prepared = _training_table(_prepared(facts, numeric, [label]))
-    # Each category takes a bin, and unseen values one more.
-    check_categories(prepared, most=max_bins - 1)
-    indexer = categorical_indexer(prepared)
+    prepared = _training_table(_prepared(facts, numeric, [label]), partitions)
+    # Each value takes a bin, and all others one more.
+    indexer = categorical_indexer(prepared, most=max_bins - 2)
     assembler = VectorAssembler(
         inputCols=[*numeric, *indexer.getOutputCols()], outputCol="features", handleInvalid="skip"
     )
@@ -96,30 +100,63 @@ def feature_names(model: PipelineModel) -> list[str]:
     return _assembler(model).getInputCols()
 
 
-def check_features(model: PipelineModel, columns: Sequence[str]) -> None:
-    """Fail unless the frame's features are as many as the forest was trained on."""
-    expected = model.stages[-1].numFeatures
-    if len(columns) != expected:
-        raise ValueError(f"the model expects {expected} features, the frame has {len(columns)}")
+def _indexed(model: PipelineModel) -> dict[str, str]:
+    """The category column behind every index feature."""
+    return {
+        output: source
+        for stage in model.stages
+        if isinstance(stage, StringIndexerModel)
+        for source, output in zip(stage.getInputCols(), stage.getOutputCols())
+    }
+
+
+def check_features(
+    model: PipelineModel, columns: Sequence[str], fill: Sequence[str] = ()
+) -> None:
+    """Fail unless ``columns`` of a frame hold all the features the forest was trained on.
+
+    A numeric feature named in ``fill`` may be missing.
+    """
+    names, indexed = feature_names(model), _indexed(model)
+    if len(names) != model.stages[-1].numFeatures:
+        raise ValueError(f"{len(names)} features for a forest of {model.stages[-1].numFeatures}")
+    missing = [
+        name for name in names
+        if indexed.get(name, name) not in columns and name not in fill
+    ]
+    if missing:
+        raise ValueError(f"the frame lacks the features {', '.join(missing)}")
 
 
 def score(
-    model: PipelineModel, facts: DataFrame, keep: Sequence[str] = (), label: str | None = None
+    model: PipelineModel,
+    facts: DataFrame,
+    keep: Sequence[str] = (),
+    label: str | None = None,
+    fill: Sequence[str] = (),
 ) -> DataFrame:
-    """``keep`` columns, the model's features and ``predicted_delay`` of prepared facts."""
-    names = feature_names(model)
-    check_features(model, names)
-    indexed = {name for stage in model.stages if isinstance(stage, StringIndexerModel)
-               for name in stage.getOutputCols()}
+    """``keep`` columns, the model's features and ``predicted_delay`` of every row.
+
+    ``facts`` are prepared facts; a missing feature is an error unless named in ``fill``,
+    which takes it as 0. A row with a feature that is NULL or no number has no prediction.
+    """
+    check_features(model, facts.columns, fill)
+    names, indexed = feature_names(model), _indexed(model)
     numeric = [name for name in names if name not in indexed]
     kept = [*keep, *([label] if label else [])]
     aside = {f"_keep_{name}": name for name in kept}
     carried = facts.withColumns({alias: F.col(name) for alias, name in aside.items()})
-    scored = model.transform(_prepared(carried, numeric, list(aside)))
+    prepared = _prepared(carried, numeric, list(aside))
+    # The assembler leaves rows with gaps out: they go in filled, and are told apart by this.
+    gaps = F.array(*[F.col(name) for name in numeric])
+    complete = ~F.exists(gaps, lambda value: value.isNull() | F.isnan(value))
+    whole = prepared.withColumns({"_given": gaps, "_complete": complete}).na.fill(0.0, subset=numeric)
+    scored = model.transform(whole)
+    given = {name: F.get("_given", F.lit(at)).alias(name) for at, name in enumerate(numeric)}
     return scored.select(
         *[F.col(alias).alias(name) for alias, name in aside.items() if name not in names],
-        *names,
-        F.col("prediction").alias("predicted_delay"),
+        *[given.get(name, F.col(name)) for name in names],
+        F.when(F.col("_complete"), F.col("prediction")).alias("predicted_delay"),
     )
 
 

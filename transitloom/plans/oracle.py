@@ -38,7 +38,7 @@ _PARTS = {
                CASE WHEN k % 4 = 3 THEN '/hfp/v2'
                     ELSE '/hfp/v2/journey/ongoing/vp/' || event_type || '/' || k END AS topic,
                '{"VP":{"veh":' || user_id || ',"route":"R' || k || '"' AS head,
-               CASE k % 10
+               CASE CASE WHEN k % 20 < 10 THEN k % 10 ELSE 10 + k % 6 END
                    WHEN 0 THEN head || ',"spd":' || value || ',"desi":"centre","occu":' || k
                                || ',"acc":-1.5}}'
                    WHEN 1 THEN head || ',"spd":' || value || ',"desi":null,"stop":' || k || '}}'
@@ -49,6 +49,17 @@ _PARTS = {
                    WHEN 6 THEN '{}'
                    WHEN 7 THEN '{"VP":null}'
                    WHEN 8 THEN head || ',"spd":"' || value || '"}}'
+                   WHEN 10 THEN head || ',"spd":' || value || ',"desi":"centre","occu":' || k
+                               || ',"acc":-1.5}}' || chr(10)
+                   WHEN 11 THEN head || ',"spd":' || value || ',"desi":null,"stop":' || k || '}}'
+                               || chr(13) || chr(10)
+                   WHEN 12 THEN ' ' || chr(10) || head
+                               || ',"desi":"centre","lat":60.5,"long":24.5,"dl":-30}}' || chr(9)
+                   WHEN 13 THEN head || ',"spd":null,"desi":"centre"}}' || head
+                               || ',"spd":null,"desi":"centre"}}'
+                   WHEN 14 THEN head || ',"spd":-' || value || ',"desi":"centre","oper":"12"}} x}'
+                   WHEN 15 THEN head || ',"spd":' || value || ',"desi":"centre","occu":' || k
+                               || ',"acc":-1.5}},{}'
                    ELSE '' END AS payload
         FROM ev""",
     "judged": """
@@ -158,7 +169,7 @@ _FLATTENED = """
            replace(start_date, '-', '') AS start_date, destination, journey_id, line, "timestamp",
            timestamp_seconds, delay, speed, latitude, longitude, speed AS vehicle_speed, heading,
            accuracy, occupancy, stop, odometer, location_source, mqtt_topic
-    FROM vehicle"""
+    FROM every_vehicle"""
 
 _DIGEST = "md5(concat_ws('|', '42', {}))"
 
@@ -274,16 +285,17 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "epoch_split": ("", """
         SELECT event_id, strftime(ts, '%Y-%m-%d') AS "date", strftime(ts, '%H:%M') AS "time"
         FROM events"""),
-    "json_parse": ("ev vehicle", """
+    "json_parse": ("ev every_vehicle", """
         SELECT vehicle_id, route, journey_id, timestamp_seconds, speed, occupancy,
-               latitude AS vehicle_latitude, longitude AS vehicle_longitude FROM vehicle"""),
-    "vehicle_flatten": ("ev vehicle", _FLATTENED),
+               latitude AS vehicle_latitude, longitude AS vehicle_longitude FROM every_vehicle"""),
+    "vehicle_flatten": ("ev every_vehicle", _FLATTENED),
     "json_encode": ("ev facts", """
         SELECT CAST(json_object('trip_id', trip_id, 'route_id', route_id, 'status', status,
                'total_stops', total_stops, 'speed', speed, 'occupancy', occupancy, 'stop', stop)
                AS VARCHAR) AS value FROM facts"""),
     "trip_vehicle_join": ("ev vehicle trip", _TRIP_VEHICLE),
-    "distinct_trips": ("ev trip", "SELECT trip_id, route_id, start_time, start_date FROM trip"),
+    "distinct_trips": ("ev every_trip", """
+        SELECT trip_id, route_id, start_time, start_date FROM every_trip"""),
     "time_features": ("", """
         SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour,
                CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week,
@@ -418,15 +430,16 @@ _ORACLES: dict[str, tuple[str, str]] = {
               UNION ALL SELECT trip_id, 1, CAST(l_suppkey AS VARCHAR), due + shift FROM planned) p
         JOIN observed o ON o.trip_id = p.trip_id AND o.stop = p.stop
         WHERE abs(seen - arrival) > 300"""),
-    "windowed_delay": ("ev vehicle", """
+    "windowed_delay": ("ev every_vehicle", """
         SELECT timestamp_seconds // 3600 * 3600 AS window_start, route, count(*) AS positions,
                avg(delay) AS mean_delay
-        FROM vehicle GROUP BY 1, 2"""),
+        FROM every_vehicle GROUP BY 1, 2"""),
     "csv_round_trip": ("ev facts predictions", "SELECT * FROM predictions"),
     "facts_csv_round_trip": ("ev vehicle trip", _TRIP_VEHICLE),
     "facts_by_date": ("ev facts", """
-        SELECT start_date, count(*) AS row_count FROM facts WHERE start_date >= '2024-01-15'
-        GROUP BY 1"""),
+        SELECT 'all' AS dates, start_date, count(*) AS row_count FROM facts GROUP BY 2
+        UNION ALL SELECT 'recent', start_date, count(*) FROM facts
+            WHERE start_date >= '2024-01-15' GROUP BY 2"""),
     "view_scan": ("ev facts", "SELECT trip_id, route_id, start_date, line, odometer FROM facts"),
     "ensure_table": ("ev facts predictions", "SELECT * FROM predictions"),
     "stream_ingest": ("ev vehicle trip", """
@@ -434,13 +447,31 @@ _ORACLES: dict[str, tuple[str, str]] = {
         UNION ALL SELECT 'vehicle', CAST(journey_id AS VARCHAR), start_date, start_time FROM vehicle
         UNION ALL SELECT 'weather', CAST(value AS VARCHAR), strftime(ts, '%Y-%m-%d'),
                          strftime(ts, '%H:%M') FROM ev WHERE event_type = 'signup'"""),
-    "stream_to_table": ("ev vehicle", _FLATTENED),
-    "stream_counts": ("ev vehicle", """
-        SELECT vehicle_type, count(*) AS row_count FROM vehicle GROUP BY 1"""),
+    "stream_to_table": ("ev every_vehicle", _FLATTENED),
+    "stream_counts": ("ev every_vehicle", """
+        SELECT vehicle_type, count(*) AS row_count FROM every_vehicle GROUP BY 1"""),
     "stream_trip_vehicle_join": ("ev vehicle trip", _TRIP_VEHICLE),
+    "stream_normalize": ("ev raw judged", """
+        SELECT CASE WHEN good THEN 'published' ELSE 'rejected' END AS side, topic,
+               CASE WHEN good THEN coalesce(nullif(split_part(topic, '/', 7), ''), 'unknown') END
+                   AS vehicle_type,
+               CASE WHEN good THEN CAST(json_extract(doc, '$.VP.veh') AS INTEGER) END AS vehicle_id,
+               CASE WHEN NOT good THEN payload END AS payload
+        FROM judged"""),
+    "stream_windowed_delay": ("ev every_vehicle", """
+        SELECT timestamp_seconds // 3600 * 3600 AS window_start, route, count(*) AS positions,
+               avg(delay) AS mean_delay
+        FROM every_vehicle GROUP BY 1, 2"""),
+    "time_features_in_zone": ("", """
+        SELECT event_id, CAST(hour(l) AS INTEGER) AS hour,
+               CAST(dayofweek(l) + 1 AS INTEGER) AS day_of_week,
+               CASE WHEN dayofweek(l) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend
+        FROM (SELECT event_id, ts + INTERVAL 7 HOUR AS l FROM events)"""),
 }
 
 _PARTS |= {
+    "every_vehicle": _PARTS["vehicle"].replace(" WHERE event_type <> 'signup'", ""),
+    "every_trip": _PARTS["trip"].replace(" WHERE event_type = 'signup'", ""),
     "f": """SELECT * REPLACE (CASE WHEN line % 11 <> 0 THEN vehicle_type END AS vehicle_type)
             FROM facts""",
     "svt": "SELECT * FROM " + _sample("vehicle_id, trip_id", "vt", 500),

@@ -51,7 +51,12 @@ from transitloom.schemas import (
 )
 from transitloom.sources import catalog, files
 from transitloom.storage import new_path
-from transitloom.streaming.jobs import ingest_topics, store_joined_facts, store_positions
+from transitloom.streaming.jobs import (
+    ingest_topics,
+    publish_vehicles,
+    store_joined_facts,
+    store_positions,
+)
 from transitloom.streaming.sinks import count_writer, table_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,7 +174,7 @@ def epoch_split(spark, sf_dir):
 
 # --- parsing and flattening ---------------------------------------------------------
 def _vehicle_records(spark, sf_dir):
-    vehicles = testdata.vehicle_rows(testdata.event_rows(spark, sf_dir))
+    vehicles = testdata.vehicle_rows(testdata.event_rows(spark, sf_dir), whole=True)
     return testdata.records(vehicles, "bus", "vehicle-positions")
 
 
@@ -219,7 +224,7 @@ def trip_vehicle_join(spark, sf_dir):
 
 @_query
 def distinct_trips(spark, sf_dir):
-    trips = testdata.trip_rows(testdata.event_rows(spark, sf_dir))
+    trips = testdata.trip_rows(testdata.event_rows(spark, sf_dir), whole=True)
     polled = trips.unionByName(trips)
     return trip_join.distinct_trips(polled).select("trip_id", "route_id", "start_time", "start_date")
 
@@ -233,6 +238,13 @@ def time_features(spark, sf_dir):
     return friday.withColumnRenamed("is_weekend", "friday_saturday").drop("ts")
 
 
+@_query
+def time_features_in_zone(spark, sf_dir):
+    events = testdata.table(spark, sf_dir, "events")
+    texts = events.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"))
+    return features.time_features(texts, "at", zone="Asia/Bangkok").drop("at")
+
+
 @_query
 def feature_frame(spark, sf_dir):
     return features.feature_frame(testdata.facts(spark, sf_dir))
@@ -538,9 +550,13 @@ def trip_sync_issues(spark, sf_dir):
 @_query
 def windowed_delay(spark, sf_dir):
     rows = testdata.event_rows(spark, sf_dir)
-    moved = testdata.vehicle_rows(rows).withColumn(
-        "at", F.col("timestamp_seconds").cast("timestamp")
-    )
+    return _hourly_delay(testdata.vehicle_rows(rows, whole=True))
+
+
+def _hourly_delay(vehicles):
+    moved = vehicles.withColumn("at", F.col("timestamp_seconds").cast("timestamp"))
+    if vehicles.isStreaming:
+        moved = moved.withWatermark("at", "1 day")
     delays = enrichment.windowed_delay(moved, "at", "1 hour")
     return delays.select(
         F.unix_seconds("start").alias("window_start"), "route", "positions", "mean_delay"
@@ -579,10 +595,12 @@ def facts_csv_round_trip(spark, sf_dir):
 def facts_by_date(spark, sf_dir):
     path = new_path(spark, "facts")
     files.write_facts(testdata.facts(spark, sf_dir).drop("status", "timestamp"), path)
-    stored = spark.read.parquet(path).where("start_date >= '2024-01-15'")
-    return stored.groupBy(F.col("start_date").cast("string").alias("start_date")).agg(
-        F.count("*").alias("row_count")
-    )
+    stored = files.read_facts(spark, path, testdata.facts(spark, sf_dir).schema)
+    counts = [
+        frame.groupBy(F.lit(name).alias("dates"), "start_date").agg(F.count("*").alias("row_count"))
+        for name, frame in (("all", stored), ("recent", stored.where("start_date >= '2024-01-15'")))
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 @_query
@@ -638,7 +656,7 @@ def stream_ingest(spark, sf_dir):
 @_query
 def stream_to_table(spark, sf_dir):
     folder = new_path(spark, "positions")
-    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir))
+    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir), whole=True)
     job = store_positions(
         testdata.records(vehicles, "bus", "vehicle-positions"),
         [table_writer(f"{folder}/rows"), count_writer(f"{folder}/counts", ["vehicle_type"])],
@@ -652,7 +670,7 @@ def stream_to_table(spark, sf_dir):
 @_query
 def stream_counts(spark, sf_dir):
     folder = new_path(spark, "positions")
-    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir))
+    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir), whole=True)
     job = store_positions(
         testdata.records(vehicles, "bus", "vehicle-positions"),
         [count_writer(f"{folder}/counts", ["vehicle_type"])],
@@ -667,19 +685,65 @@ def stream_counts(spark, sf_dir):
 @_query
 def stream_trip_vehicle_join(spark, sf_dir):
     folder = new_path(spark, "joined")
-    trips = testdata.trip_rows(testdata.event_stream(spark, sf_dir))
+    # The feed repeats every trip with each poll.
+    polled = testdata.event_stream(spark, sf_dir).withColumn("poll", F.explode(F.array(F.lit(1), F.lit(2))))
+    trips = testdata.trip_rows(polled)
     vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir))
     job = store_joined_facts(
         testdata.records(trips, "trip", "trip-updates"),
         testdata.records(vehicles, "bus", "vehicle-positions"),
         [table_writer(f"{folder}/rows")],
         f"{folder}/_checkpoint",
+        watermark=None,
         available_now=True,
     )
     job.awaitTermination()
     return spark.read.parquet(f"{folder}/rows").select(*_JOINED)
 
 
+@_query
+def stream_normalize(spark, sf_dir):
+    folder = new_path(spark, "normalized")
+    raw = testdata.raw_vehicle_messages_of(testdata.event_stream(spark, sf_dir))
+    job = publish_vehicles(
+        raw,
+        [table_writer(f"{folder}/published")],
+        [table_writer(f"{folder}/rejected")],
+        f"{folder}/_checkpoint",
+        available_now=True,
+    )
+    job.awaitTermination()
+    published = spark.read.parquet(f"{folder}/published").select(
+        F.lit("published").alias("side"), F.col("mqtt_topic").alias("topic"), "vehicle_type",
+        "vehicle_id", F.lit(None).cast("string").alias("payload"),
+    )
+    rejected = spark.read.parquet(f"{folder}/rejected").select(
+        F.lit("rejected").alias("side"), "topic", F.lit(None).cast("string").alias("vehicle_type"),
+        F.lit(None).cast("int").alias("vehicle_id"), "payload",
+    )
+    return published.unionByName(rejected)
+
+
+@_query
+def stream_windowed_delay(spark, sf_dir):
+    folder = new_path(spark, "delays")
+    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir), whole=True)
+    # In complete mode every window is out at the end, the ones still open included.
+    delays = _hourly_delay(vehicles)
+    writer = delays.writeStream.outputMode("complete").foreachBatch(_latest(f"{folder}/rows"))
+    writer.option("checkpointLocation", f"{folder}/_checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/rows")
+
+
+def _latest(path):
+    def write(batch, epoch_id):
+        batch.write.mode("overwrite").parquet(path)
+
+    return write
+
+
 # --- the delay model ----------------------------------------------------------------
 def _train(spark, sf_dir):
     return delay_model.train_and_evaluate(testdata.facts(spark, sf_dir), keys=["journey_id"])

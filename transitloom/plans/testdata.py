@@ -46,11 +46,13 @@ def _start_columns():
     ]
 
 
-def vehicle_rows(rows: DataFrame) -> DataFrame:
-    """Positions: every event that is not a signup, in the vehicle schema."""
+def vehicle_rows(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """Positions: every event that is not a signup (or all), in the vehicle schema."""
+    if not whole:
+        rows = rows.where("event_type <> 'signup'")
     k = F.col("k")
     route, start_date, start_time = _start_columns()
-    return rows.where("event_type <> 'signup'").select(
+    return rows.select(
         F.col("user_id").cast("int").alias("vehicle_id"),
         F.col("event_type").alias("vehicle_type"),
         (k % 5).alias("operator"),
@@ -80,8 +82,10 @@ def vehicle_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def trip_rows(rows: DataFrame) -> DataFrame:
-    """Trips: every signup, in the trip schema, with 0 to 7 stops or none given."""
+def trip_rows(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """Trips: every signup (or event), in the trip schema, with 0 to 7 stops or none given."""
+    if not whole:
+        rows = rows.where("event_type = 'signup'")
     k = F.col("k")
     route, start_date, start_time = _start_columns()
     epoch = moment_to_epoch(rows, "ts")
@@ -93,7 +97,7 @@ def trip_rows(rows: DataFrame) -> DataFrame:
             (epoch + i * 60 + 20).alias("departure_time"),
         ),
     )
-    return rows.where("event_type = 'signup'").select(
+    return rows.select(
         F.col("event_id").cast("string").alias("trip_id"),
         route.alias("route_id"),
         start_time,
@@ -132,7 +136,11 @@ def records(normalised: DataFrame, key: str, topic: str) -> DataFrame:
 
 def raw_vehicle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw envelopes of all events, most of them odd in one of the ways a feed can be."""
-    rows = event_rows(spark, sf_dir)
+    return raw_vehicle_messages_of(event_rows(spark, sf_dir))
+
+
+def raw_vehicle_messages_of(rows: DataFrame) -> DataFrame:
+    """The same from event rows, which may be a stream."""
     k, value = F.col("k"), F.col("value").cast("string")
     text = k.cast("string")
 
@@ -154,7 +162,16 @@ def raw_vehicle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope(F.lit(',"spd":"'), value, F.lit('"')),
         F.lit(""),
     ]
-    payload = F.get(F.array(*payloads), k % 10)
+    # Every other round of numbers adds what may, and what may not, stand around a document.
+    around = [
+        F.concat(payloads[0], F.lit("\n")),
+        F.concat(payloads[1], F.lit("\r\n")),
+        F.concat(F.lit(" \n"), payloads[2], F.lit("\t")),
+        F.concat(payloads[3], payloads[3]),
+        F.concat(payloads[4], F.lit(" x}")),
+        F.concat(payloads[0], F.lit(",{}")),
+    ]
+    payload = F.get(F.array(*payloads, *around), F.when(k % 20 < 10, k % 10).otherwise(10 + k % 6))
     topic = F.when(k % 4 == 3, F.lit("/hfp/v2")).otherwise(
         F.concat(F.lit(TOPIC), F.col("event_type"), F.lit("/"), text)
     )

@@ -19,11 +19,15 @@ DEFAULTS = {
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library defaults; ``conf`` (``_`` stands for ``.``) wins over them."""
+    """A session with the library defaults; ``conf`` wins over them.
+
+    In names without a dot ``_`` stands for one; a name with dots is taken as it is.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {key.replace("_", "."): value for key, value in conf.items()}
+    named = {key if "." in key else key.replace("_", "."): value for key, value in conf.items()}
+    settings = DEFAULTS | named
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
+import shutil
 import tempfile
 import uuid
 
@@ -13,15 +16,19 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Where neither is set, a local session gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its machine, so that is an error.
+    Where neither is set, a local session gets a temporary folder, with a warning, which goes
+    when the process ends; on a cluster a machine-local folder would be lost with its
+    machine, so that is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_CONF} to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="transitloom-"))
+        own = tempfile.mkdtemp(prefix="transitloom-")
+        logging.getLogger(__name__).warning("%s is not set; using %s", _CHECKPOINT_CONF, own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
