@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from transitloom.operators import graph, ordering
 from transitloom.operators.ordering import batch_id, next_in_group, with_rank
-from transitloom.operators.skew import hot_keys, skew_join
+from transitloom.operators.skew import HotKeys, hot_keys, skew_join
 from transitloom.operators.trip_join import join_trips_vehicles
 from transitloom.plans import testdata
 from transitloom.storage import materialize
@@ -29,8 +29,20 @@ def skewed(spark):
 
 def test_hot_keys_are_found_with_their_counts(skewed):
     expected = skewed.where("k = 1").count()
-    assert [tuple(row) for row in hot_keys(skewed, ["k"], 100, 1 / 50)] == [(1, expected)]
-    assert hot_keys(skewed, ["k"], 10_000) == []
+    assert rows(hot_keys(skewed, ["k"], 100, 1 / 50).table) == [(1, expected)]
+    assert not hot_keys(skewed, ["k"], 10_000)
+
+
+def test_a_key_of_a_small_share_is_split_too(spark):
+    frame = spark.range(200_000).select(
+        F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id")).alias("k"), "id"
+    )
+    found = hot_keys(frame, ["k"], 100)
+    assert rows(found.table) == [(-1, 100)]
+    right = frame.where("id % 1000 = 0").select("k", F.col("id").alias("w")).where("k <> -1 OR w = 0")
+    joined = skew_join(frame, right, ["k"], "left", 100, unique_right=True)
+    assert "_left_salt" in joined._jdf.queryExecution().toString()
+    assert rows(joined.where("w IS NOT NULL")) == rows(frame.join(right, "k"))
 
 
 @pytest.mark.parametrize("hot_rows", [8, 100])
@@ -91,7 +103,8 @@ def test_batches_are_disjoint_and_full(spark):
 def test_next_row_in_hot_group(spark, skewed):
     visits = skewed.dropna().distinct()
     plain = next_in_group(visits, "k", ["v"], "v", "following")
-    ranked = next_in_group(visits, "k", ["v"], "v", "following", hot=[1, 7])
+    hot = HotKeys(spark.createDataFrame([(1,), (7,)], "k int"), 2)
+    ranked = next_in_group(visits, "k", ["v"], "v", "following", hot)
     assert rows(ranked, *plain.columns) == rows(plain)
 
 

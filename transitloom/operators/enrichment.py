@@ -107,7 +107,7 @@ def trip_sync_issues(
     # A stop of a trip can only be frequent if the trip is, which a narrow scan tells.
     keys = ["trip_id", "stop"]
     busy = hot_keys(trips, ["trip_id"], hot_rows, hot_share)
-    hot = hot_keys(planned, keys, hot_rows, hot_share) if busy else []
+    hot = hot_keys(planned, keys, hot_rows, hot_share) if busy else busy
     seen = skew_join(
         planned, observed, keys, "left", hot_rows, hot_share, unique_right=True, left_hot=hot
     )

@@ -65,10 +65,9 @@ def _hot_trips(facts, visits, hot_rows, hot_share):
     one narrow scan tells; only for those the distinct stops are counted."""
     busy = hot_keys(facts.where("stop IS NOT NULL"), ["trip_id"], hot_rows, hot_share)
     if not busy:
-        return []
-    suspects = visits.where(F.col("trip_id").isin([row["trip_id"] for row in busy]))
-    counts = suspects.groupBy("trip_id").count().where(F.col("count") >= hot_rows)
-    return [row["trip_id"] for row in counts.collect()]
+        return busy
+    suspects = visits.join(busy.joinable(busy.table.select("trip_id")), "trip_id", "left_semi")
+    return hot_keys(suspects, ["trip_id"], hot_rows)
 
 
 def stop_precede(

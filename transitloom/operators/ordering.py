@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from transitloom.operators.skew import NO_KEYS, HotKeys
 from transitloom.storage import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -60,20 +61,20 @@ def next_in_group(
     order: Sequence[str],
     value: str,
     alias: str,
-    hot: Sequence = (),
+    hot: HotKeys = NO_KEYS,
 ) -> DataFrame:
     """Add ``value`` of the following row of the same ``group``; NULL for the last row.
 
-    Ordinary groups use a window. A group named in ``hot`` would be one task there, so
+    Ordinary groups use a window. A group in ``hot`` would be one task there, so
     its rows are ranked globally and each is joined with the one ranked right after it.
     """
     window = Window.partitionBy(group).orderBy(*order)
-    if not len(hot):
+    if not hot:
         return df.withColumn(alias, F.lead(value).over(window))
 
-    is_hot = F.coalesce(F.col(group).isin(*hot), F.lit(False))
-    ordinary = df.where(~is_hot).withColumn(alias, F.lead(value).over(window))
-    ranked = with_rank(df.where(is_hot), [group, *order], "_rank")
+    listed = hot.joinable(hot.table.select(group))
+    ordinary = df.join(listed, group, "left_anti").withColumn(alias, F.lead(value).over(window))
+    ranked = with_rank(df.join(listed, group, "left_semi"), [group, *order], "_rank")
     following = ranked.select(
         F.col(group), (F.col("_rank") - 1).alias("_rank"), F.col(value).alias(alias)
     )

@@ -9,19 +9,39 @@ processed, never which rows come out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds both this share of the rows and this many rows.
-# At most 1 / HOT_SHARE keys can reach the share, which bounds the hot list.
-HOT_SHARE = 1 / 1024
+from transitloom.storage import materialize
+
+# A key is hot when it holds this many rows, however many there are in all: about what one
+# task of a shuffle should get. A caller may ask for a share of all rows besides.
 HOT_ROWS = 1_000_000
-# Four times as many as there can be hot keys: a bucket of ordinary keys stays below the share.
+HOT_SHARE = 0.0
 _BUCKETS = 4096
-_MAX_SALTS = 8192
+# A list of hot keys of up to this many rows is broadcast; there is one per million rows at most.
+_BROADCAST_KEYS = 1_000_000
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot keys of a frame as a stored table ``(*keys, count)``; false if there are none."""
+
+    table: DataFrame | None = None
+    size: int = 0
+
+    def __bool__(self) -> bool:
+        return self.size > 0
+
+    def joinable(self, table: DataFrame) -> DataFrame:
+        """``table``, one row per hot key, marked for broadcast if there are few enough."""
+        return F.broadcast(table) if self.size <= _BROADCAST_KEYS else table
+
+
+NO_KEYS = HotKeys()
 
 
 def hot_keys(
@@ -29,8 +49,8 @@ def hot_keys(
     keys: Sequence[str],
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
-) -> list[Row]:
-    """Rows ``(*keys, count)`` of the hot keys, at most ``1 / hot_share`` of them.
+) -> HotKeys:
+    """The keys with ``hot_rows`` rows or more (and at least ``hot_share`` of all).
 
     The first pass counts hash buckets (a fixed number of groups, combined before
     the shuffle). Only buckets heavy enough to hide a hot key are looked at again.
@@ -41,14 +61,10 @@ def hot_keys(
     threshold = max(hot_rows, hot_share * sum(row["count"] for row in sizes))
     heavy = [row["bucket"] for row in sizes if row["count"] >= threshold]
     if not heavy:
-        return []
-    return (
-        present.where(bucket.isin(heavy))
-        .groupBy(*keys)
-        .count()
-        .where(F.col("count") >= threshold)
-        .collect()
-    )
+        return NO_KEYS
+    counted = present.where(bucket.isin(heavy)).groupBy(*keys).count()
+    table = materialize(counted.where(F.col("count") >= threshold), "hot-keys")
+    return HotKeys(table, table.count())
 
 
 def spread(columns: Sequence[str], salts) -> F.Column:
@@ -68,9 +84,7 @@ def _same(left: str, right: str, keys: Sequence[str]) -> F.Column:
 def _attach_salts(df, keys, hot, split_by, copy_by):
     """Add ``_split`` (own salt) and ``_copy`` (one replica per salt of the other side)."""
     names = df.columns
-    marked = df.alias("data").join(
-        F.broadcast(hot).alias("hot"), _same("data", "hot", keys), "left"
-    )
+    marked = df.alias("data").join(hot.alias("hot"), _same("data", "hot", keys), "left")
     own = F.coalesce(F.col(f"hot.{split_by}"), F.lit(1))
     other = F.coalesce(F.col(f"hot.{copy_by}"), F.lit(1))
     return marked.select(
@@ -92,7 +106,7 @@ def skew_join(
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
     unique_right: bool = False,
-    left_hot: list[Row] | None = None,
+    left_hot: HotKeys | None = None,
 ) -> DataFrame:
     """Equi-join on ``keys`` (same names on both sides) with hot keys salted.
 
@@ -107,20 +121,19 @@ def skew_join(
         raise ValueError(f"{how} join needs a right side with one row per key")
     if left_hot is None:
         left_hot = hot_keys(left, keys, hot_rows, hot_share)
-    right_hot = [] if unique_right else hot_keys(right, keys, hot_rows, hot_share)
+    right_hot = NO_KEYS if unique_right else hot_keys(right, keys, hot_rows, hot_share)
     if not left_hot and not right_hot:
         return left.join(right, list(keys), how)
 
-    per_salt = max(1, hot_rows // 4)
-    salts: dict[tuple, list[int]] = {}
-    for side, rows in enumerate((left_hot, right_hot)):
-        for row in rows:
-            pair = salts.setdefault(tuple(row[key] for key in keys), [1, 1])
-            pair[side] = min(ceil(row["count"] / per_salt), _MAX_SALTS)
-    types = ", ".join(f"`{key}` {left.schema[key].dataType.simpleString()}" for key in keys)
-    hot = left.sparkSession.createDataFrame(
-        [(*key, *pair) for key, pair in salts.items()], f"{types}, left_salts int, right_salts int"
-    )
+    share = max(1, hot_rows // 4)
+
+    def salts(hot: HotKeys, name: str) -> DataFrame:
+        source = hot.table if hot else (left_hot or right_hot).table.limit(0)
+        return source.select(*keys, F.ceil(F.col("count") / share).cast("int").alias(name))
+
+    both = salts(left_hot, "left_salts").join(salts(right_hot, "right_salts"), [*keys], "full")
+    listed = materialize(both.na.fill(1, subset=["left_salts", "right_salts"]), "salts")
+    hot = HotKeys(listed, left_hot.size + right_hot.size).joinable(listed)
     salted_left = _attach_salts(left, keys, hot, "left_salts", "right_salts")
     salted_right = _attach_salts(right, keys, hot, "right_salts", "left_salts")
     # A pair of rows meets in the one cell (salt of left, salt of right).

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
+from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, NO_KEYS, hot_keys, skew_join
 from transitloom.storage import materialize
 
 
@@ -102,9 +102,9 @@ def connected_components(
     """
 
     def busy(table, *columns):
-        """Hot keys per column of a stored table; one with few rows has none."""
+        """Hot keys per column of a stored table; one with fewer rows than a hot key has none."""
         if table.count() < hot_rows:
-            return [[] for _ in columns]
+            return [NO_KEYS for _ in columns]
         return [hot_keys(table, [column], hot_rows, hot_share) for column in columns]
 
     ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).dropna().distinct()
@@ -134,4 +134,4 @@ def connected_components(
         # Nodes that first moved in a later round.
         stayed = chained.join(earlier, "id", "left_anti")
         chained = materialize(moved.unionByName(stayed), "step")
-    return _follow(labels, chained, "component", hot_rows, [])
+    return _follow(labels, chained, "component", hot_rows, NO_KEYS)
