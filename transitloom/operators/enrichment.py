@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
+from transitloom.storage import materialize
 
 _DAY = 24 * 60
 
@@ -46,6 +47,7 @@ def weather_enrich(
         .agg(F.first("report", ignorenulls=True).alias("report"))
         .withColumn("_day", F.floor(F.col("minute") / _DAY))
     )
+    calendar = materialize(calendar, "calendar")  # read twice, and a row per minute at most
     so_far = Window.partitionBy(*by, "_day").orderBy("minute")
     within = F.last("report", ignorenulls=True).over(
         so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,19 +73,21 @@ def weather_enrich(
 
 def planned_stops(trips: DataFrame) -> DataFrame:
     """One row per planned stop of a trip, with the arrival planned just before it."""
-    place = F.col("stop_time_updates")
-    arrivals = F.transform(place, lambda stop: stop["arrival_time"])
-    return trips.select(
-        "trip_id",
-        arrivals.alias("arrivals"),
-        F.posexplode("stop_time_updates").alias("stop_sequence", "planned"),
-    ).select(
+    stops = F.col("stop_time_updates")
+    # Paired before they are taken apart: no row carries the whole trip along.
+    paired = F.transform(
+        stops,
+        lambda stop, at: F.struct(
+            stop.alias("stop"), F.get(stops, at - 1)["arrival_time"].alias("previous_arrival")
+        ),
+    )
+    return trips.select("trip_id", F.posexplode(paired).alias("stop_sequence", "planned")).select(
         "trip_id",
         "stop_sequence",
-        F.col("planned.stop_id").alias("stop"),
-        F.col("planned.arrival_time").alias("arrival_time"),
-        F.col("planned.departure_time").alias("departure_time"),
-        F.get("arrivals", F.col("stop_sequence") - 1).alias("previous_arrival"),
+        F.col("planned.stop.stop_id").alias("stop"),
+        F.col("planned.stop.arrival_time").alias("arrival_time"),
+        F.col("planned.stop.departure_time").alias("departure_time"),
+        "planned.previous_arrival",
     )
 
 

@@ -124,6 +124,17 @@ def transport_edges(facts: DataFrame) -> DataFrame:
     )
 
 
+def position_relation(facts: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """``(src, vehicle_latitude, vehicle_longitude, relation)`` of existing vehicles (a frame of
+    vehicle ids) and the positions they moved to; a position is its own key, so merging
+    position nodes is keeping each once."""
+    found = resolve_edges(position_edges(facts), vehicles, None, src="vehicle_id")
+    return found.select(
+        _tagged("vehicle_id").alias("src"), "vehicle_latitude", "vehicle_longitude",
+        F.lit(SE_DEPLACE_VERS).alias("relation"),
+    )
+
+
 def upsert_nodes(
     existing: DataFrame, incoming: DataFrame, key: str, order: Sequence[str]
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, NO_KEYS, hot_keys, skew_join
-from transitloom.storage import materialize
+from transitloom.storage import discard, materialize
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -118,12 +118,14 @@ def connected_components(
             if step.select("target").distinct().join(known, "target", "left_semi").isEmpty():
                 break
             further = _follow(step, step, "target", hot_rows, *busy(step, "target"))
-            step = materialize(further, "choice")
+            shorter, step = step, materialize(further, "choice")
+            discard(shorter)
         steps.append(step)
         hot_src, hot_dst = busy(links, "src", "dst")
-        links = _follow(links, step, "src", hot_rows, hot_src)
-        links = _downward(_follow(links, step, "dst", hot_rows, hot_dst))
-        links = materialize(links.distinct(), "links")
+        moved = _follow(links, step, "src", hot_rows, hot_src)
+        moved = _downward(_follow(moved, step, "dst", hot_rows, hot_dst))
+        before, links = links, materialize(moved.distinct(), "links")
+        discard(before)
     labels = ids.withColumn("component", F.col("id"))
     if not steps:
         return labels
@@ -133,5 +135,7 @@ def connected_components(
         moved = _follow(earlier, chained, "target", hot_rows, *busy(earlier, "target"))
         # Nodes that first moved in a later round.
         stayed = chained.join(earlier, "id", "left_anti")
-        chained = materialize(moved.unionByName(stayed), "step")
+        later, chained = chained, materialize(moved.unionByName(stayed), "step")
+        discard(later)
+        discard(earlier)
     return _follow(labels, chained, "component", hot_rows, NO_KEYS)

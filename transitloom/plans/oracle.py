@@ -1,6 +1,7 @@
 """The registered queries written in DuckDB's SQL, over the same tables.
 
-No entry for the queries that train a model: their results have no SQL form.
+No entry for the queries whose result is a model's: what is fixed in them (rows, keys, bounds)
+has queries of its own.
 """
 
 from __future__ import annotations
@@ -224,6 +225,10 @@ def _graph_rows(vehicles: str, trips: str, stops: str, pairs: str) -> str:
 
 
 # name -> (building blocks, further named blocks, query)
+# Rows with a label, and those on the test side of the split by journey.
+_LABELLED = "delay IS NOT NULL AND NOT isnan(delay)"
+_TEST_SIDE = "CAST('0x' || substr(md5('42|' || journey_id), 1, 8) AS BIGINT) % 100 >= 80"
+
 _ORACLES: dict[str, tuple[str, str]] = {
     "vehicle_normalize": ("ev raw judged", """
         SELECT CAST(json_extract(doc, '$.VP.veh') AS INTEGER) AS vehicle_id,
@@ -379,6 +384,15 @@ _ORACLES: dict[str, tuple[str, str]] = {
         SELECT DISTINCT vehicle_id, vehicle_latitude, vehicle_longitude FROM gf
         WHERE vehicle_latitude IS NOT NULL AND vehicle_longitude IS NOT NULL
           AND vehicle_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)"""),
+    "graph_position_upsert": ("gf", """
+        SELECT DISTINCT 'V_' || vehicle_id AS src, vehicle_latitude, vehicle_longitude,
+               'SE_DEPLACE_VERS' AS relation FROM gf
+        WHERE vehicle_latitude IS NOT NULL AND vehicle_longitude IS NOT NULL
+          AND vehicle_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+        UNION ALL
+        SELECT DISTINCT CAST(NULL AS VARCHAR), vehicle_latitude, vehicle_longitude, 'position'
+        FROM gf WHERE vehicle_id IS NOT NULL AND vehicle_latitude IS NOT NULL
+          AND vehicle_longitude IS NOT NULL"""),
     "graph_node_upsert": ("gf", """
         SELECT vehicle_id, vehicle_type, operator, line, speed, occupancy
         FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY timestamp_seconds DESC,
@@ -462,6 +476,20 @@ _ORACLES: dict[str, tuple[str, str]] = {
         SELECT timestamp_seconds // 3600 * 3600 AS window_start, route, count(*) AS positions,
                avg(delay) AS mean_delay
         FROM every_vehicle GROUP BY 1, 2"""),
+    "ml_train_check": ("ev facts", f"""
+        SELECT count(*) AS rows, true AS beats_mean FROM facts
+        WHERE {_LABELLED} AND {_TEST_SIDE}"""),
+    "ml_score_rows": ("ev facts", f"""
+        SELECT CAST(journey_id AS DOUBLE) AS journey_id,
+               CASE WHEN line % 3 > 0 THEN CAST(stop AS DOUBLE) END AS stop,
+               odometer, CAST(hour AS DOUBLE) AS hour,
+               CASE WHEN line % 3 > 0 THEN true END AS within_labels
+        FROM facts WHERE {_LABELLED}"""),
+    "ml_batch_rows": ("ev facts", f"""
+        SELECT batch_id, journey_id
+        FROM (SELECT *, (row_number() OVER (ORDER BY "timestamp", journey_id) - 1) // 1000 AS batch_id
+              FROM facts)
+        WHERE {_LABELLED} AND {_TEST_SIDE}"""),
     "time_features_in_zone": ("", """
         SELECT event_id, CAST(hour(l) AS INTEGER) AS hour,
                CAST(dayofweek(l) + 1 AS INTEGER) AS day_of_week,

@@ -50,7 +50,7 @@ from transitloom.schemas import (
     VEHICLE_TRIP_EDGES,
 )
 from transitloom.sources import catalog, files
-from transitloom.storage import new_path
+from transitloom.storage import materialize, new_path
 from transitloom.streaming.jobs import (
     ingest_topics,
     publish_vehicles,
@@ -433,6 +433,22 @@ def graph_position_edges_resolved(spark, sf_dir):
     return graph.resolve_edges(edges, vehicles, None, src="vehicle_id")
 
 
+@_query
+def graph_position_upsert(spark, sf_dir):
+    facts = testdata.graph_facts(spark, sf_dir)
+    vehicles = testdata.table(spark, sf_dir, "supplier").where("s_acctbal > 0").select("s_suppkey")
+    moved = materialize(graph.position_relation(facts, vehicles), "moved")
+    existing = moved.where("vehicle_latitude > 0")
+    edges = graph.upsert_edges(graph.upsert_edges(existing, moved), moved)
+    stored = edges.select("vehicle_latitude", "vehicle_longitude").distinct()
+    nodes = graph.upsert_edges(stored, graph.position_nodes(facts))
+    return edges.unionByName(
+        nodes.select(
+            F.lit(None).cast("string").alias("src"), "*", F.lit("position").alias("relation")
+        )
+    )
+
+
 @_query
 def graph_node_upsert(spark, sf_dir):
     existing = testdata.table(spark, sf_dir, "supplier").select(
@@ -454,6 +470,7 @@ def graph_assemble(spark, sf_dir):
     edges = graph.assemble_edges(
         graph.vehicle_trip_edges(facts), graph.trip_stop_edges(facts), graph.precede_edges(facts)
     )
+    edges = materialize(edges, "assembled")  # for the result and for its endpoints
     # Stops only from rows that have a position, so that some endpoints lack a node.
     stops = graph.stop_nodes(facts.where("vehicle_latitude IS NOT NULL"))
     nodes = graph.assemble_nodes(
@@ -774,3 +791,32 @@ def ml_score(spark, sf_dir):
 def ml_batch_score(spark, sf_dir):
     facts = testdata.facts(spark, sf_dir)
     return delay_model.train_score_batches(facts, ["timestamp", "journey_id"], ["journey_id"])
+
+
+@_query
+def ml_train_check(spark, sf_dir):
+    facts = testdata.facts(spark, sf_dir)
+    _, scored = delay_model.train_and_evaluate(facts, keys=["journey_id"], trees=20)
+    found = delay_model.evaluate(scored)
+    return found.select("rows", (F.col("r2") > 0).alias("beats_mean"))
+
+
+@_query
+def ml_score_rows(spark, sf_dir):
+    facts = testdata.facts(spark, sf_dir)
+    frame = features.feature_frame(facts).withColumn("stop", F.expr("CASE WHEN line % 3 > 0 THEN stop END"))
+    model = delay_model.train_delay_model(frame, trees=20)
+    bounds = frame.where("stop IS NOT NULL").agg(F.min("delay").alias("low"), F.max("delay").alias("high")).first()
+    inside = F.col("predicted_delay").between(bounds["low"], bounds["high"])
+    return delay_model.score(model, frame, keep=["journey_id"]).select(
+        "journey_id", "stop", "odometer", "hour", inside.alias("within_labels")
+    )
+
+
+@_query
+def ml_batch_rows(spark, sf_dir):
+    facts = testdata.facts(spark, sf_dir)
+    scored = delay_model.train_score_batches(
+        facts, ["timestamp", "journey_id"], ["journey_id"], trees=20
+    )
+    return scored.select("batch_id", "journey_id")

@@ -53,22 +53,26 @@ def write_options(
     properties: Mapping[str, str] | None = None,
     column_types: str | None = None,
     batch_size: int = 10_000,
-    connections: int = 32,
 ) -> dict[str, str]:
-    """Writer options; ``column_types`` fixes the column types of a table created on write.
-
-    At most ``connections`` tasks write at a time, whatever the size of the frame.
-    """
+    """Writer options; ``column_types`` fixes the column types of a table created on write."""
     options = dict(properties or {}) | {
-        "url": url, "dbtable": table, "batchsize": str(batch_size), "numPartitions": str(connections),
+        "url": url, "dbtable": table, "batchsize": str(batch_size),
     }
     if column_types:
         options["createTableColumnTypes"] = column_types
     return options
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **options) -> None:
-    """Append (or write with ``mode``) a frame to a table, created if it is not there."""
+def write_jdbc(
+    df: DataFrame, url: str, table: str, mode: str = "append", connections: int | None = None, **options
+) -> None:
+    """Append (or write with ``mode``) a frame to a table, created if it is not there.
+
+    Every partition writes over a connection of its own. ``connections`` deals the rows to
+    that many tasks first, which leaves the work before it as wide as it is.
+    """
+    if connections:
+        df = df.repartition(connections)
     df.write.format("jdbc").options(**write_options(url, table, **options)).mode(mode).save()
 
 

@@ -46,7 +46,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table made by ``materialize`` that no frame still to be computed reads."""
+    spark, path = stored.sparkSession, stored._stored_at
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
