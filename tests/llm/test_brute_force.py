@@ -193,6 +193,17 @@ def test_exact_dedup_tells_collisions_apart(spark, keep):
     assert all(r["kept"] <= (r["doc_id"] == r["keep_id"]) for r in found)
 
 
+def test_a_directory_of_several_steps_is_looked_up_at_once(spark):
+    sizes = spark.createDataFrame(
+        [(0, 60), (1 << 50, 60), (1 << 59, 60)], "bits bigint, size bigint"
+    )
+    steps = sharding.shard_directory(sizes, 100)
+    assert len(steps) > 1
+    found = {row["cell"]: row["leaves"] for row in sharding._leaves_by_cell(steps).collect()}
+    assert set(map(tuple, found[0])) == {(10, 0, False), (10, 1, False)}
+    assert set(map(tuple, found[8])) == {(1, 1, False)}
+
+
 def test_shards_fit_and_are_as_large_as_they_can_be(spark):
     docs = [(k, "x" * (k % 50)) for k in range(400)] + [(1000, "y" * 90)] * 30 + [(2000, "z" * 900)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")

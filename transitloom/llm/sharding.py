@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +76,30 @@ def shard_directory(sizes: DataFrame, limit: int) -> list[tuple[int, DataFrame]]
         base = fine + 1
 
 
+def _leaves_by_cell(steps: list[tuple[int, DataFrame]]) -> DataFrame:
+    """``cell, leaves``: per cell of the first step its leaves ``depth, prefix, full``.
+
+    A cell that fits lies in one leaf. One that split further has a leaf per bucket of at
+    least half a limit or of its sibling, few as hashes spread evenly; rows of one hash are
+    one leaf however many they are.
+    """
+    first = steps[0][0]
+    found = [
+        directory.where("depth is not null").select(
+            F.shiftright("cell", fine - first).alias("cell"),
+            "depth",
+            F.expr(f"shiftright(cell, {fine} - depth)").alias("prefix"),
+            "full",
+        )
+        for fine, directory in steps
+    ]
+    return (
+        reduce(DataFrame.unionByName, found)
+        .groupBy("cell")
+        .agg(F.collect_set(F.struct("depth", "prefix", "full")).alias("leaves"))
+    )
+
+
 def shard(
     documents: DataFrame,
     limit: int,
@@ -102,30 +128,23 @@ def shard(
         size=size.cast("bigint"),
     )
     steps = shard_directory(materialize(rows.select("bits", "size"), "sizes"), limit)
-    known = rows
-    for number, (fine, directory) in enumerate(steps):
-        # Rows whose leaf is known have no further cell and go past the later joins.
-        cell = F.shiftright("bits", HASH_BITS - fine)
-        if number:
-            before = F.coalesce(*[F.col(f"depth{k}") for k in range(number)])
-            cell = F.when(before.isNull(), cell)
-        step = directory.select(
-            F.col("cell").alias(f"cell{number}"),
-            F.col("depth").alias(f"depth{number}"),
-            F.col("full").alias(f"full{number}"),
-        )
-        known = known.withColumn(f"cell{number}", cell).join(step, f"cell{number}", "left")
-    numbers = range(len(steps))
-    depth = F.coalesce(*[F.col(f"depth{k}") for k in numbers])
-    named = known.select(
-        "row", "size", "bits",
-        F.coalesce(*[F.col(f"full{k}") for k in numbers], F.lit(False)).alias("full"),
-        depth.alias("depth"),
-    ).withColumn("prefix", F.expr(f"shiftright(bits, {HASH_BITS} - depth)"))
+    leaves = materialize(_leaves_by_cell(steps), "leaves")
+    # One join, whatever the number of steps: the texts are moved by it once at most.
+    leaf = F.filter(
+        "leaves",
+        lambda one: F.call_function("shiftright", F.col("bits"), HASH_BITS - one["depth"])
+        == one["prefix"],
+    )
+    named = (
+        rows.select("row", "size", "bits", _cell(steps[0][0]))
+        .join(leaves, "cell", "left")
+        .select("row", "size", F.explode(leaf).alias("leaf"))
+        .select("row", "size", "leaf.*")
+    )
     label = F.concat(F.lit("b"), F.expr("lpad(bin(prefix), depth, '0')"))
     named = named.withColumn("shard", label)
     plain = named.where(~F.col("full")).select("row", "shard", "size")
-    if all(directory.where("full").isEmpty() for _, directory in steps):
+    if leaves.where(F.exists("leaves", lambda one: one["full"])).isEmpty():
         return plain
     return plain.unionByName(_overflow(named.where("full").select("row", "shard", "size"), limit))
 
