@@ -202,15 +202,30 @@ def assemble_nodes(
     """One node per tagged id; endpoints of ``edges`` without a node of their own are added
     with NULL label, colour and size."""
     frames = [
-        frame.where(F.col(key).isNotNull()).select(_tagged(key).alias("id"), F.lit(1).alias("drawn"))
+        frame.where(F.col(key).isNotNull()).select(_tagged(key).alias("id"))
         for frame, key in ((vehicles, "vehicle_id"), (trips, "trip_id"), (stops, "stop"))
     ]
+    return _drawn(reduce(DataFrame.unionByName, frames), edges)
+
+
+def assemble_fact_nodes(
+    facts: DataFrame, edges: DataFrame | None = None, stop_when: str = "true"
+) -> DataFrame:
+    """The same nodes from one pass over facts; a fact names its stop only if ``stop_when``."""
+    own = F.array(
+        _tagged("vehicle_id"), _tagged("trip_id"), F.when(F.expr(stop_when), _tagged("stop"))
+    )
+    return _drawn(facts.select(F.explode(F.array_compact(own)).alias("id")), edges)
+
+
+def _drawn(ids: DataFrame, edges: DataFrame | None) -> DataFrame:
+    found = ids.withColumn("drawn", F.lit(1))
     if edges is not None:
-        frames.append(
+        found = found.unionByName(
             edges.select(F.explode(F.array("src", "dst")).alias("id"), F.lit(0).alias("drawn"))
         )
     # The style follows from the id, so one flag per id is all that is aggregated.
-    nodes = reduce(DataFrame.unionByName, frames).groupBy("id").agg(F.max("drawn").alias("drawn"))
+    nodes = found.groupBy("id").agg(F.max("drawn").alias("drawn"))
     return nodes.select(
         "id",
         F.concat(_styled(1), F.lit(" "), F.substring("id", 3, 2**31 - 1)).alias("label"),

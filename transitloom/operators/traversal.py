@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from transitloom.operators.ordering import with_rank
 from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, NO_KEYS, hot_keys, skew_join
 from transitloom.storage import discard, materialize
 
@@ -70,13 +72,14 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
-def _follow(frame, step, column, hot_rows, hot):
-    """Replace ``column`` by what ``step`` (``id``, ``target``) maps it to."""
+def _follow(frame, step, column, hot_rows, hot, strict=False):
+    """Replace ``column`` by what ``step`` (``id``, ``target``) maps it to; where it maps it to
+    nothing the value stays, or with ``strict`` becomes NULL."""
     mapping = step.select(F.col("id").alias(column), F.col("target").alias("_to"))
     joined = skew_join(
         frame, mapping, [column], "left", hot_rows, unique_right=True, left_hot=hot
     )
-    moved = F.coalesce("_to", column).alias(column)
+    moved = (F.col("_to") if strict else F.coalesce("_to", column)).alias(column)
     return joined.select(*[moved if name == column else name for name in frame.columns])
 
 
@@ -91,7 +94,9 @@ def connected_components(
 ) -> DataFrame:
     """``(id, component)``, the component named by its smallest node id.
 
-    Each round every node chooses its smallest neighbour, if that is smaller, and is
+    Ids other than longs are numbered in their order first and named again at the end, so
+    that the rounds compare and shuffle longs. An edge without one of its ends names the
+    other as a node. Each round every node chooses its smallest neighbour, if that is smaller, and is
     merged into the node its choices lead to; the edges between merged nodes go away.
     Only nodes smaller than all their neighbours stay, so the graph shrinks by a large
     part every round, and the smallest node of a component is the last to stay.
@@ -107,6 +112,26 @@ def connected_components(
             return [NO_KEYS for _ in columns]
         return [hot_keys(table, [column], hot_rows, hot_share) for column in columns]
 
+    if not isinstance(edges.schema["src"].dataType, LongType):
+        stored = materialize(edges.select("src", "dst"), "edges")
+        ends = stored.select(F.explode(F.array("src", "dst")).alias("id")).dropna().distinct()
+        numbers = materialize(with_rank(ends, ["id"], "target"), "numbers")
+        whole = stored.dropna()
+        hot_src, hot_dst = busy(whole, "src", "dst")
+        numbered = _follow(whole, numbers, "src", hot_rows, hot_src, strict=True)
+        numbered = materialize(
+            _follow(numbered, numbers, "dst", hot_rows, hot_dst, strict=True), "numbered"
+        )
+        found = connected_components(numbered, hot_rows, hot_share)
+        merged = found.select("id", F.col("component").alias("target"))
+        labels = numbers.select("id", F.col("target").alias("component"))
+        labels = materialize(_follow(labels, merged, "component", hot_rows, NO_KEYS), "components")
+        discard(stored)
+        discard(numbered)
+        named = numbers.select(F.col("target").alias("id"), F.col("id").alias("target"))
+        (hot,) = busy(labels, "component")
+        return _follow(labels, named, "component", hot_rows, hot, strict=True)
+
     ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).dropna().distinct()
     links = materialize(_downward(edges), "links")
     steps = []

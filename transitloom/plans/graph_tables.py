@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from transitloom.operators import graph
 from transitloom.sources.files import write_csv
@@ -55,9 +56,28 @@ def stored_edges(facts: DataFrame) -> DataFrame:
     return materialize(graph.transport_edges(facts), "edges")
 
 
+def assembled_graph(facts: DataFrame, stop_when: str = "true") -> tuple[DataFrame, DataFrame]:
+    """Nodes and titled edges of a fact table, which is read once.
+
+    What the graph needs of it, its different visits, is stored, and so are the edges: they
+    are a result themselves and give the nodes their endpoints.
+    """
+    visits = materialize(
+        facts.groupBy("vehicle_id", "trip_id", "stop").agg(
+            F.coalesce(F.bool_or(F.expr(stop_when)), F.lit(False)).alias("stop_drawn")
+        ),
+        "visits",
+    )
+    edges = materialize(
+        graph.assemble_edges(
+            graph.vehicle_trip_edges(visits), graph.trip_stop_edges(visits), graph.precede_edges(visits)
+        ),
+        "assembled",
+    )
+    return graph.assemble_fact_nodes(visits, edges, "stop_drawn"), edges
+
+
 def resolved_edges(facts: DataFrame) -> DataFrame:
     """Tagged edges between existing nodes, each once."""
-    ids = graph.assemble_nodes(
-        graph.vehicle_nodes(facts), graph.trip_nodes(facts), graph.stop_nodes(facts)
-    ).select("id")
+    ids = materialize(graph.assemble_fact_nodes(facts).select("id"), "node-ids")
     return graph.resolve_edges(stored_edges(facts), ids, ids)

@@ -420,7 +420,7 @@ def _known_ids(spark, sf_dir):
 @_query
 def graph_edges_resolved(spark, sf_dir):
     facts = testdata.graph_facts(spark, sf_dir)
-    ids = _known_ids(spark, sf_dir)
+    ids = materialize(_known_ids(spark, sf_dir).distinct(), "node-ids")  # for both ends
     edges = graph_tables.stored_edges(facts)
     existing = edges.where(F.col("relation") == graph.PRECEDE)
     return graph.upsert_edges(existing, graph.resolve_edges(edges, ids, ids))
@@ -466,15 +466,9 @@ def graph_node_upsert(spark, sf_dir):
 
 @_query
 def graph_assemble(spark, sf_dir):
-    facts = testdata.graph_facts(spark, sf_dir)
-    edges = graph.assemble_edges(
-        graph.vehicle_trip_edges(facts), graph.trip_stop_edges(facts), graph.precede_edges(facts)
-    )
-    edges = materialize(edges, "assembled")  # for the result and for its endpoints
     # Stops only from rows that have a position, so that some endpoints lack a node.
-    stops = graph.stop_nodes(facts.where("vehicle_latitude IS NOT NULL"))
-    nodes = graph.assemble_nodes(
-        graph.vehicle_nodes(facts), graph.trip_nodes(facts), stops, edges
+    nodes, edges = graph_tables.assembled_graph(
+        testdata.graph_facts(spark, sf_dir), stop_when="vehicle_latitude IS NOT NULL"
     )
     return _graph_rows(nodes, edges)
 
