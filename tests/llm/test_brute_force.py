@@ -40,14 +40,14 @@ def _texts(seed, count, words, vocabulary=5):
     ]
 
 
-@pytest.mark.parametrize("max_pairs", [250_000, 7])
-def test_decontamination(spark, max_pairs):
+@pytest.mark.parametrize("bounds", [{}, {"max_pairs": 7}, {"max_bytes": 150}])
+def test_decontamination(spark, bounds):
     docs, items = _texts(1, 60, 30), [*_texts(2, 12, 8), (99, "w1 W2")]
     found = decontaminate.contamination(
         spark.createDataFrame(docs, "doc_id long, text string"),
         spark.createDataFrame(items, "item_id long, text string"),
         n=4,
-        max_pairs=max_pairs,
+        **bounds,
     ).collect()
     for row in found:
         words = row["row"]["text"].split()

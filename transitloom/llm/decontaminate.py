@@ -162,15 +162,16 @@ def contamination(
     item_text_col: str = "text",
     n: int = 13,
     max_pairs: int = 250_000,
+    max_bytes: int = 64 << 20,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """``row`` (the document's columns, or those in ``carry``), ``n_words``, ``spans``, ``items``.
 
     ``spans`` are the word ranges ``[start, end)`` covered by occurrences of benchmark
     windows, merged; ``items`` the distinct items with an occurring window, as strings.
-    The set of windows is broadcast in blocks of at most ``max_pairs`` pairs of window and
-    item, counted beforehand; a larger benchmark takes several passes, and nothing is left
-    out. Every window found by its code is compared word by word.
+    The set of windows is broadcast in blocks of about ``max_pairs`` pairs of window and item
+    and ``max_bytes`` of their texts at most, both added up beforehand (words may be of any
+    length); a larger benchmark takes several passes, and nothing is left out. Every window found by its code is compared word by word.
 
     * A null or wordless text has no words, no spans and no items.
     * An empty benchmark finds nothing; an empty table gives no rows.
@@ -180,7 +181,9 @@ def contamination(
     pairs = materialize(
         benchmark_windows(benchmark, item_col, item_text_col, n), "benchmark-windows"
     )
-    blocks = max(1, ceil(pairs.count() / max_pairs))
+    held = F.octet_length("window") + F.octet_length("item")
+    total = pairs.agg(F.count("*").alias("pairs"), F.sum(held).alias("bytes")).first()
+    blocks = max(1, ceil(total["pairs"] / max_pairs), ceil((total["bytes"] or 0) / max_bytes))
     block = F.pmod(F.xxhash64("window", "item"), F.lit(blocks))
     state = packed_text(
         documents,
