@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom.llm import decontaminate, language_id, mixture, sharding, simhash
-from transitloom.storage import materialize
+from transitloom.storage import discard, materialize
 
 SHARD_BYTES = 32 << 20
 
@@ -53,8 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result but the last is stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; each result but the last is stored and read again.
+
+    A stored result goes when the next one is there: at most two lie in the shared folder.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
