@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitloom.llm.frames import batch_texts, column, packed_text, unpacked
+from transitloom.llm.frames import batch_texts, column, content_key, packed_text, unpacked
 
 UNDETERMINED = "und"
 _BYTES_AT_ONCE = 1 << 19
@@ -176,7 +176,8 @@ def learn(
     Bounds, all documented parameters: about ``sample_bytes`` of whole distinct texts per
     language, chosen by a hash of the text; the ``max_languages`` languages with most text;
     the ``max_grams`` most frequent grams per order. Grams are counted by Spark; only these
-    bounded counts reach the driver. Rows without text or language teach nothing.
+    bounded counts reach the driver. Rows without text or language teach nothing, and how
+    often a text is repeated does not matter.
     """
     if order > 3:
         raise ValueError("a context and its byte fill 32 bits: order is 3 at most")
@@ -185,8 +186,12 @@ def learn(
     )
     chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30))
     sizes = (
-        rows.groupBy("lang")
-        .agg(F.sum(F.octet_length("text")).alias("size"), F.min(chance).alias("least"))
+        rows.select(
+            "lang", *content_key(F.col("text")), F.octet_length("text").alias("bytes"), chance.alias("chance")
+        )
+        .distinct()
+        .groupBy("lang")
+        .agg(F.sum("bytes").alias("size"), F.min("chance").alias("least"))
         .orderBy(F.desc("size"), "lang")
         .limit(max_languages)
         .collect()
