@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from transitloom.llm import language_id
@@ -27,6 +28,33 @@ def two_languages(spark):
     return spark.createDataFrame(rows, "text string, lang string")
 
 
+def test_more_than_sixty_four_languages(spark, monkeypatch):
+    words = {f"l{k:02}": _words(f"l{k}", "abcdefghijklmnopqrstuvwxyz") for k in range(70)}
+    rows = [(_text(own, k), lang) for lang, own in words.items() for k in range(3 if lang < "l64" else 2)]
+    trees = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert trees.languages == sorted(words)
+    docs = spark.createDataFrame(
+        [(_text(own, 99), lang) for lang, own in words.items()], "text string, lang string"
+    )
+    once = language_id.identify(docs, trees).orderBy("row.lang").collect()
+    assert all(row["lang_pred"] == row["row"]["lang"] for row in once)
+    monkeypatch.setattr(language_id, "_CELLS_AT_ONCE", 1)
+    assert len(trees.passes()) == 9
+    parts = language_id.identify(docs, trees).orderBy("row.lang").collect()
+    assert [row["lang_pred"] for row in parts] == [row["lang_pred"] for row in once]
+    assert np.allclose([row["score"] for row in parts], [row["score"] for row in once])
+
+
+def test_grams_are_ranked_in_each_language(spark):
+    rows = [(_text(EN, k), "en") for k in range(200)] + [(_text(FR, 0, 20), "fr")]
+    trees = language_id.learn(spark.createDataFrame(rows, "text string, lang string"), max_grams=50)
+    (block,) = trees.blocks
+    known = set(block.grams[3].tolist())
+    own = np.frombuffer(_text(FR, 0, 20).encode(), dtype=np.uint8)
+    found = set(language_id._grams(own, np.array([0]), 3).tolist())
+    assert len(known & found) >= 50
+
+
 def test_copies_do_not_shrink_the_sample(spark, two_languages):
     copies = spark.createDataFrame([(_text(EN, 0, 200), "en")], "text string, lang string")
     hot = two_languages.unionByName(copies.crossJoin(spark.range(2000)).drop("id"))

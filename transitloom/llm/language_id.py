@@ -12,14 +12,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom.llm.frames import batch_texts, column, content_key, packed_text, unpacked
+from transitloom.storage import discard, materialize
 
 UNDETERMINED = "und"
 _BYTES_AT_ONCE = 1 << 19
+_LANGUAGES_AT_ONCE = 8  # languages whose trees share their keys
+_CELLS_AT_ONCE = 1 << 24  # languages times grams that one pass over the documents holds
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -162,51 +165,75 @@ class ContextTrees:
         return total
 
 
+@dataclass
+class Languages:
+    """The trees of all languages, in blocks."""
+
+    blocks: list[ContextTrees]
+
+    @property
+    def languages(self) -> list[str]:
+        return [language for block in self.blocks for language in block.languages]
+
+    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Code length (texts x languages) of texts of one byte or more, each as a whole."""
+        return np.hstack([block.text_bits(texts) for block in self.blocks])
+
+    def passes(self) -> list[Languages]:
+        """The same in parts that hold a bounded number of grams, or one block each."""
+        parts: list[list[ContextTrees]] = []
+        room = 0
+        for block in self.blocks:
+            cells = sum(bits.size for bits in block.bits)
+            if not parts or cells > room:
+                parts.append([])
+                room = _CELLS_AT_ONCE
+            parts[-1].append(block)
+            room -= cells
+        return [Languages(part) for part in parts]
+
+
+def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
+    """``lang, text``: about ``sample_bytes`` of whole distinct texts of each language."""
+    chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30))
+    distinct = rows.select(
+        "lang", *content_key(F.col("text")), F.octet_length("text").alias("size"), chance.alias("chance")
+    ).distinct()
+    share = F.least(F.lit(1.0), sample_bytes / F.sum("size")) * (1 << 30)
+    # At least the text of the smallest hash, however long, stands for a language.
+    limits = distinct.groupBy("lang").agg(
+        F.greatest(F.min("chance"), F.floor(share).cast("bigint")).alias("limit")
+    )
+    return (
+        rows.join(F.broadcast(limits), "lang")
+        .where(chance <= F.col("limit"))
+        .select("lang", "text")
+        .distinct()
+    )
+
+
 def learn(
     labelled: DataFrame,
     text_col: str = "text",
     lang_col: str = "lang",
     order: int = 3,
     sample_bytes: int = 1 << 20,
-    max_languages: int = 64,
     max_grams: int = 200_000,
-) -> ContextTrees:
-    """Context trees from a bounded sample of labelled rows.
+) -> Languages:
+    """Context trees of every language from a bounded sample of labelled rows.
 
     Bounds, all documented parameters: about ``sample_bytes`` of whole distinct texts per
-    language, chosen by a hash of the text; the ``max_languages`` languages with most text;
-    the ``max_grams`` most frequent grams per order. Grams are counted by Spark; only these
-    bounded counts reach the driver. Rows without text or language teach nothing, and how
-    often a text is repeated does not matter.
+    language, chosen by a hash of the text; the ``max_grams`` most frequent grams per language
+    and order. Grams are counted by Spark; only these bounded counts reach the driver, a block
+    of languages at a time. Rows without text or language teach nothing; any number of
+    languages is learnt, and how often a text is repeated does not matter.
     """
     if order > 3:
         raise ValueError("a context and its byte fill 32 bits: order is 3 at most")
-    rows = labelled.select(column(text_col).alias("text"), column(lang_col).alias("lang")).where(
-        "text is not null and lang is not null and text <> ''"
-    )
-    chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30))
-    sizes = (
-        rows.select(
-            "lang", *content_key(F.col("text")), F.octet_length("text").alias("bytes"), chance.alias("chance")
-        )
-        .distinct()
-        .groupBy("lang")
-        .agg(F.sum("bytes").alias("size"), F.min("chance").alias("least"))
-        .orderBy(F.desc("size"), "lang")
-        .limit(max_languages)
-        .collect()
-    )
-    languages = sorted(row["lang"] for row in sizes)
-    trees = ContextTrees(languages, order)
-    if not languages:
-        return trees
-    # At least the text of the smallest hash, however long, stands for a language.
-    limit = {
-        row["lang"]: max(row["least"], int((1 << 30) * min(1, sample_bytes / row["size"])))
-        for row in sizes
-    }
-    wanted = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair])
-    sample = rows.where(chance <= wanted[F.col("lang")]).distinct()
+    rows = labelled.select(
+        column(text_col).alias("text"), column(lang_col).cast("string").alias("lang")
+    ).where("text is not null and lang is not null and text <> ''")
+    sample = materialize(_sample(rows, sample_bytes), "language-sample")
 
     def count(batches):
         for batch in batches:
@@ -227,33 +254,38 @@ def learn(
                         }
                     )
 
-    counts = [f"n{k}" for k in range(len(languages))]
+    place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("total"), "gram"))
     counted = (
         sample.mapInArrow(count, "lang string, size int, gram bigint, n bigint")
-        .groupBy("size", "gram")
-        .agg(
-            F.sum("n").alias("total"),
-            *[
-                F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(name)
-                for name, lang in zip(counts, languages, strict=True)
-            ],
-        )
+        .groupBy("lang", "size", "gram")
+        .agg(F.sum("n").alias("total"))
+        .withColumn("place", place)
+        .where(F.col("place") <= max_grams)
+        .drop("place")
     )
-    for size in range(order + 1):
-        top = (
-            counted.where(F.col("size") == size)
-            .orderBy(F.desc("total"), "gram")
-            .limit(max_grams)
-            .toPandas()
-            .sort_values("gram")
-        )
-        trees.add(top["gram"].to_numpy(np.uint32), top[counts].to_numpy(float).T)
-    return trees
+    counted = materialize(counted, "grams")
+    languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
+    blocks = []
+    for start in range(0, len(languages), _LANGUAGES_AT_ONCE):
+        block = languages[start : start + _LANGUAGES_AT_ONCE]
+        top = counted.where(F.col("lang").isin(block)).toPandas()
+        trees = ContextTrees(block, order)
+        for size in range(order + 1):
+            own = top[top["size"] == size]
+            keys, at = np.unique(own["gram"].to_numpy(np.uint32), return_inverse=True)
+            total = np.zeros((len(block), len(keys)))
+            which = np.searchsorted(block, own["lang"].to_numpy(str))
+            total[which, at] = own["total"]
+            trees.add(keys, total)
+        blocks.append(trees)
+    discard(sample)
+    discard(counted)
+    return Languages(blocks)
 
 
 def identify(
     documents: DataFrame,
-    trees: ContextTrees,
+    trees: Languages,
     text_col: str = "text",
     horizon: int = 64,
     carry: list[str] | None = None,
@@ -262,8 +294,8 @@ def identify(
 
     Every byte of every text counts. ``score`` is the posterior of the winning language
     among the learnt ones, its evidence scaled to ``horizon`` bytes, so that it tells clear
-    from mixed or foreign texts however long they are. Of equal code lengths the language
-    first by code point wins.
+    from mixed or foreign texts however long they are. Of equal code lengths the language first by code
+    point wins. Trees too large to be held at once are applied one pass after the other.
 
     * A null text, one without a letter, and any text if no language was learnt, is ``und``
       with score 0.
@@ -271,31 +303,64 @@ def identify(
     """
     spark = documents.sparkSession
     state = packed_text(documents, text_col, carry, legible=column(text_col).rlike(r"\p{L}"))
-    schema = T.StructType(
-        [state.schema["row"], *T.StructType.fromDDL("lang_pred string, score double").fields]
-    )
-    shared = spark.sparkContext.broadcast(trees)
-
-    def classify(batches):
+    given = state.schema.fields
+    answer = T.StructType.fromDDL("lang_pred string, score double, best double").fields
+    passes = trees.passes() or [trees]
+    before = None
+    for number, part in enumerate(passes):
+        last = number + 1 == len(passes)
+        kept = [given[0]] if last else given
+        judge = _judge(spark.sparkContext.broadcast(part), text_col, horizon, [x.name for x in kept])
+        state = state.mapInArrow(judge, T.StructType([*kept, *answer]))
+        if not last:
+            state = materialize(state, "languages")
+            if before is not None:
+                discard(before)
+            before = state
+    return state.drop("best")
+
+
+def _judge(shared, text_col: str, horizon: int, kept: list[str]):
+    """A function over batches that compares the languages of one part with those before."""
+
+    def judge(batches):
         trees = shared.value
+        languages = trees.languages
         for batch in batches:
             texts = batch_texts(batch, text_col)
-            legible = batch.column("legible").to_pylist() if trees.languages else []
-            langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            legible = batch.column("legible").to_pylist() if languages else []
+            if "best" in batch.schema.names:
+                langs, scores, best = (
+                    batch.column(name).to_pylist() for name in ("lang_pred", "score", "best")
+                )
+            else:
+                langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+                best = [float("inf")] * len(texts)
             for group in _groups([i for i, x in enumerate(legible) if x], texts):
                 bits = trees.text_bits([texts[i] for i in group])
-                best = bits.argmin(axis=1)
-                scale = np.array([min(1, horizon / len(texts[i])) for i in group])
-                behind = (bits - bits.min(axis=1, keepdims=True)) * scale[:, None]
-                sure = 1 / np.exp2(-behind).sum(axis=1)
-                for i, k, score in zip(group, best, sure, strict=True):
-                    langs[i], scores[i] = trees.languages[k], float(score)
+                winner, least = bits.argmin(axis=1), bits.min(axis=1)
+                sizes = np.array([len(texts[i]) for i in group])
+                scale = np.minimum(1, horizon / sizes)
+                old = np.array([best[i] for i in group])
+                new = np.minimum(old, least)
+                mass = np.exp2((new - old) * scale)
+                mass[np.isfinite(old)] /= [scores[i] for i in group if np.isfinite(best[i])]
+                mass += np.exp2((new[:, None] - bits) * scale[:, None]).sum(axis=1)
+                for j, i in enumerate(group):
+                    if least[j] < old[j]:
+                        langs[i] = languages[winner[j]]
+                    scores[i], best[i] = float(1 / mass[j]), float(new[j])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["row", "lang_pred", "score"],
+                [
+                    *(batch.column(name) for name in kept),
+                    pa.array(langs, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(best, pa.float64()),
+                ],
+                names=[*kept, "lang_pred", "score", "best"],
             )
 
-    return state.mapInArrow(classify, schema)
+    return judge
 
 
 def _groups(places: list[int], texts: list[bytes]) -> list[list[int]]:
@@ -312,9 +377,9 @@ def _groups(places: list[int], texts: list[bytes]) -> list[list[int]]:
 
 
 def drop_unidentified(
-    documents: DataFrame, trees: ContextTrees, least_score: float = 0.4, **options
+    documents: DataFrame, trees: Languages, least_score: float = 0.4, **options
 ) -> DataFrame:
-    """``documents`` without those of no language, or of none clearly; same columns."""
+    """``documents`` without those of no learnt language, or of none clearly; same columns."""
     found = identify(documents, trees, **options)
     known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)
     return unpacked(found.where(known), documents)
