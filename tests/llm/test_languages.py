@@ -28,6 +28,28 @@ def two_languages(spark):
     return spark.createDataFrame(rows, "text string, lang string")
 
 
+def test_texts_of_no_learnt_language_go(spark, two_languages):
+    trees = language_id.learn(two_languages)
+    noise = random.Random(1)
+    clean = [_text(EN, 1000), _text(FR, 1001), _text(EN, 1002, 3), _text(FR, 1003, 2000)]
+    foreign = [
+        "Все люди рождаются свободными и равными в своём достоинстве и правах. " * 3,
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια. " * 3,
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心" * 3,
+        "".join(noise.choices("bcdfghjkmpqvwxz ", k=400)),
+        "".join(noise.choices("0123456789abcdef", k=400)),
+    ]
+    docs = spark.createDataFrame([(text,) for text in clean + foreign], "text string")
+    left = {row["text"] for row in language_id.drop_unidentified(docs, trees).collect()}
+    assert left == set(clean)
+
+
+def test_one_learnt_language_refuses_others(spark, two_languages):
+    trees = language_id.learn(two_languages.where("lang = 'en'"))
+    docs = spark.createDataFrame([(_text(EN, 2000),), ("Все люди рождаются свободными",)], "text string")
+    assert language_id.drop_unidentified(docs, trees).count() == 1
+
+
 def test_more_than_sixty_four_languages(spark, monkeypatch):
     words = {f"l{k:02}": _words(f"l{k}", "abcdefghijklmnopqrstuvwxyz") for k in range(70)}
     rows = [(_text(own, k), lang) for lang, own in words.items() for k in range(3 if lang < "l64" else 2)]

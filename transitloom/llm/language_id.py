@@ -23,6 +23,8 @@ UNDETERMINED = "und"
 _BYTES_AT_ONCE = 1 << 19
 _LANGUAGES_AT_ONCE = 8  # languages whose trees share their keys
 _CELLS_AT_ONCE = 1 << 24  # languages times grams that one pass over the documents holds
+_PIECE = 64  # bytes of the pieces whose code lengths tell what is usual in a language
+_SPREADS = 6.0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -167,9 +169,11 @@ class ContextTrees:
 
 @dataclass
 class Languages:
-    """The trees of all languages, in blocks."""
+    """The trees of all languages, in blocks, and what texts of each usually cost."""
 
     blocks: list[ContextTrees]
+    usual: np.ndarray  # by language: mean bits per byte of a piece of other texts of it
+    spread: np.ndarray  # by language: their standard deviation
 
     @property
     def languages(self) -> list[str]:
@@ -179,6 +183,11 @@ class Languages:
         """Code length (texts x languages) of texts of one byte or more, each as a whole."""
         return np.hstack([block.text_bits(texts) for block in self.blocks])
 
+    def most(self, sizes: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """The bits a text of each size may cost in the language at ``best`` and still fit it."""
+        wide = np.sqrt(np.maximum(1.0, _PIECE / sizes))
+        return sizes * (self.usual[best] + _SPREADS * self.spread[best] * wide)
+
     def passes(self) -> list[Languages]:
         """The same in parts that hold a bounded number of grams, or one block each."""
         parts: list[list[ContextTrees]] = []
@@ -190,11 +199,16 @@ class Languages:
                 room = _CELLS_AT_ONCE
             parts[-1].append(block)
             room -= cells
-        return [Languages(part) for part in parts]
+        found, start = [], 0
+        for part in parts:
+            end = start + sum(len(block.languages) for block in part)
+            found.append(Languages(part, self.usual[start:end], self.spread[start:end]))
+            start = end
+        return found
 
 
 def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
-    """``lang, text``: about ``sample_bytes`` of whole distinct texts of each language."""
+    """``lang, text, half``: about ``sample_bytes`` of whole distinct texts of each language."""
     chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30))
     distinct = rows.select(
         "lang", *content_key(F.col("text")), F.octet_length("text").alias("size"), chance.alias("chance")
@@ -204,11 +218,13 @@ def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
     limits = distinct.groupBy("lang").agg(
         F.greatest(F.min("chance"), F.floor(share).cast("bigint")).alias("limit")
     )
+    half = F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)).cast("int")
     return (
         rows.join(F.broadcast(limits), "lang")
         .where(chance <= F.col("limit"))
         .select("lang", "text")
         .distinct()
+        .withColumn("half", half)
     )
 
 
@@ -227,6 +243,9 @@ def learn(
     and order. Grams are counted by Spark; only these bounded counts reach the driver, a block
     of languages at a time. Rows without text or language teach nothing; any number of
     languages is learnt, and how often a text is repeated does not matter.
+
+    What texts of a language cost is learnt too: each half of its sample is judged by what the
+    other half teaches, in pieces.
     """
     if order > 3:
         raise ValueError("a context and its byte fill 32 bits: order is 3 at most")
@@ -238,49 +257,112 @@ def learn(
     def count(batches):
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            halves = batch.column("half").to_numpy()
             texts = batch.column("text").to_pylist()
             for lang in set(langs):
-                own = [texts[i].encode() for i in np.flatnonzero(langs == lang)]
-                run = np.frombuffer(b"".join(own), dtype=np.uint8)
-                breaks = np.cumsum([0, *map(len, own)])[:-1]
-                for size in range(order + 1):
-                    keys, counts = np.unique(_grams(run, breaks, size), return_counts=True)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "lang": pa.array([lang] * len(keys), pa.string()),
-                            "size": pa.array(np.full(len(keys), size), pa.int32()),
-                            "gram": pa.array(keys.astype(np.int64)),
-                            "n": pa.array(counts.astype(np.int64)),
-                        }
-                    )
+                for half in (0, 1):
+                    own = [texts[i].encode() for i in np.flatnonzero((langs == lang) & (halves == half))]
+                    if not own:
+                        continue
+                    run = np.frombuffer(b"".join(own), dtype=np.uint8)
+                    breaks = np.cumsum([0, *map(len, own)])[:-1]
+                    for size in range(order + 1):
+                        keys, counts = np.unique(_grams(run, breaks, size), return_counts=True)
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "lang": pa.array([lang] * len(keys), pa.string()),
+                                "half": pa.array(np.full(len(keys), half), pa.int32()),
+                                "size": pa.array(np.full(len(keys), size), pa.int32()),
+                                "gram": pa.array(keys.astype(np.int64)),
+                                "n": pa.array(counts.astype(np.int64)),
+                            }
+                        )
 
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("total"), "gram"))
     counted = (
-        sample.mapInArrow(count, "lang string, size int, gram bigint, n bigint")
+        sample.mapInArrow(count, "lang string, half int, size int, gram bigint, n bigint")
         .groupBy("lang", "size", "gram")
-        .agg(F.sum("n").alias("total"))
+        .agg(
+            F.sum("n").alias("total"),
+            F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("first_half"),
+        )
         .withColumn("place", place)
         .where(F.col("place") <= max_grams)
         .drop("place")
     )
     counted = materialize(counted, "grams")
     languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
-    blocks = []
+    blocks, usual, spread = [], [], []
     for start in range(0, len(languages), _LANGUAGES_AT_ONCE):
         block = languages[start : start + _LANGUAGES_AT_ONCE]
-        top = counted.where(F.col("lang").isin(block)).toPandas()
-        trees = ContextTrees(block, order)
+        chosen = F.col("lang").isin(block)
+        top = counted.where(chosen).toPandas()
+        trees, *halves = (ContextTrees(block, order) for _ in range(3))
         for size in range(order + 1):
             own = top[top["size"] == size]
             keys, at = np.unique(own["gram"].to_numpy(np.uint32), return_inverse=True)
-            total = np.zeros((len(block), len(keys)))
+            total, first = np.zeros((len(block), len(keys))), np.zeros((len(block), len(keys)))
             which = np.searchsorted(block, own["lang"].to_numpy(str))
             total[which, at] = own["total"]
-            trees.add(keys, total)
+            first[which, at] = own["first_half"]
+            for tree, counts in zip((trees, *halves), (total, first, total - first), strict=True):
+                tree.add(keys, counts)
+        means, spreads = _usual_bits(sample.where(chosen), halves)
         blocks.append(trees)
+        usual += means
+        spread += spreads
     discard(sample)
     discard(counted)
-    return Languages(blocks)
+    return Languages(blocks, np.array(usual), np.array(spread))
+
+
+def _usual_bits(sample: DataFrame, halves: list[ContextTrees]) -> tuple[list[float], list[float]]:
+    """Mean and standard deviation, by language, of the bits per byte of pieces of the sample,
+    each judged by the half that its text is not in."""
+    shared = sample.sparkSession.sparkContext.broadcast(halves)
+
+    def judge(batches):
+        halves = shared.value
+        for batch in batches:
+            for lang, text, half in zip(
+                *(batch.column(name).to_pylist() for name in ("lang", "text", "half")), strict=True
+            ):
+                trees, data = halves[1 - half], text.encode()
+                k = trees.languages.index(lang)
+                # A text shorter than a piece is one; the rest at the end of others is left out.
+                pieces = [
+                    data[at : at + _PIECE] for at in range(0, max(1, len(data) - _PIECE + 1), _PIECE)
+                ]
+                n, total, squares = 0, 0.0, 0.0
+                for at in range(0, len(pieces), _BYTES_AT_ONCE // _PIECE):
+                    group = pieces[at : at + _BYTES_AT_ONCE // _PIECE]
+                    sizes = np.array([len(piece) for piece in group])
+                    cost = trees.text_bits(group)[:, k] / sizes
+                    n, total, squares = n + len(group), total + cost.sum(), squares + (cost**2).sum()
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": [lang],
+                        "n": pa.array([n], pa.int64()),
+                        "total": pa.array([total], pa.float64()),
+                        "squares": pa.array([squares], pa.float64()),
+                    }
+                )
+
+    found = (
+        sample.mapInArrow(judge, "lang string, n bigint, total double, squares double")
+        .groupBy("lang")
+        .agg(*[F.sum(name).alias(name) for name in ("n", "total", "squares")])
+        .orderBy("lang")
+        .collect()
+    )
+    sums = {row["lang"]: (row["n"], row["total"], row["squares"]) for row in found}
+    means, spreads = [], []
+    for lang in halves[0].languages:
+        n, total, squares = sums[lang]
+        means.append(total / n)
+        spreads.append(max(0.0, squares / n - (total / n) ** 2) ** 0.5)
+    shared.unpersist()
+    return means, spreads
 
 
 def identify(
@@ -290,21 +372,23 @@ def identify(
     horizon: int = 64,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """``row`` (the document's columns, or those in ``carry``), ``lang_pred``, ``score``.
+    """``row`` (the document's columns, or those in ``carry``), ``lang_pred``, ``score``, ``fits``.
 
     Every byte of every text counts. ``score`` is the posterior of the winning language
-    among the learnt ones, its evidence scaled to ``horizon`` bytes, so that it tells clear
-    from mixed or foreign texts however long they are. Of equal code lengths the language first by code
+    among the learnt ones, its evidence scaled to ``horizon`` bytes: it tells clear from mixed
+    texts however long they are. ``fits`` is whether the text costs no more bits than texts of
+    that language do, by six standard deviations of a piece: it tells texts of any learnt
+    language from foreign ones and noise. Of equal code lengths the language first by code
     point wins. Trees too large to be held at once are applied one pass after the other.
 
     * A null text, one without a letter, and any text if no language was learnt, is ``und``
-      with score 0.
+      with score 0 and does not fit.
     * Repeated rows get the same answer each; other columns ride along and are not read.
     """
     spark = documents.sparkSession
     state = packed_text(documents, text_col, carry, legible=column(text_col).rlike(r"\p{L}"))
     given = state.schema.fields
-    answer = T.StructType.fromDDL("lang_pred string, score double, best double").fields
+    answer = T.StructType.fromDDL("lang_pred string, score double, fits boolean, best double").fields
     passes = trees.passes() or [trees]
     before = None
     for number, part in enumerate(passes):
@@ -330,12 +414,12 @@ def _judge(shared, text_col: str, horizon: int, kept: list[str]):
             texts = batch_texts(batch, text_col)
             legible = batch.column("legible").to_pylist() if languages else []
             if "best" in batch.schema.names:
-                langs, scores, best = (
-                    batch.column(name).to_pylist() for name in ("lang_pred", "score", "best")
+                langs, scores, fits, best = (
+                    batch.column(name).to_pylist() for name in ("lang_pred", "score", "fits", "best")
                 )
             else:
                 langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-                best = [float("inf")] * len(texts)
+                fits, best = [False] * len(texts), [float("inf")] * len(texts)
             for group in _groups([i for i, x in enumerate(legible) if x], texts):
                 bits = trees.text_bits([texts[i] for i in group])
                 winner, least = bits.argmin(axis=1), bits.min(axis=1)
@@ -346,18 +430,20 @@ def _judge(shared, text_col: str, horizon: int, kept: list[str]):
                 mass = np.exp2((new - old) * scale)
                 mass[np.isfinite(old)] /= [scores[i] for i in group if np.isfinite(best[i])]
                 mass += np.exp2((new[:, None] - bits) * scale[:, None]).sum(axis=1)
+                close = least <= trees.most(sizes, winner)
                 for j, i in enumerate(group):
                     if least[j] < old[j]:
-                        langs[i] = languages[winner[j]]
+                        langs[i], fits[i] = languages[winner[j]], bool(close[j])
                     scores[i], best[i] = float(1 / mass[j]), float(new[j])
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(name) for name in kept),
                     pa.array(langs, pa.string()),
                     pa.array(scores, pa.float64()),
+                    pa.array(fits, pa.bool_()),
                     pa.array(best, pa.float64()),
                 ],
-                names=[*kept, "lang_pred", "score", "best"],
+                names=[*kept, "lang_pred", "score", "fits", "best"],
             )
 
     return judge
@@ -381,7 +467,7 @@ def drop_unidentified(
 ) -> DataFrame:
     """``documents`` without those of no learnt language, or of none clearly; same columns."""
     found = identify(documents, trees, **options)
-    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)
+    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score) & F.col("fits")
     return unpacked(found.where(known), documents)
 
 
