@@ -153,8 +153,8 @@ def _in_blocks(sized: DataFrame, sources: DataFrame) -> DataFrame:
 def _last_pass(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """``place, whole, cut_key``: how far the last pass of each source goes.
 
-    It takes ``whole`` blocks, and of the next one the rows whose key is ``cut_key.upto`` or
-    less or is ``cut_key.extra``.
+    It takes ``whole`` blocks, and of the next one the rows whose key is in a range of
+    ``cut_key``.
     Sums over a source go by cells of about the square root of its number of blocks, then by
     the blocks of one cell, then by the rows of one block, so that no window grows with it.
     """
@@ -192,32 +192,65 @@ def _last_pass(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     rows = _in_blocks(sized, sources.select("source_key", "place", "blocks")).join(
         block, ["place", "block"]
     )
-    # In the order of their keys the rows that fit, then the one that fills the rest best.
-    upto = F.sum("size").over(Window.partitionBy("place").orderBy("row_key"))
-    fits = F.col("upto") <= F.col("room")
-    base = F.max(F.when(fits, F.col("upto"))).over(Window.partitionBy("place"))
-    short = F.col("room") - F.coalesce("base", F.lit(0))
-    off = F.when(~fits, F.abs(F.col("short") - F.col("size")))
-    marked = (
-        rows.withColumn("upto", upto)
-        .withColumn("base", base)
-        .withColumn("short", short)
-        .withColumn("off", F.when(off < F.col("short"), off))
+    # In the order of their keys all rows that still fit, then the one that fills the rest best.
+    entry = F.struct("row_key", "size")
+    listed = (
+        rows.groupBy("place", "row_key")
+        .agg(F.sum("size").alias("size"), F.first("room").cast("double").alias("room"))
+        .where("size > 0")
+        .groupBy("place")
+        .agg(F.array_sort(F.collect_list(entry)).alias("rows"), F.first("room").alias("room"))
     )
-    cuts = marked.groupBy("place").agg(
-        F.max(F.when(fits, F.col("row_key"))).alias("upto_key"),
-        F.min_by("row_key", "off").alias("extra"),
-        F.min("off").alias("off"),
-    )
-    cut = F.struct(
-        F.coalesce("upto_key", F.lit(-(1 << 63))).alias("upto"),
-        F.when(F.col("off").isNotNull(), F.col("extra")).alias("extra"),
-    )
-    taken = F.col("upto_key").isNotNull() | F.col("off").isNotNull()
-    cuts = cuts.select("place", F.when(taken, cut).alias("cut_key"))
+    cuts = listed.select("place", _filled(F.col("rows"), F.col("room")).alias("cut_key"))
+    cuts = cuts.withColumn("cut_key", F.when(F.size("cut_key") > 0, F.col("cut_key")))
     return block.select("place", "whole").join(cuts, "place", "left")
 
 
+def _filled(rows: Column, room: Column) -> Column:
+    """Ranges of keys ``low, high`` of the rows that fill ``room``, tried one after the other.
+
+    A row that does not fit is passed over and the next ones are tried, so that every row left
+    out is larger than what is left; the smallest of them is added if that comes nearer. So the
+    miss is at most half the smallest row left out. A range ends where a row larger than the
+    room left is passed over, so there are few: their number times the room passed over is less
+    than the words of the block.
+    """
+    no_key, no_row = F.lit(None).cast("bigint"), F.lit(None).cast("struct<size:bigint,row_key:bigint>")
+    none = F.array().cast("array<struct<low:bigint,high:bigint>>")
+
+    def state(room, low, high, ranges, least):
+        return F.struct(
+            room.alias("room"), low.alias("low"), high.alias("high"),
+            ranges.alias("ranges"), least.alias("least"),
+        )
+
+    def with_range(s: Column) -> Column:
+        own = F.array(F.struct(s["low"].alias("low"), s["high"].alias("high")))
+        return F.when(s["low"].isNull(), s["ranges"]).otherwise(F.concat(s["ranges"], own))
+
+    def step(s: Column, row: Column) -> Column:
+        key, size = row["row_key"], row["size"].cast("bigint")
+        passed = F.struct(size.alias("size"), key.alias("row_key"))
+        smaller = s["least"].isNull() | (size < s["least"]["size"])
+        return F.when(
+            size <= s["room"],
+            state(s["room"] - size, F.coalesce(s["low"], key), key, s["ranges"], s["least"]),
+        ).otherwise(
+            state(
+                s["room"], no_key, no_key, with_range(s),
+                F.when(smaller, passed).otherwise(s["least"]),
+            )
+        )
+
+    def end(s: Column) -> Column:
+        extra = s["least"]["row_key"]
+        nearer = s["least"]["size"] - s["room"] < s["room"]
+        own = F.array(F.struct(extra.alias("low"), extra.alias("high")))
+        return F.when(nearer, F.concat(with_range(s), own)).otherwise(with_range(s))
+
+    return F.aggregate(rows, state(room, no_key, no_key, none, no_row), step, end)
+
+
 def _crossing(frame: DataFrame, order: str, start: Column) -> DataFrame:
     """Per ``place`` the row in which the running sum passes ``left_words``, and the sum before."""
     window = Window.partitionBy("place").orderBy(order)
@@ -372,7 +405,7 @@ def placements(rows: DataFrame, plan: Mixture) -> DataFrame:
 
     def fits(draw: Column) -> Column:
         key = F.col("row_key")
-        in_cut = (key <= draw["cut"]["upto"]) | key.eqNullSafe(draw["cut"]["extra"])
+        in_cut = F.exists(draw["cut"], lambda part: key.between(part["low"], part["high"]))
         return draw["cut"].isNull() | in_cut
 
     return (
