@@ -73,8 +73,9 @@ def test_every_row_is_scored(facts, trained, stop):
 
 def test_more_categories_than_bins(facts):
     model = delay_model.train_delay_model(feature_frame(facts), max_bins=16, trees=2)
-    labels = dict(zip(model.stages[0].getInputCols(), model.stages[0].labelsArray))
-    assert len(labels["line"]) == 14
+    labels = {stage.getInputCol(): stage.labels for stage in model.stages[:-2]}
+    assert len(labels["line"]) == 14 and len(labels["location_source"]) == 2
+    assert all(label is not None for found in labels.values() for label in found)
     scored = delay_model.score(model, feature_frame(facts))
     assert scored.where("line_index > 14").count() == 0
 

@@ -38,13 +38,32 @@ def test_alignment_adds_zeros_in_order(spark):
 
 def test_unseen_category_gets_the_extra_index(spark):
     train = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), (None,)], "line string")
-    model = features.categorical_indexer(train, ["line"])
+    models = features.categorical_indexers(train, ["line"])
     test = spark.createDataFrame([("a",), ("b",), ("c",), ("new",), (None,)], "line string")
-    encoded = features.encode_categoricals(test, ["line"], model)
+    encoded = features.encode_categoricals(test, ["line"], models)
     assert encoded.columns == ["line_index"]
     assert [row[0] for row in encoded.collect()] == [1.0, 0.0, 2.0, 3.0, 3.0]
 
 
+def test_categories_of_different_size_have_their_own_extra_index(spark, tmp_path):
+    train = spark.createDataFrame(
+        [("GPS", str(i), None) for i in range(9)] + [("ODO", "0", None)],
+        "location_source string, line string, direction string")
+    models = features.categorical_indexers(train, ["location_source", "line", "direction"])
+    assert [list(model.labels) for model in models] == [
+        ["GPS", "ODO"], [str(i) for i in range(9)], []]
+    test = spark.createDataFrame([("DR", "99", "1"), (None, None, None), ("ODO", "1", "2")], train.schema)
+    encoded = features.encode_categoricals(test, model_columns(models), models)
+    encoded.write.parquet(str(tmp_path / "encoded"))
+    stored = spark.read.parquet(str(tmp_path / "encoded"))
+    assert rows(stored) == [(1.0, 1.0, 0.0), (2.0, 9.0, 0.0), (2.0, 9.0, 0.0)]
+    assert features.categorical_indexers(train, ["absent"]) == []
+
+
+def model_columns(models):
+    return [model.getInputCol() for model in models]
+
+
 def test_encoding_without_a_model_ranks_every_value(spark):
     train = spark.createDataFrame([("b", 1), ("b", 2), ("a", 2), ("c", 3), (None, 3)], "line string, operator int")
     encoded = features.encode_categoricals(train, ["line", "operator", "absent"])

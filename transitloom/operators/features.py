@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from transitloom.functions.times import clock_to_seconds, date_to_epoch, moment_to_epoch
 from transitloom.functions.values import is_number, present_columns
 from transitloom.operators.ordering import with_rank
+from transitloom.operators.skew import BROADCAST_ROWS, skew_join
 from transitloom.storage import materialize
 
 LABEL = "delay"
@@ -113,35 +115,41 @@ def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.where("value IS NOT NULL").groupBy("name", "value").count()
 
 
-def categorical_indexer(
+def categorical_indexers(
     df: DataFrame, columns: Sequence[str] = CATEGORICAL, most: int = 254
-) -> StringIndexerModel:
-    """A model with an index for each of the ``most`` most frequent values of every category.
+) -> list[StringIndexerModel]:
+    """A model per category with an index for each of its ``most`` most frequent values.
 
-    Most frequent first, ties by name. NULL, unseen and all rarer values share one extra
-    index, so that ``most + 1`` bins hold any category and the driver a bounded list.
+    Most frequent first, ties by name. NULL, unseen and all rarer values of a category share
+    the index after its last label, so that ``most + 1`` bins hold any category and the
+    driver a bounded list. One model each: the labels of several in one model would have to
+    be padded to the longest list, and the padding would count as labels.
     """
     found = present_columns(df, columns)
+    if not found:
+        return []
     counts = materialize(_value_counts(df, found), "category-counts")
-    labels = []
+    models = []
     for name in found:
         top = counts.where(F.col("name") == name).orderBy(F.desc("count"), "value").limit(most)
-        labels.append([row["value"] for row in top.collect()])
-    return StringIndexerModel.from_arrays_of_labels(
-        labels, found, [f"{name}_index" for name in found], "keep"
-    )
+        labels = [row["value"] for row in top.collect()]
+        models.append(StringIndexerModel.from_labels(labels, name, f"{name}_index", "keep"))
+    return models
 
 
 def encode_categoricals(
-    df: DataFrame, columns: Sequence[str] = CATEGORICAL, model: StringIndexerModel | None = None
+    df: DataFrame,
+    columns: Sequence[str] = CATEGORICAL,
+    models: Sequence[StringIndexerModel] = (),
 ) -> DataFrame:
-    """Replace category columns by ``*_index``: those of ``model``, or else a rank by frequency.
+    """Replace category columns by ``*_index``: those of ``models``, or else a rank by frequency.
 
-    Without a model every value has its own index, however many there are: values are ranked
+    Without models every value has its own index, however many there are: values are ranked
     as a table (ties by name) and joined back. NULL gets the number of values.
     """
-    if model is not None:
-        return model.transform(df).drop(*model.getInputCols())
+    if models:
+        indexed = PipelineModel(list(models)).transform(df)
+        return indexed.drop(*[model.getInputCol() for model in models])
     found = present_columns(df, columns)
     if not found:
         return df
@@ -157,11 +165,15 @@ def encode_categoricals(
         own = ranked.where(F.col("name") == name).select(
             F.col("value").alias("_value"), (F.col("rank") - first).cast("double").alias("_index")
         )
-        encoded = (
-            encoded.join(own, F.col(name).cast("string") == F.col("_value"), "left")
-            .withColumn(f"{name}_index", F.coalesce("_index", F.lit(float(n))))
-            .drop("_value", "_index", name)
-        )
+        keyed = encoded.withColumn("_value", F.col(name).cast("string"))
+        # The number of values is known: a short list is broadcast, so that no frequent value
+        # and no NULL meets in one task; beyond that frequent values are salted.
+        if n <= BROADCAST_ROWS:
+            joined = keyed.join(F.broadcast(own), "_value", "left")
+        else:
+            joined = skew_join(keyed, own, ["_value"], "left", unique_right=True)
+        encoded = joined.withColumn(f"{name}_index", F.coalesce("_index", F.lit(float(n))))
+        encoded = encoded.drop("_value", "_index", name)
     return encoded
 
 

@@ -22,8 +22,9 @@ from transitloom.storage import materialize
 HOT_ROWS = 1_000_000
 HOT_SHARE = 0.0
 _BUCKETS = 4096
-# A list of hot keys of up to this many rows is broadcast; there is one per million rows at most.
-_BROADCAST_KEYS = 1_000_000
+# A table of narrow rows that is known to have no more than this many is broadcast. Of hot keys
+# there is one per million rows at most.
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class HotKeys:
 
     def joinable(self, table: DataFrame) -> DataFrame:
         """``table``, one row per hot key, marked for broadcast if there are few enough."""
-        return F.broadcast(table) if self.size <= _BROADCAST_KEYS else table
+        return F.broadcast(table) if self.size <= BROADCAST_ROWS else table
 
 
 NO_KEYS = HotKeys()

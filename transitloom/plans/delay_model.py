@@ -16,7 +16,7 @@ from transitloom.operators.features import (
     LABEL,
     MOMENTS,
     align_schema,
-    categorical_indexer,
+    categorical_indexers,
     feature_frame,
 )
 from transitloom.operators.metrics import regression_metrics
@@ -81,15 +81,14 @@ def train_delay_model(
     """
     prepared = _training_table(_prepared(facts, numeric, [label]), partitions)
     # Each value takes a bin, and all others one more.
-    indexer = categorical_indexer(prepared, most=max_bins - 2)
-    assembler = VectorAssembler(
-        inputCols=[*numeric, *indexer.getOutputCols()], outputCol="features", handleInvalid="skip"
-    )
+    indexers = categorical_indexers(prepared, most=max_bins - 2)
+    inputs = [*numeric, *[indexer.getOutputCol() for indexer in indexers]]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=trees, maxBins=max_bins,
         maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
     )
-    return Pipeline(stages=[indexer, assembler, forest]).fit(prepared)
+    return Pipeline(stages=[*indexers, assembler, forest]).fit(prepared)
 
 
 def _assembler(model: PipelineModel) -> VectorAssembler:
@@ -103,10 +102,9 @@ def feature_names(model: PipelineModel) -> list[str]:
 def _indexed(model: PipelineModel) -> dict[str, str]:
     """The category column behind every index feature."""
     return {
-        output: source
+        stage.getOutputCol(): stage.getInputCol()
         for stage in model.stages
         if isinstance(stage, StringIndexerModel)
-        for source, output in zip(stage.getInputCols(), stage.getOutputCols())
     }
 
 

@@ -229,7 +229,40 @@ def _graph_rows(vehicles: str, trips: str, stops: str, pairs: str) -> str:
 _LABELLED = "delay IS NOT NULL AND NOT isnan(delay)"
 _TEST_SIDE = "CAST('0x' || substr(md5('42|' || journey_id), 1, 8) AS BIGINT) % 100 >= 80"
 
+_CATEGORIES = ("vehicle_type", "route_id", "location_source", "operator", "direction", "line")
+
+
+def _learnt(column: str) -> str:
+    """Index of a category as the training side has it; unseen values get the next index."""
+    return f"""CAST(coalesce((SELECT place FROM (
+            SELECT CAST({column} AS VARCHAR) AS c,
+                   row_number() OVER (ORDER BY count(*) DESC, CAST({column} AS VARCHAR)) - 1 AS place
+            FROM facts WHERE {_LABELLED} AND NOT ({_TEST_SIDE}) GROUP BY 1) r
+            WHERE r.c = CAST(t.{column} AS VARCHAR)),
+            (SELECT count(DISTINCT {column}) FROM facts WHERE {_LABELLED} AND NOT ({_TEST_SIDE})))
+            AS DOUBLE) AS {column}_index"""
+
+
+def _model_input(numeric: str) -> str:
+    columns = [f"CAST({name} AS DOUBLE) AS {name}" for name in numeric.split()]
+    return ", ".join([*columns, *map(_learnt, _CATEGORIES)])
+
+
+_FILLED = "SELECT * REPLACE (coalesce(speed, 0.0) AS speed, coalesce(occupancy, 0) AS occupancy)"
+_SCORER = """speed occupancy vehicle_latitude vehicle_longitude odometer timestamp_numeric
+    start_time_numeric start_date_numeric hour day_of_week is_weekend"""
+
 _ORACLES: dict[str, tuple[str, str]] = {
+    "ml_score_columns": ("ev facts", f"""
+        SELECT {_model_input("total_stops vehicle_id journey_id timestamp_seconds stop " + _SCORER)},
+               true AS is_scored
+        FROM ({_FILLED} FROM facts WHERE {_LABELLED}) t"""),
+    "ml_batch_columns": ("ev facts", f"""
+        SELECT batch_id, journey_id, {_model_input(_SCORER)}, true AS is_scored
+        FROM ({_FILLED},
+                  (row_number() OVER (ORDER BY "timestamp", journey_id) - 1) // 1000 AS batch_id
+              FROM facts) t
+        WHERE {_LABELLED} AND {_TEST_SIDE}"""),
     "vehicle_normalize": ("ev raw judged", """
         SELECT CAST(json_extract(doc, '$.VP.veh') AS INTEGER) AS vehicle_id,
                coalesce(nullif(split_part(topic, '/', 7), ''), 'unknown') AS vehicle_type,

@@ -807,6 +807,21 @@ def ml_score_rows(spark, sf_dir):
     )
 
 
+def _without_score(scored):
+    """All a scored frame returns but the score itself: whether there is one."""
+    return scored.withColumn("is_scored", F.col("predicted_delay").isNotNull()).drop("predicted_delay")
+
+
+@_query
+def ml_score_columns(spark, sf_dir):
+    return _without_score(ml_score(spark, sf_dir))
+
+
+@_query
+def ml_batch_columns(spark, sf_dir):
+    return _without_score(ml_batch_score(spark, sf_dir))
+
+
 @_query
 def ml_batch_rows(spark, sf_dir):
     facts = testdata.facts(spark, sf_dir)
