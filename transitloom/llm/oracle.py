@@ -206,8 +206,109 @@ def _chat_format() -> str:
     """
 
 
+_CRC_TABLE = """
+    crc_table AS (
+        SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)
+    )"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's bytes, where ``crc_table`` is in reach."""
+    code = f"hex(encode({text}))"
+    octets = f"[('0x' || {code}[2 * k + 1 : 2 * k + 2])::BIGINT FOR k IN range(len({code}) // 2)]"
+    return f"""xor(list_reduce([4294967295::BIGINT] || {octets}, lambda c, b:
+        xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+def _conversation_repair() -> str:
+    def edit(cost: str, letter: str, line: str = "''"):
+        return lambda state: (
+            f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+        )
+
+    def turn_of(role: str) -> str:
+        return f"'{role}:' || chr(10)"
+
+    def cheapest(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def allowed(condition: str, option: str) -> str:
+        return f"CASE WHEN stays AND {condition} THEN {option} END"
+
+    delete, keep = edit("4", "D"), edit("extra", "K", "role || ':' || text || chr(10)")
+    to_user = edit("extra + 3", "R", "'user:' || text || chr(10)")
+    to_assistant = edit("extra + 3", "R", "'assistant:' || text || chr(10)")
+    add_user, add_assistant = edit("3", "I", turn_of("user")), edit("3", "I", turn_of("assistant"))
+    before_user = ("s0", "s1", "s3")
+    kept = [allowed("initial = 'u'", keep(state)) for state in before_user]
+    changed = [allowed("true", to_user(state)) for state in before_user]
+    never = "{'c': 1000000000::BIGINT, 'a': '', 't': ''}"
+    nothing = "{'c': 0::BIGINT, 'a': '', 't': ''}"
+    return rf"""
+    WITH RECURSIVE {_CRC_TABLE},
+    dealt AS (
+        SELECT coalesce('c' || conv_id, 'null') AS talk, turn, coalesce(role, ' ') AS role,
+            coalesce(text, ' ') AS text,
+            {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS n
+        FROM conversations, crc_table
+    ),
+    damaged AS (
+        SELECT talk, turn, CASE WHEN n = 4 THEN 'user' ELSE role END AS role,
+            CASE n WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM (SELECT *, unnest(CASE WHEN n = 3 THEN [1, 2] ELSE [1] END) FROM dealt WHERE n > 0)
+    ),
+    numbered AS (
+        SELECT *, left(role, 1) AS initial,
+            row_number() OVER (PARTITION BY talk ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+            regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending
+        FROM damaged
+    ),
+    judged AS (
+        SELECT *, ending = '' AS blank, ending <> '' AND seen > 1 AS duplicate,
+            ending <> '' AND seen = 1 AND ending NOT IN ('.', '!', '?') AS truncated,
+            ending <> '' AND seen = 1 AS stays, CASE WHEN truncated THEN 3 ELSE 0 END AS extra,
+            coalesce(before || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+        FROM (SELECT *, row_number() OVER (PARTITION BY talk, role, text ORDER BY i) AS seen,
+                  lag(initial) OVER (PARTITION BY talk ORDER BY i) AS before
+              FROM numbered)
+    ),
+    counts AS (
+        SELECT talk, count(*) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+            count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+        FROM judged GROUP BY talk
+    ),
+    ways AS (
+        SELECT talk, 0::BIGINT AS i, {nothing} AS s0, {never} AS s1, {add_user(nothing)} AS s2,
+            {add_assistant(add_user(nothing))} AS s3 FROM counts
+        UNION ALL
+        SELECT talk, i, s0, s1, s2, {cheapest("s3", add_assistant("s2"))}
+        FROM (SELECT talk, i, s0, s1, s3,
+                  {cheapest("s2", *[add_user(state) for state in before_user])} AS s2
+              FROM (SELECT w.talk, j.i, {delete("s0")} AS s0,
+                        {cheapest(delete("s1"), allowed("initial = 's'", keep("s0")))} AS s1,
+                        {cheapest(delete("s2"), *kept, *changed)} AS s2,
+                        {cheapest(delete("s3"), allowed("initial = 'a'", keep("s2")),
+                                  allowed("true", to_assistant("s2")))} AS s3
+                    FROM ways w JOIN judged j ON j.talk = w.talk AND j.i = w.i + 1))
+    ),
+    best AS (
+        SELECT c.*, list_min([s0, s3]) AS way FROM ways w JOIN counts c ON c.talk = w.talk AND w.i = c.n
+    )
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+        coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, coalesce(way.c, 0) AS cost, coalesce(way.a, '') AS audit,
+        sha256(coalesce(left(way.t, -1), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN best b ON b.talk = coalesce('c' || o.conv_id, 'null')
+    """
+
+
 def corpus_oracles() -> dict[str, str]:
-    """By query name. Not here: draws by Spark's hash (2), learnt models (7), XXH64 (8) and
+    """By query name. Not here: draws by Spark's hash (2), learnt models (7, 11), XXH64 (8) and
     parsing pages (10); tests hold these against brute force."""
     return {
         "op1_decontaminate": _decontaminate(),
@@ -216,4 +317,5 @@ def corpus_oracles() -> dict[str, str]:
         "op5_exact_dedup": _EXACT_DEDUP,
         "op6_shard": _shard(),
         "op9_chat_format": _chat_format(),
+        "op13_conversation_repair": _conversation_repair(),
     }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from transitloom.llm import (
     chat_format,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -107,10 +108,26 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    found = repaired.reports.join(conversation_repair.text_digests(repaired), "talk", "left")
+    zero = F.lit(0).cast("bigint")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    every = conversations.select("conv_id").distinct().withColumnRenamed("conv_id", "original")
+    return every.join(found, F.expr("original <=> conv_id"), "left").select(
+        F.col("original").alias("conv_id"),
+        *[F.coalesce(name, zero).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def corpus_queries() -> dict:
-    """The ten queries by name."""
+    """The queries by name."""
     queries = (
         op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_license_scan, op5_exact_dedup,
         op6_shard, op7_language_id, op8_simhash, op9_chat_format, op10_html_extract,
+        op13_conversation_repair,
     )
     return {query.__name__: query for query in queries}
