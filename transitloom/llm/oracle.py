@@ -222,6 +222,55 @@ def _crc32(text: str) -> str:
         xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
 
 
+def _spelling_variants() -> str:
+    lower = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+    return rf"""
+    WITH RECURSIVE {_CRC_TABLE},
+    runs AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id,
+            unnest(regexp_extract_all({lower}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+    ),
+    counted AS (
+        SELECT run, count(*) AS times, {_crc32("id || ':' || run")} AS code
+        FROM runs, crc_table WHERE length(run) >= 7 GROUP BY id, run, t
+    ),
+    words AS (
+        SELECT word, sum(times)::BIGINT AS n
+        FROM (SELECT times, CASE WHEN code % 31 = 0
+                  THEN run[: code % length(run)] || run[code % length(run) + 2 :] ELSE run END AS word
+              FROM counted)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+    ),
+    cuts AS (
+        SELECT word, n, k, word[: k - 1] || word[k + 1 :] AS cut
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+    ),
+    pairs AS (
+        SELECT a.word, b.word AS near, b.n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.k = b.k
+        WHERE a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.cut
+        UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.cut
+    ),
+    best AS (
+        SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n
+        FROM pairs GROUP BY word
+    ),
+    formed AS (
+        SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+            CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+        FROM words w LEFT JOIN best USING (word)
+    ),
+    ways(word, root) AS (
+        SELECT word, word FROM formed
+        UNION ALL SELECT w.word, f.form FROM ways w JOIN formed f ON f.word = w.root
+        WHERE f.form IS NOT NULL
+    )
+    SELECT word, form, root, f.n, n_near, form_n
+    FROM formed f JOIN (SELECT w.word, w.root FROM ways w JOIN formed e ON e.word = w.root
+                        WHERE e.form IS NULL) USING (word)
+    """
+
+
 def _conversation_repair() -> str:
     def edit(cost: str, letter: str, line: str = "''"):
         return lambda state: (
@@ -262,7 +311,9 @@ def _conversation_repair() -> str:
     numbered AS (
         SELECT *, left(role, 1) AS initial,
             row_number() OVER (PARTITION BY talk ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
-            regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending
+            regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS ending
         FROM damaged
     ),
     judged AS (
@@ -317,5 +368,6 @@ def corpus_oracles() -> dict[str, str]:
         "op5_exact_dedup": _EXACT_DEDUP,
         "op6_shard": _shard(),
         "op9_chat_format": _chat_format(),
+        "op12_spelling_variants": _spelling_variants(),
         "op13_conversation_repair": _conversation_repair(),
     }

@@ -15,8 +15,10 @@ from transitloom.llm import (
     license_scan,
     line_dedup,
     mixture,
+    quality,
     sharding,
     simhash,
+    spelling,
 )
 
 SHARD_BYTES = 32 << 20
@@ -108,6 +110,25 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.learn(documents, labels.where(~quality.is_held_out(F.col("doc_id"))))
+    score = F.col("score")
+    return quality.score_quality(documents, model, carry=["doc_id"]).select(
+        "row.doc_id",
+        quality.is_held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (score >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(_table(spark, sf_dir, "documents"))
+    # Deleting a letter makes no run longer: shorter ones give no words.
+    long_enough = found.where(F.length("run") >= spelling.LEAST_LENGTH)
+    return spelling.group_variants(spelling.vocabulary(spelling.misspelt(long_enough))).words
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     repaired = conversation_repair.repair(conversation_repair.damage(conversations))
@@ -128,6 +149,6 @@ def corpus_queries() -> dict:
     queries = (
         op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_license_scan, op5_exact_dedup,
         op6_shard, op7_language_id, op8_simhash, op9_chat_format, op10_html_extract,
-        op13_conversation_repair,
+        op11_quality, op12_spelling_variants, op13_conversation_repair,
     )
     return {query.__name__: query for query in queries}
