@@ -110,9 +110,9 @@ def test_components_against_brute_force(spark, hot_rows):
     assert rows(found) == _components(pairs)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 10])
+@pytest.mark.parametrize("hot_rows, broadcast_rows", [(1_000_000, 1_000_000), (1_000_000, 0), (10, 0)])
 @pytest.mark.parametrize("k", [0, 1, 2, 3])
-def test_neighbourhood_against_brute_force(spark, k, hot_rows):
+def test_neighbourhood_against_brute_force(spark, k, hot_rows, broadcast_rows):
     pairs = _random_pairs(2)
     near = {"3": 0, "500": 0}
     for hop in range(1, k + 1):
@@ -121,7 +121,7 @@ def test_neighbourhood_against_brute_force(spark, k, hot_rows):
                 if near.get(x, k) < hop:
                     near.setdefault(y, hop)
     seeds = spark.createDataFrame([("3",), ("500",), ("500",), (None,)], "id string")
-    found = traversal.neighborhood(_edges(spark, pairs), seeds, k, hot_rows, 1 / 100)
+    found = traversal.neighborhood(_edges(spark, pairs), seeds, k, hot_rows, 1 / 100, broadcast_rows)
     assert rows(found) == sorted(near.items(), key=repr)
 
 

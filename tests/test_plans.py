@@ -2,7 +2,7 @@
 
 import pytest
 
-from transitloom.operators import traversal
+from transitloom.operators import graph, traversal
 from transitloom.plans.queries import all_queries
 from transitloom.storage import materialize
 
@@ -47,3 +47,35 @@ def test_rounds_of_components_compare_longs(spark, monkeypatch):
     ]
     assert [plan for name, plan in plans if name == "choice"]
     assert not any("SortAggregate" in plan for _, plan in plans)
+
+
+def test_inputs_of_the_trip_join_are_parsed_once(spark):
+    # Both sides are read from the few columns that were stored of them.
+    plan = _plan(all_queries()["trip_vehicle_join"](spark, SF))
+    assert "events.parquet" not in plan and plan.count("join-side") >= 2
+
+
+def test_links_are_not_shuffled_for_a_short_frontier(spark, monkeypatch):
+    plans = []
+
+    def watched(df, name):
+        plans.append(_plan(df))
+        return materialize(df, name)
+
+    edges = materialize(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "src bigint, dst bigint"), "edges")
+    monkeypatch.setattr(traversal, "materialize", watched)
+    seeds = spark.createDataFrame([(1,)], "id bigint")
+    assert traversal.neighborhood(edges, seeds, 2).count() == 3
+    assert len(plans) == 3 and all("BroadcastHashJoin [src" in plan for plan in plans[1:])
+
+
+def test_different_stops_are_stored_once_for_hot_trips(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(graph, "materialize", lambda df, name: stored.append(name) or materialize(df, name))
+    facts = spark.createDataFrame(
+        [("t", k % 50, k) for k in range(200)] + [("u", 1, 1), ("u", 2, 2)], "trip_id string, stop int, seen int")
+    found = graph.stop_precede(facts, hot_rows=20)
+    assert stored == ["visits"] and found.count() == 50
+    plan = _plan(found)
+    assert "Scan ExistingRDD[trip_id" not in plan  # nothing reads the facts again
+    assert graph.stop_precede(facts).count() == 50 and stored == ["visits"]

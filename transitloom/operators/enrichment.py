@@ -11,6 +11,8 @@ from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
 from transitloom.storage import materialize
 
 _DAY = 24 * 60
+# Seconds before and after a planned arrival: on time within, given up beyond.
+ALERT_THRESHOLD, ALERT_PATIENCE = 300, 1200
 
 
 def weather_enrich(
@@ -129,6 +131,51 @@ def trip_sync_issues(
     ).select("trip_id", "stop_sequence", "stop", "found.*")
 
 
+def trip_alerts(
+    trips: DataFrame,
+    vehicles: DataFrame,
+    threshold: int = ALERT_THRESHOLD,
+    patience: int = ALERT_PATIENCE,
+    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
+    """Planned stops that lie out of order, or where the trip is early, late or missing.
+
+    ``vehicles`` holds ``trip_id``, ``stop`` and ``timestamp_seconds``; the first sighting
+    within ``patience`` seconds of the planned arrival counts. ``early``: it is more than
+    ``threshold`` seconds before (``offset_seconds``, negative); ``late``: there is none up to
+    ``threshold`` seconds after; ``missing``: there is none at all. A late stop may be missing
+    too: the one is known first. Each different planned stop is looked at once, one without
+    trip, stop or arrival not at all.
+    """
+    plan = ["trip_id", "stop_sequence", "stop", "arrival_time", "previous_arrival"]
+    known = ["trip_id", "stop", "arrival_time"]
+    planned = planned_stops(trips).select(*plan).dropna(subset=known).distinct()
+    planned = materialize(planned, "planned")  # read for its keys, for the join and for the result
+    near = planned.select("trip_id", "stop", "arrival_time").distinct()
+    sighted = vehicles.select("trip_id", "stop", "timestamp_seconds").dropna().distinct()
+    met = skew_join(near, sighted, ["trip_id", "stop"], "inner", hot_rows, hot_share)
+    offset = F.col("timestamp_seconds") - F.col("arrival_time")
+    first = met.where(F.abs(offset) <= patience).groupBy(*known).agg(F.min(offset).alias("offset"))
+    seen = skew_join(planned, first, known, "left", hot_rows, hot_share, unique_right=True)
+    step = F.col("arrival_time") - F.col("previous_arrival")
+    none = F.lit(None).cast("bigint")
+
+    def issue(condition, name, value):
+        return F.when(condition, F.struct(F.lit(name).alias("issue"), value.alias("offset_seconds")))
+
+    issues = F.array(
+        issue(step < 0, "out_of_order", step),
+        issue(F.col("offset") < -threshold, "early", F.col("offset")),
+        issue(F.col("offset").isNull() | (F.col("offset") > threshold), "late", none),
+        issue(F.col("offset").isNull(), "missing", none),
+    )
+    return seen.select(
+        "trip_id", "stop_sequence", "stop", F.col("arrival_time").alias("planned_time"),
+        F.explode(F.array_compact(issues)).alias("found"),
+    ).select("trip_id", "stop_sequence", "stop", "planned_time", "found.*")
+
+
 def windowed_delay(
     vehicles: DataFrame,
     moment: str = "timestamp",

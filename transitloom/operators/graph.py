@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, NumericType
 from transitloom.operators.ordering import next_in_group
 from transitloom.operators.sampling import sample_rows
 from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
+from transitloom.storage import materialize
 
 # Relation names, and id prefix, label word, colour and size per node kind.
 EFFECTUE, DESSERT, SE_DEPLACE_VERS, PRECEDE = "EFFECTUE", "DESSERT", "SE_DEPLACE_VERS", "PRECEDE"
@@ -60,16 +61,6 @@ def position_nodes(facts: DataFrame) -> DataFrame:
     return position_edges(facts).select("vehicle_latitude", "vehicle_longitude").distinct()
 
 
-def _hot_trips(facts, visits, hot_rows, hot_share):
-    """Trips with very many different stops. Few trips have very many rows at all, which
-    one narrow scan tells; only for those the distinct stops are counted."""
-    busy = hot_keys(facts.where("stop IS NOT NULL"), ["trip_id"], hot_rows, hot_share)
-    if not busy:
-        return busy
-    suspects = visits.join(busy.joinable(busy.table.select("trip_id")), "trip_id", "left_semi")
-    return hot_keys(suspects, ["trip_id"], hot_rows)
-
-
 def stop_precede(
     facts: DataFrame,
     order: str | None = None,
@@ -78,7 +69,9 @@ def stop_precede(
 ) -> DataFrame:
     """Consecutive stops of each trip as ``(trip_id, stop1, stop2)``.
 
-    Stops follow each other by stop id, or by the first time in column ``order``.
+    Stops follow each other by stop id, or by the first time in column ``order``. Few trips have
+    very many rows at all, which one narrow scan tells; only then the different stops are stored,
+    and those of such trips counted.
     """
     if order is None:
         visits = trip_stop_edges(facts)
@@ -90,7 +83,11 @@ def stop_precede(
             .agg(F.min(order).alias("_first"))
         )
         sort = ["_first", "stop"]
-    hot = _hot_trips(facts, visits, hot_rows, hot_share)
+    hot = busy = hot_keys(facts.where("stop IS NOT NULL"), ["trip_id"], hot_rows, hot_share)
+    if busy:
+        visits = materialize(visits, "visits")  # counted, and read for either kind of trip
+        suspects = visits.join(busy.joinable(busy.table.select("trip_id")), "trip_id", "left_semi")
+        hot = hot_keys(suspects, ["trip_id"], hot_rows)
     paired = next_in_group(visits, "trip_id", sort, "stop", "stop2", hot)
     return paired.where("stop2 IS NOT NULL").select("trip_id", F.col("stop").alias("stop1"), "stop2")
 

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from transitloom.operators.ordering import with_rank
-from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, NO_KEYS, hot_keys, skew_join
+from transitloom.operators.skew import (
+    BROADCAST_ROWS,
+    HOT_ROWS,
+    HOT_SHARE,
+    NO_KEYS,
+    hot_keys,
+    skew_join,
+)
 from transitloom.storage import discard, materialize
 
 
@@ -29,20 +36,27 @@ def neighborhood(
     k: int = 2,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Nodes within ``k`` undirected steps of the seeds (column ``id``), with their distance.
 
-    The edges are read once per step: pass a stored frame.
+    The edges are read once per step: pass a stored frame. They are not shuffled for a step
+    that starts from ``broadcast_rows`` nodes at most; beyond that hubs are salted.
     """
     links = both_ways(edges)
-    hubs = hot_keys(links, ["src"], hot_rows, hot_share)
+    hubs = None
     reached = seeds.select("id").dropna().distinct().withColumn("hops", F.lit(0))
+    reached = materialize(reached, "hop")
     frontier = reached.select("id")
     for hop in range(1, k + 1):
-        near = skew_join(
-            links, frontier.toDF("src"), ["src"], "left_semi", hot_rows, hot_share,
-            unique_right=True, left_hot=hubs,
-        )
+        start = frontier.toDF("src")
+        if start.count() <= broadcast_rows:
+            near = links.join(F.broadcast(start), "src", "left_semi")
+        else:
+            hubs = hot_keys(links, ["src"], hot_rows, hot_share) if hubs is None else hubs
+            near = skew_join(
+                links, start, ["src"], "left_semi", hot_rows, hot_share, unique_right=True, left_hot=hubs,
+            )
         found = near.select(F.col("dst").alias("id")).distinct()
         fresh = found.join(reached.select("id"), "id", "left_anti")
         # Later steps read this one twice; written down, it is computed once.

@@ -81,3 +81,23 @@ def resolved_edges(facts: DataFrame) -> DataFrame:
     """Tagged edges between existing nodes, each once."""
     ids = materialize(graph.assemble_fact_nodes(facts).select("id"), "node-ids")
     return graph.resolve_edges(stored_edges(facts), ids, ids)
+
+
+def motif_relations(facts: DataFrame, order: str) -> dict[str, DataFrame]:
+    """Relations for patterns of trips: a vehicle runs a trip (EFFECTUE), a trip has a hop from
+    one stop to the next by time (``HOP``), and a hop has the one back (``BACK``)."""
+    hops = materialize(
+        graph.stop_precede(facts, order).select(
+            F.concat(F.lit("T_"), F.col("trip_id").cast("string")).alias("trip"),
+            F.concat_ws(">", "stop1", "stop2").alias("hop"), F.concat_ws(">", "stop2", "stop1").alias("back"),
+        ),
+        "hops",
+    )
+    return {
+        graph.EFFECTUE: graph.vehicle_trip_edges(facts).select(
+            F.concat(F.lit("V_"), F.col("vehicle_id").cast("string")).alias("src"),
+            F.concat(F.lit("T_"), F.col("trip_id").cast("string")).alias("dst"),
+        ),
+        "HOP": hops.select(F.col("trip").alias("src"), F.col("hop").alias("dst")),
+        "BACK": hops.select(F.col("hop").alias("src"), F.col("back").alias("dst")).distinct(),
+    }

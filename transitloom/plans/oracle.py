@@ -6,6 +6,8 @@ has queries of its own.
 
 from __future__ import annotations
 
+import math
+
 # Named building blocks, each using only those before it.
 _PARTS = {
     "ev": """
@@ -252,7 +254,166 @@ _FILLED = "SELECT * REPLACE (coalesce(speed, 0.0) AS speed, coalesce(occupancy,
 _SCORER = """speed occupancy vehicle_latitude vehicle_longitude odometer timestamp_numeric
     start_time_numeric start_date_numeric hour day_of_week is_weekend"""
 
+_TRIP_ALERTS = """,
+    plans AS (
+        SELECT trip_id, 0 AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop, due AS planned_time,
+               CAST(NULL AS BIGINT) AS previous FROM planned
+        UNION SELECT trip_id, 1, CAST(l_suppkey AS VARCHAR), due + shift, due FROM planned),
+    sighted AS (
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_partkey AS VARCHAR) AS stop,
+               epoch_us(l_shipdate) // 1000000 + CAST(l_quantity AS BIGINT) * 60 - 1500 AS seen
+        FROM lineitem),
+    met AS (
+        SELECT p.*, (SELECT min(s.seen - p.planned_time) FROM sighted s
+                     WHERE s.trip_id = p.trip_id AND s.stop = p.stop
+                     AND abs(s.seen - p.planned_time) <= 1200) AS away
+        FROM plans p)
+    SELECT trip_id, stop_sequence, stop, planned_time, 'out_of_order' AS issue,
+           planned_time - previous AS offset_seconds FROM met WHERE planned_time < previous
+    UNION ALL SELECT trip_id, stop_sequence, stop, planned_time, 'early', away FROM met WHERE away < -300
+    UNION ALL SELECT trip_id, stop_sequence, stop, planned_time, 'late', NULL FROM met
+        WHERE away IS NULL OR away > 300
+    UNION ALL SELECT trip_id, stop_sequence, stop, planned_time, 'missing', NULL FROM met WHERE away IS NULL"""
+
+
+def _pagerank(rounds: int, damping: float = 0.85) -> str:
+    """The rounds one after the other, each a table of its own."""
+    steps = [""",
+    pr_links AS MATERIALIZED (SELECT DISTINCT src, dst FROM edges),
+    pr_nodes AS MATERIALIZED (
+        SELECT n.id, count(l.src) AS out_degree, 1.0::DOUBLE / count(*) OVER () AS start
+        FROM (SELECT src AS id FROM pr_links UNION SELECT dst FROM pr_links) n
+        LEFT JOIN pr_links l ON l.src = n.id GROUP BY n.id),
+    pr_0 AS MATERIALIZED (SELECT id, start AS rank FROM pr_nodes)"""]
+    for turn in range(rounds):
+        steps.append(f"""
+    pr_{turn + 1} AS MATERIALIZED (
+        SELECT n.id, n.start * ({1 - damping}::DOUBLE + {damping}::DOUBLE * s.stuck)
+            + {damping}::DOUBLE * coalesce(c.sent, 0) AS rank
+        FROM pr_nodes n
+        CROSS JOIN (SELECT coalesce(sum(rank) FILTER (out_degree = 0), 0) AS stuck
+                    FROM pr_{turn} JOIN pr_nodes USING (id)) s
+        LEFT JOIN (SELECT l.dst AS id, sum(r.rank / d.out_degree) AS sent
+                   FROM pr_links l JOIN pr_{turn} r ON r.id = l.src JOIN pr_nodes d ON d.id = l.src
+                   GROUP BY 1) c ON c.id = n.id)""")
+    return ",".join(steps) + f" SELECT id, round(rank, 12) AS rank FROM pr_{rounds}"
+
+
+# Metres that a degree of longitude has at 60 degrees north, as a plane true there takes it.
+_EAST = 111_320.0 * math.cos(math.radians(60.0))
+
+
+def _visits(max_gap: str) -> str:
+    return f""",
+    stays AS (
+        SELECT user_id AS vehicle, epoch_s AS seen_at, CASE WHEN k % 10 <> 0 THEN CAST(k // 34 AS BIGINT) END AS stop
+        FROM ev),
+    marked AS (
+        SELECT *, CASE WHEN lag(seen_at) OVER w IS NULL OR lag(stop) OVER w IS DISTINCT FROM stop
+                       OR seen_at - lag(seen_at) OVER w > {max_gap} THEN 1 ELSE 0 END AS starts
+        FROM stays WINDOW w AS (PARTITION BY vehicle ORDER BY seen_at, stop NULLS FIRST)),
+    runs AS (
+        SELECT vehicle, stop, min(seen_at) AS arrival, max(seen_at) AS departure, count(*) AS positions
+        FROM (SELECT *, sum(starts) OVER (PARTITION BY vehicle ORDER BY seen_at, stop NULLS FIRST
+                                          ROWS UNBOUNDED PRECEDING) AS run FROM marked)
+        GROUP BY vehicle, run, stop HAVING stop IS NOT NULL)
+    SELECT *, departure - arrival AS dwell,
+           lead(stop) OVER (PARTITION BY vehicle ORDER BY arrival, departure, stop) AS next_stop,
+           lead(arrival) OVER (PARTITION BY vehicle, stop ORDER BY arrival, departure) AS returns_at
+    FROM runs"""
+
+
 _ORACLES: dict[str, tuple[str, str]] = {
+    "graph_stored_upsert": ("gf", """,
+        last AS (
+            SELECT vehicle_id, max(l_linenumber // 3) AS batch,
+                   arg_max({'vehicle_type': vehicle_type, 'operator': operator, 'line': line, 'speed': speed,
+                            'occupancy': occupancy},
+                           {'b': l_linenumber // 3, 't': timestamp_seconds, 'o': l_orderkey,
+                            'l': l_linenumber, 'p': l_partkey, 'e': l_extendedprice}) AS state
+            FROM gf WHERE vehicle_id IS NOT NULL GROUP BY 1)
+        SELECT 'V_' || vehicle_id AS src, NULL AS dst, state.vehicle_type, state.operator, state.line,
+               state.speed, state.occupancy, CAST(batch AS BIGINT) AS batch FROM last
+        UNION ALL
+        SELECT 'V_' || vehicle_id, 'T_' || trip_id, NULL, NULL, NULL, NULL, NULL, min(l_linenumber // 3)
+        FROM gf WHERE vehicle_id IS NOT NULL AND trip_id IS NOT NULL GROUP BY 1, 2"""),
+    "stop_visits": ("ev", _visits("9000000000")),
+    "stop_visits_with_gaps": ("ev", _visits("172800")),
+    "nearest_stop": ("ev", f""",
+        asked AS (SELECT event_id, 60 + value / 1000 AS latitude,
+                         CASE WHEN k % 10 <> 9 THEN 24 + k / 50 END AS longitude FROM ev),
+        given AS (SELECT p_partkey AS stop, 60 + p_partkey * 7919 % 1000 / 500.0::DOUBLE / wide AS latitude,
+                         24 + p_partkey * 7907 % 997 / 250.0::DOUBLE / wide AS longitude
+                  FROM (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN 1.0::DOUBLE ELSE 64.0::DOUBLE END AS wide
+                        FROM part)),
+        best AS (
+            SELECT event_id, list_min(list({{'d': dx * dx + dy * dy, 's': stop}})) AS b
+            FROM (SELECT event_id, stop, s.longitude * {_EAST!r} - a.longitude * {_EAST!r} AS dx,
+                         s.latitude * 111320.0::DOUBLE - a.latitude * 111320.0::DOUBLE AS dy
+                  FROM asked a, given s WHERE a.longitude IS NOT NULL)
+            GROUP BY event_id)
+        SELECT a.*, b.s AS nearest_stop, sqrt(b.d) AS distance FROM asked a LEFT JOIN best USING (event_id)"""),
+    "trip_alerts": ("planned", _TRIP_ALERTS),
+    "stream_trip_sync": ("planned", _TRIP_ALERTS),
+    "graph_pagerank": ("gf vt tst succession sp edges", _pagerank(10)),
+    "graph_strong_components": ("gf", """,
+        visits AS (SELECT trip_id, stop, min(timestamp_seconds) AS seen FROM gf
+                   WHERE trip_id IS NOT NULL AND stop IS NOT NULL GROUP BY 1, 2),
+        steps AS (SELECT DISTINCT stop AS src, dst FROM (
+                      SELECT stop, lead(stop) OVER (PARTITION BY trip_id ORDER BY seen, stop) AS dst
+                      FROM visits) WHERE dst IS NOT NULL),
+        places AS MATERIALIZED (
+            SELECT id, CAST(row_number() OVER (ORDER BY id) - 1 AS INTEGER) AS i, count(*) OVER () AS n
+            FROM (SELECT src AS id FROM steps UNION SELECT dst FROM steps)),
+        links AS MATERIALIZED (SELECT a.i AS src, b.i AS dst FROM steps
+                  JOIN places a ON a.id = steps.src JOIN places b ON b.id = steps.dst),
+        -- The set of places each one reaches, as bits, until no set grows any more.
+        reach(k, i, bits, grown) AS (
+            SELECT 0, i, set_bit(bitstring('0', CAST(n AS INTEGER)), i, 1), true FROM places
+            UNION ALL
+            SELECT a.k + 1, a.i, coalesce(a.bits | s.bits, a.bits), coalesce(a.bits | s.bits <> a.bits, false)
+            FROM reach a LEFT JOIN (SELECT l.src, bit_or(r.bits) AS bits
+                                    FROM links l JOIN reach r ON r.i = l.dst GROUP BY 1) s ON s.src = a.i
+            WHERE (SELECT bool_or(grown) FROM reach))
+        SELECT id, min(id) OVER (PARTITION BY bits) AS component
+        FROM reach JOIN places USING (i) WHERE k = (SELECT max(k) FROM reach)"""),
+    "travel_times": ("hops", "SELECT src, dst, min(weight) AS weight FROM hops GROUP BY 1, 2"),
+    "graph_shortest_paths": ("hops", """,
+        reached(id, distance) USING KEY (id) AS (
+            SELECT CAST(p_partkey AS VARCHAR), 0::BIGINT FROM part WHERE p_size = 50
+            UNION
+            SELECT h.dst, min(f.distance + h.weight) AS nearer
+            FROM reached f JOIN hops h ON h.src = f.id LEFT JOIN recurring.reached k ON k.id = h.dst
+            WHERE k.id IS NULL OR f.distance + h.weight < k.distance GROUP BY h.dst)
+        SELECT id, distance FROM reached"""),
+    "graph_triangles": ("gf vt tst succession sp edges", """,
+        pairs AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges
+                               WHERE src <> dst),
+        closed AS (SELECT x.a, x.b, y.b AS c FROM pairs x JOIN pairs y ON y.a = x.b
+                   JOIN pairs z ON z.a = x.a AND z.b = y.b),
+        counted AS (SELECT id, count(*) AS n FROM (
+                        SELECT a AS id FROM closed UNION ALL SELECT b FROM closed UNION ALL SELECT c FROM closed)
+                    GROUP BY 1),
+        sizes AS (SELECT id, count(*) AS degree FROM (SELECT a AS id FROM pairs UNION ALL SELECT b FROM pairs)
+                  GROUP BY 1)
+        SELECT id, degree, coalesce(n, 0) AS triangles,
+               CASE WHEN degree > 1 THEN 2 * coalesce(n, 0) / (degree * (degree - 1)) END AS clustering
+        FROM sizes LEFT JOIN counted USING (id)"""),
+    "graph_motifs": ("gf vt", """,
+        visits AS (SELECT trip_id, stop, min(timestamp_seconds) AS seen FROM gf
+                   WHERE trip_id IS NOT NULL AND stop IS NOT NULL GROUP BY 1, 2),
+        steps AS MATERIALIZED (
+            SELECT 'T_' || trip_id AS trip, stop || '>' || dst AS hop, dst || '>' || stop AS back
+            FROM (SELECT *, lead(stop) OVER (PARTITION BY trip_id ORDER BY seen, stop) AS dst FROM visits)
+            WHERE dst IS NOT NULL),
+        runs AS (SELECT 'V_' || vehicle_id AS v, 'T_' || trip_id AS trip FROM vt)
+        SELECT 'there and back' AS motif, a.v AS v1, x.trip AS t1, a.v AS v2, y.trip AS t2, x.hop AS p, y.hop AS q
+        FROM steps x JOIN steps y ON y.hop = x.back AND x.trip <> y.trip AND x.hop < y.hop
+        JOIN runs a ON a.trip = x.trip JOIN runs b ON b.trip = y.trip AND b.v = a.v
+        UNION ALL
+        SELECT 'same hop', a.v, x.trip, b.v, y.trip, x.hop, NULL
+        FROM steps x JOIN steps y ON y.hop = x.hop AND x.trip < y.trip
+        JOIN runs a ON a.trip = x.trip JOIN runs b ON b.trip = y.trip AND a.v <> b.v"""),
     "ml_score_columns": ("ev facts", f"""
         SELECT {_model_input("total_stops vehicle_id journey_id timestamp_seconds stop " + _SCORER)},
                true AS is_scored
@@ -467,6 +628,14 @@ _ORACLES: dict[str, tuple[str, str]] = {
                      max(event_id) AS report_id
               FROM ev WHERE event_type = 'signup' GROUP BY 1) r
         ON p.minute >= r.minute"""),
+    "stream_weather_enrich": ("ev", """
+        SELECT p.event_id, p.minute, r.temperature, r.report_id
+        FROM (SELECT event_id, epoch_s // 60 AS minute FROM ev WHERE event_type <> 'signup') p
+        ASOF LEFT JOIN
+             (SELECT epoch_s // 60 AS minute, arg_max(value, event_id) AS temperature,
+                     max(event_id) AS report_id
+              FROM ev WHERE event_type = 'signup' GROUP BY 1) r
+        ON p.minute >= r.minute"""),
     "trip_sync_issues": ("planned observed", """
         SELECT trip_id, 1 AS stop_sequence, CAST(l_suppkey AS VARCHAR) AS stop,
                'out_of_order' AS issue, shift AS offset_seconds
@@ -556,6 +725,14 @@ _PARTS |= {
         SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_partkey, l_suppkey,
                epoch_us(l_shipdate) // 1000000 AS due, CAST((l_linenumber - 3) * 600 AS BIGINT) AS shift
         FROM lineitem""",
+    "hops": """
+        SELECT src, dst, arrives - leaves AS weight
+        FROM (SELECT CAST(l_partkey AS VARCHAR) AS dst, CASE WHEN l_partkey % 11 <> 0 THEN t END AS arrives,
+                     lag(CAST(l_partkey AS VARCHAR)) OVER stops AS src,
+                     lag(CASE WHEN l_partkey % 11 <> 0 THEN t END) OVER stops AS leaves
+              FROM (SELECT *, epoch_us(l_shipdate) // 1000000 AS t FROM lineitem)
+              WINDOW stops AS (PARTITION BY l_orderkey ORDER BY t, l_partkey, l_linenumber))
+        WHERE src IS NOT NULL AND arrives >= leaves""",
     "observed": """
         SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_partkey AS VARCHAR) AS stop,
                min(epoch_us(l_shipdate) // 1000000 + CAST(l_quantity AS BIGINT) * 60 - 1500) AS seen
@@ -583,7 +760,8 @@ def _build(parts: str, body: str) -> str:
             blocks.append(f"{name} AS ({_PARTS[name]})")
     if not blocks:
         return body
-    kind = "WITH RECURSIVE " if "labels" in names else "WITH "
+    recursive = "labels" in names or "USING KEY" in body or "reach(" in body
+    kind = "WITH RECURSIVE " if recursive else "WITH "
     return kind + ",\n".join(blocks) + body
 
 

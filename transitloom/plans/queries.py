@@ -18,14 +18,18 @@ from transitloom.functions.times import (
     reformat_date,
 )
 from transitloom.operators import (
+    analysis,
     enrichment,
     features,
     graph,
     metrics,
+    motifs,
     normalize,
     ordering,
+    places,
     traversal,
     trip_join,
+    visits,
 )
 from transitloom.operators.messages import (
     decode_value,
@@ -50,14 +54,18 @@ from transitloom.schemas import (
     VEHICLE_TRIP_EDGES,
 )
 from transitloom.sources import catalog, files
+from transitloom.sources.graph_store import StoredEdges, StoredNodes
 from transitloom.storage import materialize, new_path
+from transitloom.streaming.alerts import trip_alert_stream
 from transitloom.streaming.jobs import (
     ingest_topics,
+    monitor_delays,
     publish_vehicles,
     store_joined_facts,
     store_positions,
 )
-from transitloom.streaming.sinks import count_writer, table_writer
+from transitloom.streaming.sinks import count_writer, start_files, table_writer
+from transitloom.streaming.weather import weather_enrich_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -539,18 +547,150 @@ def graph_components(spark, sf_dir):
     return traversal.connected_components(edges.unionByName(testdata.place_edges(spark, sf_dir)))
 
 
-# --- enrichment and monitoring ------------------------------------------------------
 @_query
-def weather_enrich(spark, sf_dir):
+def graph_pagerank(spark, sf_dir):
+    edges = graph_tables.stored_edges(testdata.graph_facts(spark, sf_dir)).select("src", "dst")
+    ranked = analysis.pagerank(edges, rounds=10)
+    return ranked.select("id", F.round("rank", 12).alias("rank"))
+
+
+@_query
+def graph_strong_components(spark, sf_dir):
+    succession = graph.precede_edges(testdata.graph_facts(spark, sf_dir), order="timestamp_seconds")
+    return analysis.strong_components(succession.toDF("src", "dst"))
+
+
+@_query
+def travel_times(spark, sf_dir):
+    return analysis.travel_times(testdata.planned_routes(spark, sf_dir))
+
+
+@_query
+def graph_shortest_paths(spark, sf_dir):
+    times = analysis.travel_times(testdata.planned_routes(spark, sf_dir))
+    seeds = testdata.table(spark, sf_dir, "part").where("p_size = 50")
+    return analysis.shortest_paths(
+        times, seeds.select(F.col("p_partkey").cast("string").alias("id")), delta=60 * 86400
+    )
+
+
+@_query
+def graph_triangles(spark, sf_dir):
+    edges = graph.transport_edges(testdata.graph_facts(spark, sf_dir)).select("src", "dst")
+    return analysis.triangles(edges)
+
+
+@_query
+def graph_motifs(spark, sf_dir):
+    relations = graph_tables.motif_relations(testdata.graph_facts(spark, sf_dir), "timestamp_seconds")
+    runs, hop, back = graph.EFFECTUE, "HOP", "BACK"
+    there_and_back = motifs.find_motifs(
+        relations,
+        [("v", runs, "t1"), ("v", runs, "t2"), ("t1", hop, "p"), ("t2", hop, "q"), ("p", back, "q")],
+        different=[("t1", "t2")],
+        ordered=[("p", "q")],
+    )
+    same_hop = motifs.find_motifs(
+        relations,
+        [("v1", runs, "t1"), ("t1", hop, "p"), ("t2", hop, "p"), ("v2", runs, "t2")],
+        different=[("v1", "v2")],
+        ordered=[("t1", "t2")],
+    )
+    return there_and_back.select(
+        F.lit("there and back").alias("motif"), F.col("v").alias("v1"), "t1", F.col("v").alias("v2"), "t2", "p", "q"
+    ).unionByName(same_hop.select(
+        F.lit("same hop").alias("motif"), "v1", "t1", "v2", "t2", "p", F.lit(None).cast("string").alias("q")
+    ))
+
+
+@_query
+def graph_stored_upsert(spark, sf_dir):
+    folder = new_path(spark, "store")
+    facts = testdata.graph_facts(spark, sf_dir)
+    incoming = materialize(facts.select(
+        *graph.VEHICLE_COLUMNS, "trip_id", "timestamp_seconds", "order_key", "line_number", "part_key", "price"
+    ), "batches")
+    nodes = StoredNodes(f"{folder}/vehicles", graph.vehicle_nodes(incoming).schema, "vehicle_id", buckets=16)
+    order = ["timestamp_seconds", "order_key", "line_number", "part_key", "price"]
+    edges = StoredEdges(f"{folder}/edges", _vehicle_trips(incoming).schema, buckets=16)
+    # The second batch comes again, after the third.
+    for batch in (0, 1, 2, 1):
+        part = incoming.where(F.floor(F.col("line_number") / 3) == batch)
+        nodes.apply(part, batch, order)
+        edges.apply(_vehicle_trips(part), batch)
+    none = F.lit(None)
+    return nodes.read(spark).select(
+        F.concat(F.lit("V_"), "vehicle_id").alias("src"), none.cast("string").alias("dst"),
+        "vehicle_type", "operator", "line", "speed", "occupancy", "batch",
+    ).unionByName(edges.read(spark).select(
+        "src", "dst", none.cast("string").alias("vehicle_type"), none.cast("int").alias("operator"),
+        none.cast("int").alias("line"), none.cast("double").alias("speed"),
+        none.cast("int").alias("occupancy"), "batch",
+    ))
+
+
+def _vehicle_trips(facts):
+    return graph.vehicle_trip_edges(facts).select(
+        F.concat(F.lit("V_"), "vehicle_id").alias("src"), F.concat(F.lit("T_"), "trip_id").alias("dst"),
+        F.lit(graph.EFFECTUE).alias("relation"),
+    )
+
+
+def _stays(spark, sf_dir):
     rows = testdata.event_rows(spark, sf_dir)
+    # Three stops, so that vehicles stay at one and come back to it.
+    return rows.select(
+        F.col("user_id").alias("vehicle_id"), moment_to_epoch(rows, "ts").alias("timestamp_seconds"),
+        F.when(F.col("k") % 10 != 0, F.floor(F.col("k") / 34)).alias("stop"),
+    )
+
+
+@_query
+def stop_visits(spark, sf_dir):
+    return visits.stop_visits(_stays(spark, sf_dir))
+
+
+@_query
+def stop_visits_with_gaps(spark, sf_dir):
+    return visits.stop_visits(_stays(spark, sf_dir), max_gap=2 * 86400)
+
+
+@_query
+def nearest_stop(spark, sf_dir):
+    positions = testdata.event_rows(spark, sf_dir).select(
+        "event_id", (60 + F.col("value") / 1000).alias("latitude"),
+        F.when(F.col("k") % 10 != 9, 24 + F.col("k") / 50).alias("longitude"),
+    )
+    # Most stops lie close together, the others far out.
+    key = F.col("p_partkey")
+    wide = F.when(key % 4 == 0, F.lit(1.0)).otherwise(F.lit(64.0))
+    stops = testdata.table(spark, sf_dir, "part").select(
+        key.alias("stop"), (60 + key * 7919 % 1000 / 500.0 / wide).alias("latitude"),
+        (24 + key * 7907 % 997 / 250.0 / wide).alias("longitude"),
+    )
+    return places.nearest_stop(positions, stops, around=60.0)
+
+
+# --- enrichment and monitoring ------------------------------------------------------
+def _positions_and_reports(rows):
     timed = rows.withColumn("minute", F.floor(moment_to_epoch(rows, "ts") / 60))
     reports = timed.where("event_type = 'signup'").select(
         "minute", F.col("value").alias("temperature"), F.col("event_id").alias("report_id")
     )
-    positions = timed.where("event_type <> 'signup'").select("event_id", "minute")
+    return timed.where("event_type <> 'signup'").select("event_id", "minute"), reports
+
+
+@_query
+def weather_enrich(spark, sf_dir):
+    positions, reports = _positions_and_reports(testdata.event_rows(spark, sf_dir))
     return enrichment.weather_enrich(positions, reports, tie_break=["report_id"])
 
 
+@_query
+def trip_alerts(spark, sf_dir):
+    return enrichment.trip_alerts(testdata.planned_trips(spark, sf_dir), testdata.observed_stops(spark, sf_dir))
+
+
 @_query
 def trip_sync_issues(spark, sf_dir):
     return enrichment.trip_sync_issues(
@@ -560,16 +700,9 @@ def trip_sync_issues(spark, sf_dir):
 
 @_query
 def windowed_delay(spark, sf_dir):
-    rows = testdata.event_rows(spark, sf_dir)
-    return _hourly_delay(testdata.vehicle_rows(rows, whole=True))
-
-
-def _hourly_delay(vehicles):
+    vehicles = testdata.vehicle_rows(testdata.event_rows(spark, sf_dir), whole=True)
     moved = vehicles.withColumn("at", F.col("timestamp_seconds").cast("timestamp"))
-    if vehicles.isStreaming:
-        moved = moved.withWatermark("at", "1 day")
-    delays = enrichment.windowed_delay(moved, "at", "1 hour")
-    return delays.select(
+    return enrichment.windowed_delay(moved, "at", "1 hour").select(
         F.unix_seconds("start").alias("window_start"), "route", "positions", "mean_delay"
     )
 
@@ -738,21 +871,39 @@ def stream_normalize(spark, sf_dir):
 @_query
 def stream_windowed_delay(spark, sf_dir):
     folder = new_path(spark, "delays")
-    vehicles = testdata.vehicle_rows(testdata.event_stream(spark, sf_dir), whole=True)
-    # In complete mode every window is out at the end, the ones still open included.
-    delays = _hourly_delay(vehicles)
-    writer = delays.writeStream.outputMode("complete").foreachBatch(_latest(f"{folder}/rows"))
-    writer.option("checkpointLocation", f"{folder}/_checkpoint").trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/rows")
+    events = testdata.arriving_events(spark, sf_dir, f"{folder}/events")
+    job = monitor_delays(
+        testdata.records(testdata.vehicle_rows(events, whole=True), "bus", "vehicle-positions"),
+        f"{folder}/rows", f"{folder}/_checkpoint", watermark="4 days", available_now=True,
+    )
+    job.awaitTermination()
+    # The sink's log names the files; the clock's own window is still open.
+    return spark.read.parquet(f"{folder}/rows").select(
+        F.unix_seconds("start").alias("window_start"), "route", "positions", "mean_delay"
+    )
 
 
-def _latest(path):
-    def write(batch, epoch_id):
-        batch.write.mode("overwrite").parquet(path)
+@_query
+def stream_trip_sync(spark, sf_dir):
+    folder = new_path(spark, "alerts")
+    items = testdata.arriving_items(spark, sf_dir, f"{folder}/items")
+    again = testdata.arriving_stream(spark, f"{folder}/items", items)
+    alerts = trip_alert_stream(
+        testdata.planned_trips_of(items), testdata.observed_stops_of(again), watermark="4 days"
+    )
+    start_files(alerts, f"{folder}/rows", f"{folder}/_checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(f"{folder}/rows")
+
 
-    return write
+@_query
+def stream_weather_enrich(spark, sf_dir):
+    folder = new_path(spark, "weather")
+    events = testdata.arriving_events(spark, sf_dir, f"{folder}/events")
+    again = testdata.arriving_stream(spark, f"{folder}/events", events)
+    positions, reports = _positions_and_reports(events)[0], _positions_and_reports(again)[1]
+    joined = weather_enrich_stream(positions, reports, watermark="4 days", tie_break=["report_id"])
+    start_files(joined, f"{folder}/rows", f"{folder}/_checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{folder}/rows")
 
 
 # --- the delay model ----------------------------------------------------------------

@@ -308,9 +308,53 @@ def graph_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arriving(rows: DataFrame, moment: str, key: str, clock: dict, folder: str, pieces: int = 4) -> None:
+    """Store rows as files in the order they arrive, some of them one or two days late by ``key``.
+
+    A last file holds one row with nothing but ``clock``, much later than all others: it tells
+    a stream that their time is over.
+    """
+    arrival = F.unix_timestamp(F.col(moment).cast("timestamp")) + F.pmod(key, F.lit(3)) * 86400
+    ends = rows.agg(F.min(arrival).alias("first"), F.max(arrival).alias("last")).first()
+    span = (ends["last"] - ends["first"] + pieces) // pieces
+    for piece in range(pieces):
+        own = rows.where(F.floor((arrival - ends["first"]) / span) == piece)
+        own.write.mode("append").parquet(folder)
+    last = rows.sparkSession.range(1).select(
+        *[F.lit(clock.get(field.name)).cast(field.dataType).alias(field.name) for field in rows.schema]
+    )
+    last.write.mode("append").parquet(folder)
+
+
+def arriving_stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The stored rows as a stream, file after file."""
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def arriving_events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """All events as they arrive, and the clock."""
+    rows = event_rows(spark, sf_dir)
+    arriving(rows, "ts", "event_id", {"ts": "2100-01-01 00:00:00", "event_type": "clock"}, folder)
+    return arriving_stream(spark, folder, rows)
+
+
+def arriving_items(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """All line items as they arrive, and the clock."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
+    )
+    clock = {"l_shipdate": "2100-01-01 00:00:00", "l_quantity": 25.0}
+    arriving(rows, "l_shipdate", "l_orderkey", clock, folder)
+    return arriving_stream(spark, folder, rows)
+
+
 def planned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with two planned stops per line item."""
-    items = table(spark, sf_dir, "lineitem")
+    return planned_trips_of(table(spark, sf_dir, "lineitem"))
+
+
+def planned_trips_of(items: DataFrame) -> DataFrame:
+    """The same from line items, which may be a stream."""
     epoch = moment_to_epoch(items, "l_shipdate")
 
     def stop(column, shift):
@@ -328,9 +372,32 @@ def planned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planned_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip per order, which stops at its parts in the order of their dates."""
+    items = table(spark, sf_dir, "lineitem")
+    stop = F.struct(
+        moment_to_epoch(items, "l_shipdate").cast("bigint").alias("arrival_time"),
+        F.col("l_partkey").alias("part"), F.col("l_linenumber").alias("line"),
+    )
+    stops = F.transform(
+        F.array_sort(F.collect_list(stop)),
+        lambda stop: F.struct(
+            stop["part"].cast("string").alias("stop_id"),
+            # Some arrivals are not known.
+            F.when(stop["part"] % 11 != 0, stop["arrival_time"]).alias("arrival_time"),
+            stop["arrival_time"].alias("departure_time"),
+        ),
+    )
+    return items.groupBy(F.col("l_orderkey").cast("string").alias("trip_id")).agg(stops.alias("stop_time_updates"))
+
+
 def observed_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed positions at the stops of those trips."""
-    items = table(spark, sf_dir, "lineitem")
+    return observed_stops_of(table(spark, sf_dir, "lineitem"))
+
+
+def observed_stops_of(items: DataFrame) -> DataFrame:
+    """The same from line items, which may be a stream."""
     late = F.col("l_quantity").cast("bigint") * 60 - 1500
     return items.select(
         F.col("l_orderkey").cast("string").alias("trip_id"),

@@ -2,6 +2,9 @@
 
 Nothing in this library infers a schema: inference would read the data twice and
 turn clock times such as ``08:30`` into timestamps of the current day.
+
+Fixed values, all of them: names and types are those of the messages, tables and files that
+are read and written.
 """
 
 from __future__ import annotations
