@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transitloom.functions.values import once
 from transitloom.llm.frames import column, content_key
 from transitloom.llm.mixture import word_count
 from transitloom.operators.ordering import with_rank
@@ -187,14 +188,17 @@ def deduplicated_lines(
         column(text_col).alias("text"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
-    lines = F.split("text", "\n")
-    staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    kept = F.array_join(F.transform(staying, lambda at: lines[at]), "\n")
-    # The list grows with the corpus: one plan for all sizes, which shuffles the texts once.
-    return rows.join(gone.hint("merge"), same, "left").select(
+    # The list grows with the corpus: one plan for all sizes, which shuffles the texts once. A
+    # text is split once; as an expression the split would be repeated for every line that stays.
+    joined = rows.join(gone.hint("merge"), same, "left").select(
+        "row", "text", "gone", once(F.split("text", "\n")).alias("lines")
+    )
+    staying = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.array_join(F.transform(staying, lambda at: F.get("lines", at)), "\n")
+    return joined.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
-        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
 
