@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from transitloom.llm.frames import column
 from transitloom.llm.license_texts import KNOWN_TEXTS
+from transitloom.operators.skew import BROADCAST_ROWS, skew_join
 from transitloom.storage import materialize
 
 # Patterns and what replaces them, in this order, on text in lower case.
@@ -89,6 +90,7 @@ def scan_licenses(
         .groupBy("digest")
         .agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("license_id"))
     )
+    table = materialize(table, "known-digests")
     whole, lines = _digests(F.col("lines"))
     hashed = materialize(
         documents.select(
@@ -112,9 +114,14 @@ def scan_licenses(
     ).select(*key, "unit.digest", "unit.line")
     is_line = F.col("line") >= 0
     # Rows alike in id and text are one document here.
+    # The digests of known texts are few: where that holds, lines are looked up where they are,
+    # and only those found are moved. More than that are joined with frequent lines salted.
+    if table.count() <= BROADCAST_ROWS:
+        found = units.join(F.broadcast(table), "digest")
+    else:
+        found = skew_join(units, table, ["digest"], unique_right=True)
     matches = (
-        units.join(table, "digest")
-        .dropDuplicates([*key, "line"])
+        found.dropDuplicates([*key, "line"])
         .groupBy(*key)
         .agg(
             F.max(F.when(~is_line, F.col("license_id"))).alias("license"),
@@ -125,7 +132,7 @@ def scan_licenses(
     matches = materialize(matches, "license-matches")
     found = matches.withColumnsRenamed({name: f"_{name}" for name in key})
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
-    return hashed.join(found, same, "left").select(
+    return hashed.select(*key, "digest").join(found, same, "left").select(
         "doc_id",
         F.lower(F.hex("digest")).alias("text_digest"),
         "license",
