@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.llm.frames import column
+from transitloom.operators.skew import BROADCAST_ROWS
 from transitloom.storage import materialize
 
 
@@ -22,6 +23,7 @@ def exact_duplicates(
     keep: str = "smallest",
     normalise: Callable[[Column], Column] | None = None,
     digest: Callable[[Column], Column] = _md5,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per row of ``documents``: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -30,6 +32,9 @@ def exact_duplicates(
     bytes, which combines copies before the shuffle, so a group of any size stays spread
     over the tasks that read it. A hash shared by different texts is split again.
 
+    The list of repeated hashes tells which texts to compare while it has ``broadcast_rows`` at
+    most and is broadcast. Beyond that all texts are grouped, each once per task that reads it.
+
     ``keep`` is ``smallest`` or ``largest``: which ``doc_id`` of equal texts stays.
 
     * A null text counts as empty; empty texts are equal to each other.
@@ -55,12 +60,10 @@ def exact_duplicates(
     repeated = materialize(
         keys.groupBy("digest").count().where("count > 1").select("digest"), "repeated-digests"
     )
-    variants = (
-        rows.withColumn("digest", digest(F.col("text")))
-        .join(repeated, "digest", "left_semi")
-        .groupBy("digest", "text")
-        .count()
-    )
+    hashed = rows.withColumn("digest", digest(F.col("text")))
+    if repeated.count() <= broadcast_rows:
+        hashed = hashed.join(F.broadcast(repeated), "digest", "left_semi")
+    variants = hashed.groupBy("digest", "text").count()
     collided = materialize(
         variants.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1"), "collisions"
     )
