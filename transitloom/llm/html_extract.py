@@ -1,10 +1,11 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages of a host are ordered by URL path; neighbours are aligned line by line with a longest
-common subsequence, and what a page shares with its nearest neighbour is template, not
-content. Elements of the page then confirm or correct that: lines in menus, adverts and the
-like go even where the neighbour has none like them, and lines inside the article element
-stay even where a neighbour holds a copy of the same article.
+Pages of a host are ordered by URL path; each is aligned line by line, by a longest common
+subsequence, with the nearest one of another body, and what the two share is template, not
+content. Copies, and pages that share most of their prose, are one body: what they share
+says nothing. That decides on pages that mark no article. Where a page has an article element, its
+lines stay, since a host may hold copies of one, and the differencing only takes shared lines
+that are nothing but links; lines in menus, adverts and the like go everywhere.
 """
 
 from __future__ import annotations
@@ -14,19 +15,23 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitloom.llm.frames import column, content_key
+from transitloom.llm.frames import column
 from transitloom.llm.html_blocks import blocks
 from transitloom.operators.ordering import with_rank
+from transitloom.operators.skew import hot_keys, skew_join
 from transitloom.storage import materialize
 
 _URL = re.compile(r"(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)([^?#]*)", re.IGNORECASE)
 _PATH_END = re.compile(r"(?:/index)?(?:\.(?:html?|php|aspx?|jsp))?/*$", re.IGNORECASE)
 _TABLE_BITS = 1 << 28
+_SAME_SHARE, _FEW_WORDS = 0.8, 4
+_BLOCK = 4096  # ranks in which runs of one body are looked up together
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -98,78 +103,153 @@ def common_subsequence(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return found + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
 
 
-def _line_codes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """``key_a, key_b, host, path, codes``: one row per different page, lines as hashes."""
-    rows = pages.select(
-        *content_key(column(url_col), column(html_col)),
-        column(url_col).alias("url"),
-        column(html_col).alias("html"),
-    )
+def _lines_key(codes: np.ndarray) -> tuple[int, int]:
+    """128 bits of a page's lines in order."""
+    data = codes.tobytes()
+    return xxhash.xxh64_intdigest(data) - (1 << 63), xxhash.xxh64_intdigest(data, 1) - (1 << 63)
+
+
+def _codes(lines: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(line) - (1 << 63) for line in lines], dtype=np.int64)
+
+
+def _bodies(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """``host, lines_a, lines_b, path, codes, prose``: one row for all pages of a host with the
+    same lines, at the first of their paths; lines as hashes, with how much prose they are."""
+    rows = pages.select(column(url_col).alias("url"), column(html_col).alias("html"))
 
     def read(batches):
         for batch in batches:
             places = [host_and_path(url) for url in batch.column("url").to_pylist()]
-            codes = [
-                [xxhash.xxh64_intdigest(block.text) - (1 << 63) for block in blocks(page or "")]
-                for page in batch.column("html").to_pylist()
-            ]
+            lines = [[block.text for block in blocks(page or "")] for page in batch.column("html").to_pylist()]
+            codes = [_codes(own) for own in lines]
+            keys = [_lines_key(own) for own in codes]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key_a"),
-                    batch.column("key_b"),
                     pa.array([host for host, _ in places], pa.string()),
+                    pa.array([key for key, _ in keys], pa.int64()),
+                    pa.array([key for _, key in keys], pa.int64()),
                     pa.array([path for _, path in places], pa.string()),
-                    pa.array(codes, pa.list_(pa.int64())),
+                    pa.array([own.tolist() for own in codes], pa.list_(pa.int64())),
+                    pa.array([[prose(line) for line in own] for own in lines], pa.list_(pa.int32())),
                 ],
-                names=["key_a", "key_b", "host", "path", "codes"],
+                names=["host", "lines_a", "lines_b", "path", "codes", "prose"],
             )
 
-    schema = "key_a bigint, key_b bigint, host string, path string, codes array<bigint>"
-    return rows.mapInArrow(read, schema).dropDuplicates(["key_a", "key_b"])
+    schema = "host string, lines_a bigint, lines_b bigint, path string, codes array<bigint>, prose array<int>"
+    found = rows.mapInArrow(read, schema).where("host <> '' AND size(codes) > 0")
+    return found.groupBy("host", "lines_a", "lines_b").agg(
+        F.min("path").alias("path"), F.first("codes").alias("codes"), F.first("prose").alias("prose")
+    )
+
 
+def prose(line: str) -> int:
+    """Words of a line beyond the few that names of links, headings and dates have."""
+    return max(0, line.count(" ") + 1 - _FEW_WORDS)
 
-def shared_lines(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``key_a, key_b, shared``: places of the lines each page shares with its nearest page.
 
-    Pages are ranked by host and path over all tasks; each is aligned with the next one of its
-    host. Of its two neighbours the one with the longer common start of the path counts, the
-    one before where both are as near. A pair in which one page is wholly shared tells nothing
-    (copies and empty pages) and does not count.
+def same_body(a: list[int], b: list[int], prose_a: list[int], prose_b: list[int]) -> bool:
+    """Whether two pages are one body: the lines they share hold ``_SAME_SHARE`` or more of the
+    prose of the page that has less. Pages without prose are bodies of their own."""
+    least = min(sum(prose_a), sum(prose_b))
+    shared = sum(prose_a[i] for i, _ in common_subsequence(a, b))
+    return least > 0 and shared >= _SAME_SHARE * least
+
+
+def _near(path: str, other: str) -> int:
+    """Length of the common start of two paths."""
+    return next((k for k, (x, y) in enumerate(zip(path, other)) if x != y), min(len(path), len(other)))  # noqa: B905
+
+
+def _partners(ranked: DataFrame) -> DataFrame:
+    """``rank, partner``: for every page the last one before, and the first one after, the run of
+    neighbours of the same body that it stands in.
+
+    A run begins where a page differs from the one before it. Where the run of a page begins and
+    ends is looked up inside blocks of ranks, and between blocks by two numbers each, so that
+    neither a host nor a run of any length is one task's work.
     """
-    narrow = _line_codes(pages, url_col, html_col)
-    ranked = with_rank(narrow, ["host", "path", "key_a", "key_b"], "rank")
     following = ranked.select(
-        (F.col("rank") - 1).alias("rank"),
-        *[F.col(name).alias(f"next_{name}") for name in narrow.columns],
+        (F.col("rank") - 1).alias("rank"), *[F.col(x).alias(f"next_{x}") for x in ("host", "codes", "prose")]
+    )
+    pairs = ranked.join(following, "rank").where("host = next_host")
+
+    def compare(batches):
+        for batch in batches:
+            same = [
+                same_body(row["codes"], row["next_codes"], row["prose"], row["next_prose"])
+                for row in batch.to_pylist()
+            ]
+            ranks = pa.compute.add(batch.column("rank"), 1)
+            yield pa.RecordBatch.from_arrays([ranks, pa.array(same, pa.bool_())], names=["rank", "same"])
+
+    # Of each page but the first of its host: whether it is the body of the one before.
+    compared = pairs.select("rank", "codes", "next_codes", "prose", "next_prose")
+    compared = compared.mapInArrow(compare, "rank bigint, same boolean")
+    rows = ranked.select("rank").join(compared, "rank", "left").select(
+        "rank", F.floor(F.col("rank") / _BLOCK).alias("block"),
+        F.when(~F.coalesce("same", F.lit(False)), F.col("rank")).alias("begin"),
+    )
+    rows = materialize(rows, "runs")
+    blocks_ = rows.groupBy("block").agg(F.max("begin").alias("latest"), F.min("begin").alias("earliest"))
+    order = Window.partitionBy(F.lit(0)).orderBy("block")
+    carried = blocks_.select(
+        "block",
+        F.max("latest").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.min("earliest").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    inside = Window.partitionBy("block").orderBy("rank")
+    begin = F.max("begin").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.min("begin").over(inside.rowsBetween(1, Window.unboundedFollowing))
+    ends = rows.withColumns({"_begin": begin, "_ahead": ahead}).join(carried, "block").select(
+        "rank", F.coalesce("_begin", "_before").alias("begin"), F.coalesce("_ahead", "_after").alias("ahead")
+    )
+    return ends.select("rank", F.explode(F.array_compact(F.array(F.col("begin") - 1, "ahead"))).alias("partner"))
+
+
+def shared_lines(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host, lines_a, lines_b, shared``: places of the lines that pages share with their nearest
+    page of another body.
+
+    Pages of a host with the same lines are one; the others are ranked by path over all tasks.
+    Neighbours that share most of their prose, like copies with another date, are one body. Each
+    page is aligned with the nearer of the pages before and after its body's run: the one with
+    the longer common start of the path, the one before where both are as near. A page that is
+    wholly shared tells nothing about itself, and a host with one body nothing about its pages.
+    """
+    ranked = with_rank(_bodies(pages, url_col, html_col), ["host", "path", "lines_a", "lines_b"], "rank")
+    ranked = materialize(ranked, "ranked-pages")
+    options = materialize(_partners(ranked), "partners")
+    names = ["host", "path", "codes"]
+    own = options.join(ranked.select("rank", "lines_a", "lines_b", *names), "rank")
+    theirs = ranked.select(F.col("rank").alias("partner"), *[F.col(x).alias(f"other_{x}") for x in names])
+    # A page beside a long run is the partner of all of it.
+    met = skew_join(own, theirs, ["partner"], "inner", unique_right=True, left_hot=hot_keys(options, ["partner"]))
+    before = (F.col("partner") < F.col("rank")).cast("int").alias("before")
+    met = met.where("host = other_host").select(
+        "host", "lines_a", "lines_b", "path", "codes", "other_path", "other_codes", before
     )
-    pairs = ranked.join(following, "rank").where("host = next_host and host <> ''")
 
     def align(batches):
         for batch in batches:
             found = []
             for row in batch.to_pylist():
-                a, b = row["codes"], row["next_codes"]
-                matched = common_subsequence(a, b)
-                if len(matched) in (0, len(a), len(b)):
-                    continue
-                near = 0
-                for x, y in zip(row["path"], row["next_path"]):  # noqa: B905
-                    if x != y:
-                        break
-                    near += 1
-                found.append((row["key_a"], row["key_b"], 2 * near, [i for i, _ in matched]))
-                found.append(
-                    (row["next_key_a"], row["next_key_b"], 2 * near + 1, [j for _, j in matched])
-                )
-            columns = list(zip(*found, strict=True)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+                a, b = row["codes"], row["other_codes"]
+                matched = [i for i, _ in common_subsequence(a, b)]
+                near = 2 * _near(row["path"], row["other_path"]) + row["before"]
+                shared = matched if len(matched) < len(a) else []
+                found.append((row["host"], row["lines_a"], row["lines_b"], near, shared))
+            columns = list(zip(*found, strict=True)) or [()] * 5
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)],
-                names=["key_a", "key_b", "near", "shared"],
+                names=["host", "lines_a", "lines_b", "near", "shared"],
             )
 
-    aligned = pairs.mapInArrow(align, "key_a bigint, key_b bigint, near bigint, shared array<int>")
-    return aligned.groupBy("key_a", "key_b").agg(F.max_by("shared", "near").alias("shared"))
+    aligned = met.mapInArrow(
+        align, "host string, lines_a bigint, lines_b bigint, near bigint, shared array<int>"
+    )
+    return aligned.groupBy("host", "lines_a", "lines_b").agg(F.max_by("shared", "near").alias("shared"))
 
 
 def main_text(lines: list[str], marks: bytes, shared: set[int]) -> str:
@@ -198,32 +278,34 @@ def extract_text(
     * A null or empty page has an empty text, and so has one without any.
     * Pages without a host (null, relative or odd URLs) have no neighbours: only their
       elements tell what is main text.
-    * Repeated rows are one page among the neighbours, and each of them gets its text.
+    * Pages of a host with the same lines are one among the neighbours, and each gets its text.
     * Extra columns are ignored; an empty table gives no rows.
     """
     shared = materialize(shared_lines(pages, url_col, html_col), "shared-lines")
-    key = content_key(column(url_col), column(html_col))
     own = pages.select(
-        column(id_col).alias("page_id"), column(url_col).alias("url"), *key,
-        column(html_col).alias("html"),
+        column(id_col).alias("page_id"), column(url_col).alias("url"), column(html_col).alias("html")
     )
 
     def pack(batches):
         # Without markup and compressed, the pages travel to their shared lines.
         for batch in batches:
-            packed, marks = [], []
+            packed, marks, keys = [], [], []
             for source in batch.column("html").to_pylist():
                 found = blocks(source or "")
-                text = "\n".join(block.text for block in found)
-                packed.append(zlib.compress(text.encode(), 1))
+                lines = [block.text for block in found]
+                packed.append(zlib.compress("\n".join(lines).encode(), 1))
                 marks.append(bytes(b.rank | b.furniture << 2 | b.linked << 3 for b in found))
+                keys.append(_lines_key(_codes(lines)))
+            hosts = [host_and_path(url)[0] for url in batch.column("url").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(name) for name in ("page_id", "url", "key_a", "key_b")),
+                    *(batch.column(name) for name in ("page_id", "url")),
+                    pa.array(hosts, pa.string()),
+                    *(pa.array([key[k] for key in keys], pa.int64()) for k in (0, 1)),
                     pa.array(packed, pa.binary()),
                     pa.array(marks, pa.binary()),
                 ],
-                names=["page_id", "url", "key_a", "key_b", "packed", "marks"],
+                names=["page_id", "url", "host", "lines_a", "lines_b", "packed", "marks"],
             )
 
     def choose(batches):
@@ -240,7 +322,9 @@ def extract_text(
             )
 
     ids = [own.schema["page_id"], own.schema["url"]]
-    packed_fields = T.StructType.fromDDL("key_a bigint, key_b bigint, packed binary, marks binary")
+    packed_fields = T.StructType.fromDDL(
+        "host string, lines_a bigint, lines_b bigint, packed binary, marks binary"
+    )
     packed = own.mapInArrow(pack, T.StructType([*ids, *packed_fields.fields]))
-    joined = packed.join(shared, ["key_a", "key_b"], "left").drop("key_a", "key_b")
+    joined = packed.join(shared, ["host", "lines_a", "lines_b"], "left").drop("host", "lines_a", "lines_b")
     return joined.mapInArrow(choose, T.StructType([*ids, T.StructField("text", T.StringType())]))
