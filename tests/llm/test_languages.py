@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from transitloom.llm import language_id
 
@@ -44,6 +45,36 @@ def test_texts_of_no_learnt_language_go(spark, two_languages):
     assert left == set(clean)
 
 
+def test_texts_of_other_topics_stay(spark):
+    """Trees of the invented corpus, prose they have never seen, and noise."""
+    corpus = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held_out = language_id.is_held_out(F.col("doc_id"))
+    trees = language_id.learn(corpus.where(~held_out))
+    noise = random.Random(2)
+    prose = [
+        "The committee will meet again on Thursday to discuss the budget and to vote on several proposals.",
+        "My grandmother keeps chickens, a very old dog and two cats in the yard behind her kitchen.",
+        "Photosynthesis converts carbon dioxide and water into glucose and oxygen by means of light.",
+        "Der Vogel sitzt im Garten auf dem Zaun und singt ein kleines Lied, während die Kinder spielen.",
+        "Le chat dort sur le canapé pendant que la pluie tombe doucement sur les toits de la vieille ville.",
+        "Mañana por la mañana iremos al mercado para comprar verduras frescas, queso y un poco de pescado.",
+    ]
+    foreign = [
+        "Все люди рождаются свободными и равными в своём достоинстве и правах.", "人人生而自由在尊严和权利上一律平等",
+        "".join(noise.choices("bcdfghjkmpqvwxz ", k=400)), "".join(noise.choices("0123456789abcdef", k=400)),
+        "".join(noise.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=400)),
+    ]
+    docs = spark.createDataFrame([(text,) for text in prose + foreign], "text string")
+    left = {row["text"] for row in language_id.drop_unidentified(docs, trees).collect()}
+    assert left == set(prose)
+    # Of the corpus itself nothing that has a letter goes but what no language clearly wins.
+    found = language_id.identify(corpus, trees, carry=["doc_id"])
+    gone = found.where("lang_pred <> 'und' AND NOT fits").count()
+    assert gone == 0
+    kept = {row["doc_id"] for row in found.where("fits AND score >= 0.4").select("row.doc_id").collect()}
+    assert {415, 6361, 6880, 8971, 9345, 9588, 309} <= kept
+
+
 def test_one_learnt_language_refuses_others(spark, two_languages):
     trees = language_id.learn(two_languages.where("lang = 'en'"))
     docs = spark.createDataFrame([(_text(EN, 2000),), ("Все люди рождаются свободными",)], "text string")

@@ -23,8 +23,11 @@ UNDETERMINED = "und"
 _BYTES_AT_ONCE = 1 << 19
 _LANGUAGES_AT_ONCE = 8  # languages whose trees share their keys
 _CELLS_AT_ONCE = 1 << 24  # languages times grams that one pass over the documents holds
-_PIECE = 64  # bytes of the pieces whose code lengths tell what is usual in a language
-_SPREADS = 6.0
+# Bits a byte that letters of a language may cost. Measured with trees of the given corpus: prose
+# on other topics 4.6 to 6.3, its own documents up to 7.1 (secrets among few words), random hex
+# digits 7.8 to 8.5, random letters 12 to 14, other scripts 20.
+_MOST_BITS = 7.5
+_LETTERS = 1  # bytes of context that tell a language's letters, but nothing of what texts are about
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -138,55 +141,60 @@ class ContextTrees:
         shorter = codes & np.uint32((1 << 8 * order) - 1)
         return escape + self.code_lengths(shorter, order - 1)
 
-    def _sums(self, codes: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    def _sums(self, codes: np.ndarray, breaks: np.ndarray, order: int) -> np.ndarray:
         """Bits (texts x languages) of codes that belong to the texts starting at ``breaks``."""
-        place, known = self._known[self.order](codes)
+        place, known = self._known[order](codes)
         rest = np.flatnonzero(~known)
         place[rest] = 0
-        extra = self._unknown(codes[rest], self.order)
+        extra = self._unknown(codes[rest], order)
         result = np.empty((len(breaks), len(self.languages)))
-        for k, own in enumerate(self.bits[self.order]):
+        for k, own in enumerate(self.bits[order]):
             bits = own[place]
             bits[rest] = extra[k]
             result[:, k] = np.add.reduceat(bits, breaks, dtype=np.float64)
         return result
 
-    def text_bits(self, texts: list[bytes]) -> np.ndarray:
-        """Code length (texts x languages) of texts of one byte or more, each as a whole."""
+    def text_bits(self, texts: list[bytes], most_context: int | None = None) -> np.ndarray:
+        """Code length (texts x languages) of texts of one byte or more, each as a whole, in
+        contexts of the trees' order, or of ``most_context`` bytes."""
+        order = self.order if most_context is None else min(most_context, self.order)
         if len(texts) > 1:
             run = np.frombuffer(b"".join(texts), dtype=np.uint8)
             sizes = np.array([len(text) for text in texts])
             breaks = np.cumsum(sizes) - sizes
-            return self._sums(_grams(run, breaks, self.order), breaks)
+            return self._sums(_grams(run, breaks, order), breaks, order)
         run, first = np.frombuffer(texts[0], dtype=np.uint8), np.array([0])
         total = np.zeros((1, len(self.languages)))
         for start in range(0, len(run), _BYTES_AT_ONCE):  # a long text, with its context, in parts
-            before = max(0, start - self.order)
-            codes = _grams(run[before : start + _BYTES_AT_ONCE], first, self.order)
-            total += self._sums(codes[start - before :], first)
+            before = max(0, start - order)
+            codes = _grams(run[before : start + _BYTES_AT_ONCE], first, order)
+            total += self._sums(codes[start - before :], first, order)
         return total
 
 
 @dataclass
 class Languages:
-    """The trees of all languages, in blocks, and what texts of each usually cost."""
+    """The trees of all languages, in blocks."""
 
     blocks: list[ContextTrees]
-    usual: np.ndarray  # by language: mean bits per byte of a piece of other texts of it
-    spread: np.ndarray  # by language: their standard deviation
 
     @property
     def languages(self) -> list[str]:
         return [language for block in self.blocks for language in block.languages]
 
-    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+    def text_bits(self, texts: list[bytes], most_context: int | None = None) -> np.ndarray:
         """Code length (texts x languages) of texts of one byte or more, each as a whole."""
-        return np.hstack([block.text_bits(texts) for block in self.blocks])
+        return np.hstack([block.text_bits(texts, most_context) for block in self.blocks])
 
-    def most(self, sizes: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """The bits a text of each size may cost in the language at ``best`` and still fit it."""
-        wide = np.sqrt(np.maximum(1.0, _PIECE / sizes))
-        return sizes * (self.usual[best] + _SPREADS * self.spread[best] * wide)
+    def fit(self, texts: list[bytes]) -> np.ndarray:
+        """Whether the letters of each text are those of a language: coded by them alone it takes
+        ``_MOST_BITS`` a byte or less, where any bytes take 8.
+
+        What a text is about shows in longer contexts only, so that one on a topic never seen
+        fits as well; other scripts, and letters in no order of the language, cost more.
+        """
+        bits = self.text_bits(texts, _LETTERS).min(axis=1)
+        return bits <= _MOST_BITS * np.array([len(text) for text in texts])
 
     def passes(self) -> list[Languages]:
         """The same in parts that hold a bounded number of grams, or one block each."""
@@ -199,16 +207,11 @@ class Languages:
                 room = _CELLS_AT_ONCE
             parts[-1].append(block)
             room -= cells
-        found, start = [], 0
-        for part in parts:
-            end = start + sum(len(block.languages) for block in part)
-            found.append(Languages(part, self.usual[start:end], self.spread[start:end]))
-            start = end
-        return found
+        return [Languages(part) for part in parts]
 
 
 def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
-    """``lang, text, half``: about ``sample_bytes`` of whole distinct texts of each language."""
+    """``lang, text``: about ``sample_bytes`` of whole distinct texts of each language."""
     chance = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30))
     distinct = rows.select(
         "lang", *content_key(F.col("text")), F.octet_length("text").alias("size"), chance.alias("chance")
@@ -218,14 +221,8 @@ def _sample(rows: DataFrame, sample_bytes: int) -> DataFrame:
     limits = distinct.groupBy("lang").agg(
         F.greatest(F.min("chance"), F.floor(share).cast("bigint")).alias("limit")
     )
-    half = F.pmod(F.xxhash64(F.lit("half"), "text"), F.lit(2)).cast("int")
-    return (
-        rows.join(F.broadcast(limits), "lang")
-        .where(chance <= F.col("limit"))
-        .select("lang", "text")
-        .distinct()
-        .withColumn("half", half)
-    )
+    joined = rows.join(F.broadcast(limits), "lang")
+    return joined.where(chance <= F.col("limit")).select("lang", "text").distinct()
 
 
 def learn(
@@ -243,9 +240,6 @@ def learn(
     and order. Grams are counted by Spark; only these bounded counts reach the driver, a block
     of languages at a time. Rows without text or language teach nothing; any number of
     languages is learnt, and how often a text is repeated does not matter.
-
-    What texts of a language cost is learnt too: each half of its sample is judged by what the
-    other half teaches, in pieces.
     """
     if order > 3:
         raise ValueError("a context and its byte fill 32 bits: order is 3 at most")
@@ -257,112 +251,48 @@ def learn(
     def count(batches):
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            halves = batch.column("half").to_numpy()
             texts = batch.column("text").to_pylist()
             for lang in set(langs):
-                for half in (0, 1):
-                    own = [texts[i].encode() for i in np.flatnonzero((langs == lang) & (halves == half))]
-                    if not own:
-                        continue
-                    run = np.frombuffer(b"".join(own), dtype=np.uint8)
-                    breaks = np.cumsum([0, *map(len, own)])[:-1]
-                    for size in range(order + 1):
-                        keys, counts = np.unique(_grams(run, breaks, size), return_counts=True)
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "lang": pa.array([lang] * len(keys), pa.string()),
-                                "half": pa.array(np.full(len(keys), half), pa.int32()),
-                                "size": pa.array(np.full(len(keys), size), pa.int32()),
-                                "gram": pa.array(keys.astype(np.int64)),
-                                "n": pa.array(counts.astype(np.int64)),
-                            }
-                        )
+                own = [texts[i].encode() for i in np.flatnonzero(langs == lang)]
+                run = np.frombuffer(b"".join(own), dtype=np.uint8)
+                breaks = np.cumsum([0, *map(len, own)])[:-1]
+                for size in range(order + 1):
+                    keys, counts = np.unique(_grams(run, breaks, size), return_counts=True)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "lang": pa.array([lang] * len(keys), pa.string()),
+                            "size": pa.array(np.full(len(keys), size), pa.int32()),
+                            "gram": pa.array(keys.astype(np.int64)),
+                            "n": pa.array(counts.astype(np.int64)),
+                        }
+                    )
 
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("total"), "gram"))
     counted = (
-        sample.mapInArrow(count, "lang string, half int, size int, gram bigint, n bigint")
+        sample.mapInArrow(count, "lang string, size int, gram bigint, n bigint")
         .groupBy("lang", "size", "gram")
-        .agg(
-            F.sum("n").alias("total"),
-            F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("first_half"),
-        )
+        .agg(F.sum("n").alias("total"))
         .withColumn("place", place)
         .where(F.col("place") <= max_grams)
         .drop("place")
     )
     counted = materialize(counted, "grams")
     languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
-    blocks, usual, spread = [], [], []
+    blocks = []
     for start in range(0, len(languages), _LANGUAGES_AT_ONCE):
         block = languages[start : start + _LANGUAGES_AT_ONCE]
-        chosen = F.col("lang").isin(block)
-        top = counted.where(chosen).toPandas()
-        trees, *halves = (ContextTrees(block, order) for _ in range(3))
+        top = counted.where(F.col("lang").isin(block)).toPandas()
+        trees = ContextTrees(block, order)
         for size in range(order + 1):
             own = top[top["size"] == size]
             keys, at = np.unique(own["gram"].to_numpy(np.uint32), return_inverse=True)
-            total, first = np.zeros((len(block), len(keys))), np.zeros((len(block), len(keys)))
-            which = np.searchsorted(block, own["lang"].to_numpy(str))
-            total[which, at] = own["total"]
-            first[which, at] = own["first_half"]
-            for tree, counts in zip((trees, *halves), (total, first, total - first), strict=True):
-                tree.add(keys, counts)
-        means, spreads = _usual_bits(sample.where(chosen), halves)
+            total = np.zeros((len(block), len(keys)))
+            total[np.searchsorted(block, own["lang"].to_numpy(str)), at] = own["total"]
+            trees.add(keys, total)
         blocks.append(trees)
-        usual += means
-        spread += spreads
     discard(sample)
     discard(counted)
-    return Languages(blocks, np.array(usual), np.array(spread))
-
-
-def _usual_bits(sample: DataFrame, halves: list[ContextTrees]) -> tuple[list[float], list[float]]:
-    """Mean and standard deviation, by language, of the bits per byte of pieces of the sample,
-    each judged by the half that its text is not in."""
-    shared = sample.sparkSession.sparkContext.broadcast(halves)
-
-    def judge(batches):
-        halves = shared.value
-        for batch in batches:
-            for lang, text, half in zip(
-                *(batch.column(name).to_pylist() for name in ("lang", "text", "half")), strict=True
-            ):
-                trees, data = halves[1 - half], text.encode()
-                k = trees.languages.index(lang)
-                # A text shorter than a piece is one; the rest at the end of others is left out.
-                pieces = [
-                    data[at : at + _PIECE] for at in range(0, max(1, len(data) - _PIECE + 1), _PIECE)
-                ]
-                n, total, squares = 0, 0.0, 0.0
-                for at in range(0, len(pieces), _BYTES_AT_ONCE // _PIECE):
-                    group = pieces[at : at + _BYTES_AT_ONCE // _PIECE]
-                    sizes = np.array([len(piece) for piece in group])
-                    cost = trees.text_bits(group)[:, k] / sizes
-                    n, total, squares = n + len(group), total + cost.sum(), squares + (cost**2).sum()
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": [lang],
-                        "n": pa.array([n], pa.int64()),
-                        "total": pa.array([total], pa.float64()),
-                        "squares": pa.array([squares], pa.float64()),
-                    }
-                )
-
-    found = (
-        sample.mapInArrow(judge, "lang string, n bigint, total double, squares double")
-        .groupBy("lang")
-        .agg(*[F.sum(name).alias(name) for name in ("n", "total", "squares")])
-        .orderBy("lang")
-        .collect()
-    )
-    sums = {row["lang"]: (row["n"], row["total"], row["squares"]) for row in found}
-    means, spreads = [], []
-    for lang in halves[0].languages:
-        n, total, squares = sums[lang]
-        means.append(total / n)
-        spreads.append(max(0.0, squares / n - (total / n) ** 2) ** 0.5)
-    shared.unpersist()
-    return means, spreads
+    return Languages(blocks)
 
 
 def identify(
@@ -376,9 +306,9 @@ def identify(
 
     Every byte of every text counts. ``score`` is the posterior of the winning language
     among the learnt ones, its evidence scaled to ``horizon`` bytes: it tells clear from mixed
-    texts however long they are. ``fits`` is whether the text costs no more bits than texts of
-    that language do, by six standard deviations of a piece: it tells texts of any learnt
-    language from foreign ones and noise. Of equal code lengths the language first by code
+    texts however long they are. ``fits`` is whether the letters are a learnt language's, by contexts
+    of one byte: it tells texts of any learnt language, whatever they are about, from other
+    scripts and noise. Of equal code lengths the language first by code
     point wins. Trees too large to be held at once are applied one pass after the other.
 
     * A null text, one without a letter, and any text if no language was learnt, is ``und``
@@ -430,10 +360,11 @@ def _judge(shared, text_col: str, horizon: int, kept: list[str]):
                 mass = np.exp2((new - old) * scale)
                 mass[np.isfinite(old)] /= [scores[i] for i in group if np.isfinite(best[i])]
                 mass += np.exp2((new[:, None] - bits) * scale[:, None]).sum(axis=1)
-                close = least <= trees.most(sizes, winner)
+                close = trees.fit([texts[i] for i in group])
                 for j, i in enumerate(group):
                     if least[j] < old[j]:
-                        langs[i], fits[i] = languages[winner[j]], bool(close[j])
+                        langs[i] = languages[winner[j]]
+                    fits[i] = fits[i] or bool(close[j])
                     scores[i], best[i] = float(1 / mass[j]), float(new[j])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -465,7 +396,12 @@ def _groups(places: list[int], texts: list[bytes]) -> list[list[int]]:
 def drop_unidentified(
     documents: DataFrame, trees: Languages, least_score: float = 0.4, **options
 ) -> DataFrame:
-    """``documents`` without those of no learnt language, or of none clearly; same columns."""
+    """``documents`` without those of no learnt language, or of none clearly; same columns.
+
+    Null texts and those without a letter go, and all of them if no language was learnt. Repeated
+    rows stay or go together; other columns of any name ride along, none is read; an empty table
+    stays empty.
+    """
     found = identify(documents, trees, **options)
     known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score) & F.col("fits")
     return unpacked(found.where(known), documents)
