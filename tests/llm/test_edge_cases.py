@@ -4,6 +4,7 @@ import pytest
 
 from transitloom.llm import (
     chat_format,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -11,8 +12,10 @@ from transitloom.llm import (
     license_scan,
     line_dedup,
     mixture,
+    quality,
     sharding,
     simhash,
+    spelling,
 )
 
 SCHEMA = (
@@ -53,7 +56,14 @@ def _trees(documents):
     return language_id.learn(documents)
 
 
+def _quality(documents):
+    labels = documents.sparkSession.createDataFrame(
+        [(1, 1), (8, 0), (8, 0), (9, 1), (None, 1), (7, None)], "doc_id bigint, quality int")
+    return quality.learn(documents, labels)
+
+
 SAME_ROWS = {
+    "score_quality": lambda docs, bench: quality.score_quality(docs, _quality(docs)),
     "contamination": lambda docs, bench: decontaminate.contamination(docs, bench),
     "cut_spans": lambda docs, bench: decontaminate.cut_spans(docs, bench),
     "exact_duplicates": lambda docs, bench: exact_dedup.exact_duplicates(docs),
@@ -98,6 +108,39 @@ def test_empty_reference_tables(spark, documents, benchmark):
     assert all(row["license"] is None for row in license_scan.scan_licenses(documents, known).collect())
 
 
+def test_written_shards(documents, tmp_path):
+    sharding.write_shards(sharding.shard(documents, 100), f"{tmp_path}/shards")
+    if documents.isEmpty():
+        return
+    stored = documents.sparkSession.read.parquet(f"{tmp_path}/shards")
+    assert stored.count() == documents.count() and {"row_shard", "odd.name"} < set(stored.columns)
+
+
+def test_words_of_odd_documents(documents):
+    counted = spelling.vocabulary(spelling.misspelt(spelling.runs(documents), one_in=1 << 40), least_length=4)
+    found = spelling.group_variants(counted)
+    words = {row["word"]: row["n"] for row in found.words.collect()}
+    expected = {"word": 20_000, "another": 20_000 + 1, "line": 20_000, "text": 2} if documents.count() else {}
+    assert words == expected and found.pairs.isEmpty()
+
+
+def test_repair_of_odd_conversations(spark):
+    rows = [
+        (1, 0, "user", None), (1, 1, "assistant", ""), (1, 1, None, "x"), (None, None, "a\nb\\", "y"),
+        (2, 0, "assistant", "z."), (2, 0, "assistant", "z."), (3, 0, "<|im_end|>", LONG),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    turns = turns.selectExpr("*", "1 AS talk", "2 AS rank", "3 AS digest", "4 AS block")
+    repaired = conversation_repair.repair(turns)
+    found = {row["conv_id"]: row["audit"] for row in repaired.reports.collect()}
+    # Blank ones go, and so do roles that are none where giving them another costs more.
+    assert found == {1: "DDD", None: "D", 2: "DD", 3: "D"}
+    assert conversation_repair.repaired_turns(repaired).isEmpty()
+    damaged = conversation_repair.damage(turns)
+    assert damaged.columns == ["conv_id", "turn", "role", "text"]
+    assert conversation_repair.repair(turns.limit(0)).reports.isEmpty()
+
+
 def test_conversations(spark):
     rows = [
         (1, 0, "user", None), (1, 1, "assistant", ""), (1, 1, None, "x"), (None, None, "a\nb\\", "y"),
@@ -111,6 +154,9 @@ def test_conversations(spark):
     assert {key: row["n_turns"] for key, row in found.items()} == {1: 3, None: 1, 2: 2, 3: 1}
     assert found[2]["loss_chars"] == 2 and found[3]["loss_chars"] == 0
     assert chat_format.read_back(chat_format.format_turns(turns.limit(0))).count() == 0
+    texts = {row["conv_id"]: row["formatted"] for row in chat_format.conversation_texts(parts).collect()}
+    assert {key: len(chat_format.parse(text)) for key, text in texts.items()} == {1: 3, None: 1, 2: 2, 3: 1}
+    assert chat_format.conversation_texts(chat_format.format_turns(turns.limit(0))).isEmpty()
 
 
 def test_pages(spark):

@@ -139,7 +139,12 @@ def format_turns(
 
 
 def conversation_texts(turns: DataFrame) -> DataFrame:
-    """``conv_id, formatted``: whole renderings, for conversations that fit a row."""
+    """``conv_id, formatted``: whole renderings, for conversations that fit a row.
+
+    Takes what ``format_turns`` returns. Null turns come first, turns of equal number in the
+    order of their renderings, repeated rows all of them; null conversations are one. Other
+    columns are ignored; an empty table gives no rows.
+    """
     parts = F.array_sort(F.collect_list(F.struct("turn", "formatted")))
     return turns.groupBy("conv_id").agg(
         F.array_join(F.transform(parts, lambda part: part["formatted"]), "").alias("formatted")

@@ -163,5 +163,12 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder of files per shard, from rows brought together by shard."""
-    sharded.select("shard", "row.*").repartition("shard").write.partitionBy("shard").parquet(path)
+    """One folder of files per shard, from rows brought together by shard.
+
+    Takes what ``shard`` returns: every row has a shard, so nulls, repeated rows and equal texts
+    lie where that put them. The rows' columns become those of the files; one that is itself
+    named ``shard`` is written as ``row_shard``. An empty table makes a folder without shards.
+    """
+    names = sharded.schema["row"].dataType.names
+    columns = [column("row")[name].alias("row_shard" if name == "shard" else name) for name in names]
+    sharded.select("shard", *columns).repartition("shard").write.partitionBy("shard").parquet(path)
