@@ -34,3 +34,27 @@ def test_rows_that_fit_are_taken_in_key_order(spark):
     assert cut([60, 10], 9) == [(1, 1)]  # one row too many is nearer than none
     assert cut([60, 30], 9) == []
     assert cut([], 9) == []
+
+
+def _taken(plan):
+    mixed = mixture.placements(plan.sized, plan)
+    return mixed.groupBy("source_key").agg(
+        F.sum(F.col("size") * F.size("draws")).alias("taken"), F.first("target").alias("target")
+    ).collect()
+
+
+def test_a_million_blocks_of_one_source(spark):
+    docs = spark.range(2000).selectExpr(
+        "id AS doc_id", "repeat('w ', 1000) AS text", "IF(id < 1000, 'a', 'b') AS source")
+    plan = mixture.plan_mixture(docs, block_words=1, block_rows=1 << 20)
+    assert {row["blocks"] for row in plan.sources.collect()} == {1_000_000}
+    assert all(abs(row["taken"] - row["target"]) <= 500 for row in _taken(plan))
+
+
+def test_ten_thousand_sources(spark):
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "repeat('w ', 10) AS text", "lpad(id % 10000, 5, '0') AS source")
+    plan = mixture.plan_mixture(docs, shard_words=200_000)
+    found = _taken(plan)
+    assert plan.shards == 2 and len(found) == 10_000
+    assert all(abs(row["taken"] - row["target"]) <= 5 for row in found)

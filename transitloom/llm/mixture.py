@@ -166,8 +166,15 @@ def _last_pass(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
         "blocks",
     )
     cell_size = F.ceil(F.sqrt("blocks")).cast("bigint")
+    # Cells first, then the spots of each: no row lists all blocks of a source.
+    cells = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("blocks") / F.col("cell_size")).cast("bigint") - 1)
+    first = F.col("cell") * F.col("cell_size")
+    spots = F.sequence(first, F.least(first + F.col("cell_size"), F.col("blocks")) - 1)
     placed = (
-        wanted.withColumn("spot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        wanted.withColumn("cell_size", cell_size)
+        .select("*", F.explode(cells).alias("cell"))
+        .repartition("place", "cell")
+        .select("*", F.explode(spots).alias("spot"))
         .withColumn(
             "block",
             _block_at(F.col("spot"), F.col("place"), F.col("passes"), F.col("blocks"), seed),
@@ -176,7 +183,7 @@ def _last_pass(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
         .select(
             "place", "spot", "block", "left_words",
             F.coalesce("words", F.lit(0)).alias("words"),
-            F.floor(F.col("spot") / cell_size).alias("cell"),
+            "cell",
         )
     )
     placed = materialize(placed, "placed-blocks")
