@@ -40,7 +40,7 @@ def test_every_near_pair_shares_an_entry(letters):
             grams[gram] = grams.get(gram, 0) + 1
     order = sorted((n, gram) for gram, n in grams.items())
     rank = {gram: (place, n) for place, (n, gram) in enumerate(order)}
-    entries = {word: tuple(map(set, spelling.word_entries(word, rank))) for word in words}
+    entries = {word: (spelling.index_entries(word, rank), spelling.look_ups(word, rank)) for word in words}
     for a, b in combinations(words, 2):
         if _one_edit(a, b):
             assert entries[a][0] & entries[b][1] or entries[a][1] & entries[b][0]

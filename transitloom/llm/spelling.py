@@ -28,6 +28,7 @@ RUN = r"[A-Za-zÀ-ÿ]+"
 LEAST_LENGTH = 7
 LEAST_COUNT = 2
 LEAST_RATIO = 10
+WORDS_A_TASK = 20_000
 _PREFIX = 3  # bigrams, of which two are disjoint whatever their places
 
 
@@ -80,40 +81,50 @@ def pivots(places: list[int], costs: list[int]) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def word_entries(word: str, rank: dict[str, tuple[int, int]]) -> tuple[list[str], list[str]]:
-    """``(index, look-ups)``: the texts under which a word is found, and those it looks up.
+def _prefix(word: str, rank: dict[str, tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places and frequencies of the rarest bigrams. ``rank`` gives place in the order and
+    frequency of every bigram."""
+    grams = [(rank[word[k : k + 2]], k) for k in range(len(word) - 1)]
+    bar = sorted(grams)[_PREFIX - 1][0]
+    return [(k, own[1]) for own, k in grams if own <= bar]
+
+
+def index_entries(word: str, rank: dict[str, tuple[int, int]]) -> set[str]:
+    """The texts under which a word is found.
 
-    ``rank`` gives a bigram's place in the order and its frequency. The marks tell what was
-    spared: ``<`` all from a place on, ``>`` all up to one, ``-`` both ends, ``*`` all but a gap.
-    A number says how long the rest is, which one edit changes by one at most.
+    Their marks tell what an edit has spared: ``<`` all from a place on, ``>`` all up to one,
+    ``-`` both ends, ``*`` all but a gap. A number says how long the rest is, which one edit
+    changes by one at most.
     """
     length = len(word)
-    grams = [(rank[word[k : k + 2]], k) for k in range(length - 1)]
-    bar = sorted(grams)[_PREFIX - 1][0]
-    prefix = [(k, frequency) for (place, frequency), k in grams if (place, frequency) <= bar]
-    places = [k for k, _ in prefix]
-    first, second = pivots(places, [frequency for _, frequency in prefix])
-    index = [f"{word[k:]}<{k}" for k in places[:-1]]
-    index += [f"{word[: k + 2]}>{length - k - 2}" for k in places[1:]]
-    index += [
+    places = [k for k, _ in _prefix(word, rank)]
+    index = {f"{word[k:]}<{k}" for k in places[:-1]}
+    index.update(f"{word[: k + 2]}>{length - k - 2}" for k in places[1:])
+    index.update(
         f"{word[: a + 2]}-{word[b:]}{b - a - 2}"
         for i, a in enumerate(places) for b in places[i + 1 :] if b >= a + 2
-    ]
+    )
     # A bigram of another word may have become one to three letters here; a bigram of the prefix
     # lies on one side.
-    index += [
+    index.update(
         f"{word[:k]}*{word[k + gap :]}"
         for gap in (1, 2, 3)
         for k in range(length - gap + 1)
         if k + gap <= places[-1] or k >= places[0] + 2
-    ]
-    looked = []
+    )
+    return index
+
+
+def look_ups(word: str, rank: dict[str, tuple[int, int]]) -> set[str]:
+    """The index entries that a word looks up, by its pivots."""
+    prefix = _prefix(word, rank)
+    first, second = pivots([k for k, _ in prefix], [cost for _, cost in prefix])
+    looked = {f"{word[:k]}*{word[k + 2 :]}" for k in (first, second)}
     for change in (-1, 0, 1):
-        looked.append(f"{word[first:]}<{first + change}")
-        looked.append(f"{word[: second + 2]}>{length - second - 2 + change}")
-        looked.append(f"{word[: first + 2]}-{word[second:]}{second - first - 2 + change}")
-    looked += [f"{word[:k]}*{word[k + 2 :]}" for k in (first, second)]
-    return index, looked
+        looked.add(f"{word[first:]}<{first + change}")
+        looked.add(f"{word[: second + 2]}>{len(word) - second - 2 + change}")
+        looked.add(f"{word[: first + 2]}-{word[second:]}{second - first - 2 + change}")
+    return looked
 
 
 def _bigram_ranks(words: DataFrame) -> dict[str, tuple[int, int]]:
@@ -128,32 +139,32 @@ def near_words(words: DataFrame) -> DataFrame:
     """``word, near``: all ordered pairs of ``words`` (distinct, of 4 letters at least, made of
     ``RUN`` in lower case) that differ by exactly one inserted, deleted or replaced letter.
 
-    Whatever two words share an entry is compared. An empty table gives no pairs.
+    Whatever two words share an entry is compared. The entries of both sides are made where they
+    are shuffled from and not stored. An empty table gives no pairs.
     """
     ranks = _bigram_ranks(words)
-
-    def entries(batches):
-        for batch in batches:
-            keys, names, asked = [], [], []
-            for word in batch.column("word").to_pylist():
-                index, looked = word_entries(word, ranks)
-                for texts, asks in ((set(index), False), (set(looked), True)):
-                    keys += texts
-                    names += [word] * len(texts)
-                    asked += [asks] * len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array(names, pa.string()), pa.array(asked, pa.bool_())],
-                names=["entry", "word", "asks"],
-            )
-
-    # Stored: both sides of the join read it, and its size is in proportion to the words.
-    listed = materialize(words.select("word").mapInArrow(entries, "entry string, word string, asks boolean"), "entries")
-    index = listed.where("NOT asks").select("entry", F.col("word").alias("near"))
-    met = listed.where("asks").select("entry", "word").join(index, "entry")
+    # A word becomes some fifty rows: the tasks that make them get few words each.
+    parts = max(1, -(-words.count() // WORDS_A_TASK))
+    spread = words.select("word").repartition(parts, "word")
+
+    def entries(make, name):
+        def listed(batches):
+            for batch in batches:
+                keys, names = [], []
+                for word in batch.column("word").to_pylist():
+                    own = make(word, ranks)
+                    keys += own
+                    names += [word] * len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), pa.array(names, pa.string())], names=["entry", name]
+                )
+
+        return spread.mapInArrow(listed, f"entry string, {name} string")
+
+    met = entries(look_ups, "word").join(entries(index_entries, "near"), "entry")
     one_edit = (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
-    pairs = met.where(one_edit).select(
-        F.explode(F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near")))).alias("pair")
-    )
+    there, back = F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"))
+    pairs = met.where(one_edit).select(F.explode(F.array(there, back)).alias("pair"))
     return pairs.select("pair.*").distinct()
 
 
