@@ -133,9 +133,10 @@ def test_repair_of_odd_conversations(spark):
     turns = turns.selectExpr("*", "1 AS talk", "2 AS rank", "3 AS digest", "4 AS block")
     repaired = conversation_repair.repair(turns)
     found = {row["conv_id"]: row["audit"] for row in repaired.reports.collect()}
-    # Blank ones go, and so do roles that are none where giving them another costs more.
-    assert found == {1: "DDD", None: "D", 2: "DD", 3: "D"}
-    assert conversation_repair.repaired_turns(repaired).isEmpty()
+    # Blank and repeated turns go; a lone answer gets an empty question, which costs less.
+    assert found == {1: "DDD", None: "D", 2: "IKD", 3: "D"}
+    left = conversation_repair.repaired_turns(repaired).orderBy("turn").collect()
+    assert [tuple(row) for row in left] == [(2, 0, "user", ""), (2, 1, "assistant", "z.")]
     damaged = conversation_repair.damage(turns)
     assert damaged.columns == ["conv_id", "turn", "role", "text"]
     assert conversation_repair.repair(turns.limit(0)).reports.isEmpty()
