@@ -139,6 +139,26 @@ def test_live_weather_equals_the_batch(spark, tmp_path, salts):
     assert rows(spark.read.schema(joined.schema).parquet(f"{tmp_path}/out")) == rows(expected, *joined.columns)
 
 
+def test_live_states_need_no_setting_of_the_session(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, plain = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, plain)
+    try:
+        joined = weather_enrich_stream(
+            _stream(spark, f"{tmp_path}/positions", [[("x", 35, 1)], [("x", 9_000, 2)]], POSITIONS),
+            _stream(spark, f"{tmp_path}/reports", [[("x", 30, 1.0, 1)], [("x", 9_000, 0.0, 2)]], REPORTS),
+            watermark="1 hour", by=["place"], tie_break=["report"])
+        _run(joined, tmp_path, "weather")
+        trips = _stream(spark, f"{tmp_path}/trips", [[_trip("t", ("a", 10_000))]], TRIPS)
+        seen = _stream(spark, f"{tmp_path}/seen", [[("t", "x", 10_000)], [(None, None, 20_000)]], SEEN)
+        _run(trip_alert_stream(trips, seen, watermark="1 minute"), tmp_path, "alerts")
+    finally:
+        spark.conf.set(name, before)
+    weather = spark.read.schema(joined.schema).parquet(f"{tmp_path}/weather")
+    assert rows(weather) == [("x", 35, 1, 1.0, 1)]
+    assert rows(spark.read.parquet(f"{tmp_path}/alerts"), "stop", "issue") == [("a", "late"), ("a", "missing")]
+
+
 def test_windows_are_written_once_and_dropped(spark, tmp_path):
     vehicles = [
         [("R1", 10, "2025-01-01T10:00:00Z"), ("R1", 20, "2025-01-01T10:59:59Z"), ("R2", None, "2025-01-01T10:01:00Z")],
