@@ -48,6 +48,19 @@ def test_csv_keeps_clock_times_as_text(spark, tmp_path):
     assert rows(files.read_transport_csv(spark, f"{tmp_path}/facts/*.csv")) == [row]
 
 
+def test_compressed_csv_is_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FILE_ROWS", 100)
+    row = ("t", None, "08:30", "2025-01-31", "a, \"b\"", 3, None, "bus", 1, "1", 7, 30, 1.5, None, -4, 60.1,
+           24.9, "2025-01-31T06:30:00Z", 1738305000, "1010", 12.0, "GPS", None)
+    frame = spark.createDataFrame([row] * 250, TRANSPORT_DATA).coalesce(1)
+    for name, options in (("plain", {}), ("small", {"compression": "gzip"})):
+        assert files.write_csv(frame, f"{tmp_path}/{name}", **options)
+        assert rows(files.read_transport_csv(spark, f"{tmp_path}/{name}")) == [row] * 250
+    plain, small = (sorted((tmp_path / name).glob("part-*")) for name in ("plain", "small"))
+    assert [len(plain), len(small)] == [1, 3] and all(file.name.endswith(".csv.gz") for file in small)
+    assert sum(file.stat().st_size for file in small) * 5 < plain[0].stat().st_size
+
+
 def test_empty_frames_can_be_skipped(spark, tmp_path):
     empty = spark.createDataFrame([], PREDICTIONS)
     assert not files.write_csv(empty, f"{tmp_path}/p", skip_empty=True)
