@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 
@@ -61,3 +62,16 @@ def test_no_stops_and_no_positions(spark):
     _check(spark, [(1, 60.0, 24.0), (2, None, None)], [])
     _check(spark, [], [(1, 60.0, 24.0)])
     _check(spark, [(1, None, 3.0)], [(1, 60.0, 24.0)])
+
+
+def test_a_cell_measures_its_stops_once(spark):
+    stops = [(float(k), float(k % 7), k) for k in range(300)]
+    cells = spark.createDataFrame([(0, 0, stops)], "cx bigint, cy bigint, stops array<struct<u:double,v:double,stop:int>>")
+    kept = places._kept(cells, 10.0)
+    # Not for each stop the least bar of all of them.
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" in plan and not re.search(r"filter\(.*array_min", plan)
+    corners = [(x, y) for x in (0.0, 10.0) for y in (0.0, 10.0)]
+    bar = min(max(math.hypot(u - x, v - y) for x, y in corners) for u, v, _ in stops)
+    near = [s for s in stops if math.hypot(max(s[0] - 10, -s[0], 0), max(s[1] - 10, -s[1], 0)) <= bar]
+    assert [tuple(stop) for stop in kept.first()["stops"]] == near

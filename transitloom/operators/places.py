@@ -57,12 +57,18 @@ def _kept(cells: DataFrame, size: float) -> DataFrame:
         least, largest = _bounds(x, y, size, stop["u"], stop["v"], 0.0)
         return F.struct(least.alias("least"), largest.alias("largest"), stop.alias("stop"))
 
-    bounds = cells.withColumn("_bounds", F.transform("stops", bounded))
-    bar = F.array_min(F.transform("_bounds", lambda one: one["largest"]))
-    near = F.filter("_bounds", lambda one: _near_enough(one["least"], F.col("_bar")))
-    return bounds.withColumn("_bar", bar).withColumn(
-        "stops", F.transform(near, lambda one: one["stop"])
-    ).drop("_bounds", "_bar")
+    def near(bounds):
+        bar = F.array_min(F.transform(bounds, lambda one: one["largest"]))
+        return _with(bar, lambda bar: F.filter(bounds, lambda one: _near_enough(one["least"], bar)))
+
+    kept = _with(F.transform("stops", bounded), near)
+    return cells.withColumn("stops", F.transform(kept, lambda one: one["stop"]))
+
+
+def _with(value: Column, use) -> Column:
+    """``use`` of a value that is computed once. As a column of its own it would be put into the
+    function that uses it, and computed anew for each element of an array."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _first_kept(
