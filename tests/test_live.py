@@ -48,6 +48,15 @@ def test_trip_alerts_in_batch(spark):
             ("t", 3, "d", 30_000, "late", None), ("t", 3, "d", 30_000, "missing", None)]
 
 
+def test_alerts_deal_each_side_once(spark):
+    trips = spark.createDataFrame([_trip(f"t{k}", ("a", 10_000), ("b", 20_000)) for k in range(20)], TRIPS)
+    seen = spark.createDataFrame([(f"t{k}", "a", 10_000 + 30 * k) for k in range(20)], SEEN)
+    found = enrichment.trip_alerts(trips, seen)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "planned-" not in plan
+    assert found.where("issue = 'late'").count() == 9 + 20
+
+
 def test_live_alerts_equal_the_batch(spark, tmp_path):
     plans = [
         [_trip("t", ("a", 10_000), ("b", 20_000), ("c", 15_000)), _trip("u", ("a", 11_000))],

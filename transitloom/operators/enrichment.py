@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
+from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, HotKeys, hot_keys, skew_join, tasks_for
 from transitloom.storage import materialize
 
 _DAY = 24 * 60
@@ -131,6 +132,36 @@ def trip_sync_issues(
     ).select("trip_id", "stop_sequence", "stop", "found.*")
 
 
+_KNOWN = ["trip_id", "stop", "arrival_time"]
+_PLAN = ["trip_id", "stop_sequence", "stop", "arrival_time", "previous_arrival"]
+
+
+def _first_sightings(planned: DataFrame, sighted: DataFrame, patience: int, tasks: int) -> DataFrame:
+    """Different planned stops with ``offset``, that of the first sighting within ``patience``.
+
+    Both sides are dealt to ``tasks`` by trip and stop once; what follows happens where they lie.
+    """
+    plans = planned.repartition(tasks, "trip_id", "stop").distinct()
+    seen = sighted.repartition(tasks, "trip_id", "stop").distinct()
+    seen = seen.select(F.col("trip_id").alias("_trip"), F.col("stop").alias("_stop"), "timestamp_seconds")
+    offset = F.col("timestamp_seconds") - F.col("arrival_time")
+    same = (F.col("trip_id") == F.col("_trip")) & (F.col("stop") == F.col("_stop"))
+    met = plans.join(seen, same & (F.abs(offset) <= patience), "left")
+    return met.groupBy(*_PLAN).agg(F.min(offset).alias("offset"))
+
+
+def _first_sightings_salted(
+    planned: DataFrame, sighted: DataFrame, patience: int, hot_rows: int, hot_share: float
+) -> DataFrame:
+    """The same for stops of a trip with so many rows that one task should not get them."""
+    planned = materialize(planned.distinct(), "planned")  # read for its keys, for the join and for the result
+    near = planned.select(*_KNOWN).distinct()
+    met = skew_join(near, sighted.distinct(), ["trip_id", "stop"], "inner", hot_rows, hot_share)
+    offset = F.col("timestamp_seconds") - F.col("arrival_time")
+    first = met.where(F.abs(offset) <= patience).groupBy(*_KNOWN).agg(F.min(offset).alias("offset"))
+    return skew_join(planned, first, _KNOWN, "left", hot_rows, hot_share, unique_right=True).select(*_PLAN, "offset")
+
+
 def trip_alerts(
     trips: DataFrame,
     vehicles: DataFrame,
@@ -148,16 +179,21 @@ def trip_alerts(
     too: the one is known first. Each different planned stop is looked at once, one without
     trip, stop or arrival not at all.
     """
-    plan = ["trip_id", "stop_sequence", "stop", "arrival_time", "previous_arrival"]
-    known = ["trip_id", "stop", "arrival_time"]
-    planned = planned_stops(trips).select(*plan).dropna(subset=known).distinct()
-    planned = materialize(planned, "planned")  # read for its keys, for the join and for the result
-    near = planned.select("trip_id", "stop", "arrival_time").distinct()
-    sighted = vehicles.select("trip_id", "stop", "timestamp_seconds").dropna().distinct()
-    met = skew_join(near, sighted, ["trip_id", "stop"], "inner", hot_rows, hot_share)
-    offset = F.col("timestamp_seconds") - F.col("arrival_time")
-    first = met.where(F.abs(offset) <= patience).groupBy(*known).agg(F.min(offset).alias("offset"))
-    seen = skew_join(planned, first, known, "left", hot_rows, hot_share, unique_right=True)
+    planned = planned_stops(trips).select(*_PLAN).dropna(subset=_KNOWN)
+    sighted = vehicles.select("trip_id", "stop", "timestamp_seconds").dropna()
+    keys = ["trip_id", "stop"]
+    crowded = [hot_keys(frame, keys, hot_rows, hot_share) for frame in (planned, sighted)]
+    tasks = tasks_for(sum(found.rows for found in crowded))
+    if any(crowded):
+        tables = [found.table.select(*keys) for found in crowded if found]
+        listed = materialize(reduce(DataFrame.unionByName, tables).distinct(), "hot-stops")
+        apart = HotKeys(listed, sum(found.size for found in crowded)).joinable(listed)
+        plain = [frame.join(apart, keys, "left_anti") for frame in (planned, sighted)]
+        seen = _first_sightings(*plain, patience, tasks)
+        hot = [frame.join(apart, keys, "left_semi") for frame in (planned, sighted)]
+        seen = seen.unionByName(_first_sightings_salted(*hot, patience, hot_rows, hot_share))
+    else:
+        seen = _first_sightings(planned, sighted, patience, tasks)
     step = F.col("arrival_time") - F.col("previous_arrival")
     none = F.lit(None).cast("bigint")
 

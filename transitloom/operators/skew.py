@@ -9,7 +9,7 @@ processed, never which rows come out.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,6 +21,8 @@ from transitloom.storage import materialize
 # task of a shuffle should get. A caller may ask for a share of all rows besides.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 0.0
+# What a task gets of a shuffle whose number of tasks follows from counted rows.
+TASK_ROWS = 250_000
 _BUCKETS = 4096
 # A table of narrow rows that is known to have no more than this many is broadcast. Of hot keys
 # there is one per million rows at most.
@@ -29,10 +31,12 @@ BROADCAST_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot keys of a frame as a stored table ``(*keys, count)``; false if there are none."""
+    """The hot keys of a frame as a stored table ``(*keys, count)``; false if there are none.
+    ``rows`` are all rows of the frame that have a key, where they were counted."""
 
     table: DataFrame | None = None
     size: int = 0
+    rows: int = field(default=0, compare=False)
 
     def __bool__(self) -> bool:
         return self.size > 0
@@ -45,6 +49,11 @@ class HotKeys:
 NO_KEYS = HotKeys()
 
 
+def tasks_for(rows: int) -> int:
+    """How many tasks a shuffle of so many rows should have, so that none holds more as they grow."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -59,13 +68,14 @@ def hot_keys(
     bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
     present = df.select(*keys).dropna()
     sizes = present.groupBy(bucket.alias("bucket")).count().collect()
-    threshold = max(hot_rows, hot_share * sum(row["count"] for row in sizes))
+    rows = sum(row["count"] for row in sizes)
+    threshold = max(hot_rows, hot_share * rows)
     heavy = [row["bucket"] for row in sizes if row["count"] >= threshold]
     if not heavy:
-        return NO_KEYS
+        return HotKeys(rows=rows)
     counted = present.where(bucket.isin(heavy)).groupBy(*keys).count()
     table = materialize(counted.where(F.col("count") >= threshold), "hot-keys")
-    return HotKeys(table, table.count())
+    return HotKeys(table, table.count(), rows)
 
 
 def spread(columns: Sequence[str], salts) -> F.Column:
