@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from transitloom.operators import skew
+from transitloom.sources import graph_store
 from transitloom.sources.graph_store import StoredEdges, StoredNodes, edge_writer, node_writer
+from transitloom.storage import materialize
 from transitloom.streaming.sinks import start_fan_out
 
 NODE = "id int, kind string, speed double"
@@ -80,6 +83,21 @@ def test_a_hub_is_spread_over_the_buckets(spark, tmp_path):
     assert len(sizes) == 8 and max(sizes) < 100
 
 
+def test_a_merge_is_one_shuffle_and_one_write(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph_store, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    monkeypatch.setattr(skew, "TASK_ROWS", 50)
+    edges = StoredEdges(f"{tmp_path}/edges", spark.createDataFrame([], EDGE).schema, buckets=2)
+    for number in (0, 1):
+        edges.apply(spark.createDataFrame([(f"v{k}", f"t{k}", "R") for k in range(number * 300, 400)], EDGE), number)
+    assert written == ["incoming", "incoming"]
+    found = edges.read(spark)
+    assert found.count() == found.select("src").distinct().count() == 400
+    assert found.where("batch = 1").count() == 0
+    files = found.groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 2  # a large bucket is several tasks' work
+
+
 def test_stream_into_the_store(spark, store, tmp_path):
     for part in range(3):
         _nodes(spark, [(k, f"p{part}", 1.0, k) for k in range(part, 6)]).coalesce(1).write.mode("append").parquet(

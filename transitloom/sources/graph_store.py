@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from transitloom.operators.skew import tasks_for
 from transitloom.storage import discard, materialize, path_exists
 from transitloom.streaming.sinks import BatchWriter
 
@@ -90,20 +91,23 @@ def _rewrite(store, spark: SparkSession, fresh: DataFrame, keys: list[str], choo
         discard(fresh)
         return 0
     held = store.read(spark, touched).unionByName(fresh)
-    whole = F.struct(*[name for name in held.columns if name not in keys])
-    merged = held.groupBy(*keys).agg(choose(whole, "batch").alias("state")).select(*keys, "state.*")
-    # Stored apart first: buckets are not overwritten while they are read, and a failure before
-    # this point leaves them alone. From here on doing it again gives the same buckets.
-    staged = materialize(merged.select(*held.columns, bucket), "merged")
+    names = held.columns
+    whole = F.struct(*[name for name in names if name not in keys])
+    # A large bucket is several tasks' work, and several files.
+    pieces = -(-tasks_for(held.count()) // len(touched))
+    piece = F.pmod(F.xxhash64(F.lit("piece"), *keys), F.lit(pieces)).alias("piece")
+    dealt = held.select("*", bucket, piece).repartition(len(touched) * pieces, "bucket", "piece")
+    merged = dealt.groupBy("bucket", "piece", *keys).agg(choose(whole, "batch").alias("state"))
+    # Spark writes apart and puts the buckets in place when all are written: a failure before
+    # that leaves them alone, and doing it again gives the same buckets.
     (
-        staged.repartition(len(touched), "bucket")
+        merged.select("bucket", *keys, "state.*").select(*names, "bucket")
         .sortWithinPartitions("bucket", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
         .parquet(store.path)
     )
-    discard(staged)
     discard(fresh)
     return len(touched)
 
