@@ -204,6 +204,22 @@ def test_a_hub_is_many_keys(spark):
     assert stored["directed"].where("src = 0").count() == 0  # the hub's links lead to it
 
 
+def test_wedges_travel_as_pieces_of_numbers(spark, monkeypatch):
+    stored = {}
+    original = analysis.materialize
+    monkeypatch.setattr(analysis, "materialize", lambda df, name: stored.setdefault(name, original(df, name)))
+    pairs = [("hub", f"n{k}") for k in range(60)] + [(f"n{k}", f"n{k + 1}") for k in range(59)]
+    pairs += [(f"c{a}", f"c{b}") for a, b in itertools.combinations(range(12), 2)]
+    found = analysis.triangles(_edges(spark, pairs, "string"), wedge_links=5)
+    assert dict(stored["directed"].dtypes)["dst"] == "bigint"  # not the names
+    hub = stored["numbers"].where("id = 'hub'").first()["number"]
+    assert stored["directed"].where(f"src = {hub}").count() == 0
+    assert stored["pieces"].selectExpr("max(size(ends)) AS most").first()["most"] == 5
+    counted = dict(rows(found, "id", "triangles"))
+    assert counted["hub"] == 59 and counted["n0"] == 1 and counted["n5"] == 2
+    assert all(counted[f"c{k}"] == 11 * 10 // 2 for k in range(12))
+
+
 def test_motifs(spark):
     runs = _edges(spark, [("v1", "t1"), ("v1", "t2"), ("v2", "t3"), ("v2", "t3"), (None, "t1"), ("v3", "t2")], "string")
     hops = _edges(spark, [("t1", "a>b"), ("t2", "b>a"), ("t3", "a>b"), ("t3", "c>d"), ("t2", "x>x")], "string")

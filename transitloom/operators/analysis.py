@@ -26,7 +26,7 @@ from transitloom.operators.skew import (
 )
 from transitloom.storage import discard, materialize
 
-# Out-links of a node that meet each other in one task, at most, when triangles are looked for.
+# Out-links of a node that one row holds, at most, when triangles are looked for.
 WEDGE_LINKS = 1_000
 # Fixed pseudo-random orders of node numbers, one per round of strong components.
 _ORDER_STEP = 0x2545F4914F6CDD1D
@@ -345,52 +345,60 @@ def triangles(
 ) -> DataFrame:
     """``(id, degree, triangles, clustering)`` of every node with a neighbour, undirected.
 
-    Every link leads from the end with fewer neighbours to the other one, so that no node, hub
-    or not, has more than the square root of twice the number of links going out. Two links out
-    of one node are a wedge; its triangle is closed if their far ends are linked. Out-links are
-    numbered in each node and cut into pieces of ``wedge_links``; each pair of pieces is a key of
-    its own, so no key makes more than ``wedge_links`` squared wedges. ``clustering`` is the share
-    of a node's pairs of neighbours that are linked, NULL below two neighbours.
+    Nodes are numbered from 1 by their degree, and every link leads to the larger number, so that no
+    node, hub or not, has more than the square root of twice the number of links going out.
+    The nodes that a node leads to are cut into pieces of ``wedge_links``. Each of its links takes
+    along the pieces of what comes after it, and meets the pieces of what it leads to: what the
+    two share closes a triangle. So wedges travel as pieces of numbers, not as rows; no row holds
+    more than one piece, and hot meeting places are salted. ``clustering`` is the share of a
+    node's pairs of neighbours that are linked, NULL below two neighbours.
     """
     pairs = materialize(edges.dropna(subset=["src", "dst"]).where("src <> dst").select(
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "pairs")
     degrees = _ends(pairs).groupBy("id").agg(F.count("*").alias("degree"))
     degrees = materialize(degrees, "degrees")
     size = degrees.count()
+    ranked = with_rank(degrees, ["degree", "id"], "number").withColumn("number", F.col("number") + 1)
+    numbers = materialize(ranked, "numbers")
+    discard(degrees)
     named = pairs
     for end in ("src", "dst"):
-        own = degrees.select(F.col("id").alias(end), F.col("degree").alias(f"_{end}"))
+        own = numbers.select(F.col("id").alias(end), F.col("number").alias(f"_{end}"))
         hot = hot_keys(pairs, [end], hot_rows, hot_share) if size > broadcast_rows else NO_KEYS
         named = _meet(named, own, size, hot, hot_rows, broadcast_rows, key=end)
-    low, high = F.struct("_src", "src"), F.struct("_dst", "dst")
-    upward = low < high
-    directed = named.select(
-        F.when(upward, F.col("src")).otherwise(F.col("dst")).alias("src"),
-        F.when(upward, F.col("dst")).otherwise(F.col("src")).alias("dst"),
-        F.when(upward, F.col("_dst")).otherwise(F.col("_src")).alias("rank"),
-    )
-    place = F.row_number().over(Window.partitionBy("src").orderBy("rank", "dst")) - 1
-    numbered = directed.withColumn("place", place)
-    pieces = F.count("*").over(Window.partitionBy("src"))
-    numbered = numbered.withColumn("pieces", F.ceil(pieces / wedge_links).cast("int"))
-    numbered = materialize(numbered.withColumn("piece", F.floor(F.col("place") / wedge_links).cast("int")), "directed")
-    near = numbered.select(
-        "src", F.col("dst").alias("near"), F.col("place").alias("near_place"), F.col("piece").alias("first"),
-        F.explode(F.sequence("piece", F.col("pieces") - 1)).alias("second"),
-    )
-    far = numbered.select(
-        "src", F.col("dst").alias("far"), F.col("place").alias("far_place"), F.col("piece").alias("second"),
-        F.explode(F.sequence(F.lit(0), "piece")).alias("first"),
-    )
-    wedges = near.join(far, ["src", "first", "second"]).where("near_place < far_place")
-    # A node's links are numbered by rank, so that a closing link leads from near to far.
-    closing = numbered.select(F.col("src").alias("near"), F.col("dst").alias("far"))
-    closed = wedges.select("src", "near", "far").join(closing, ["near", "far"])
-    found = closed.select(F.explode(F.array("src", "near", "far")).alias("id"))
-    counted = found.groupBy("id").agg(F.count("*").alias("triangles"))
+    links = named.select(F.least("_src", "_dst").alias("src"), F.greatest("_src", "_dst").alias("dst"))
+    place = F.row_number().over(Window.partitionBy("src").orderBy("dst")) - 1
+    placed = links.withColumn("piece", F.floor(place / wedge_links).cast("int"))
+    directed = materialize(placed, "directed")
+    pieces = directed.groupBy("src", "piece").agg(F.sort_array(F.collect_list("dst")).alias("ends"))
+    pieces = materialize(pieces, "pieces")
+    # Pieces of one node in pairs; those of nodes with several are dealt anew, since they make
+    # the more wedges.
+    later = pieces.select("src", F.col("piece").alias("second"), F.col("ends").alias("others"))
+    split = directed.where("piece = 1").select("src").distinct()
+    single = pieces.join(split, "src", "left_anti").select("src", "ends", F.col("ends").alias("others"), F.lit(True).alias("own"))
+    several = pieces.join(split, "src", "left_semi")
+    dealt = several.join(later, "src").where("piece <= second").repartition("src", "piece", "second")
+    both = single.unionByName(dealt.select("src", "ends", "others", (F.col("piece") == F.col("second")).alias("own")))
+    beyond = F.when(F.col("own"), F.slice("others", F.col("at") + 2, F.greatest(F.size("others"), F.lit(1))))
+    wedges = both.select("src", "others", "own", F.posexplode("ends").alias("at", "near")).select(
+        "src", "near", beyond.otherwise(F.col("others")).alias("far")
+    ).where(F.size("far") > 0)
+    # Links are sorted by number, so that a closing link leads from near to far.
+    closing = pieces.select(F.col("src").alias("near"), "ends")
+    hot = hot_keys(directed.select(F.col("dst").alias("near")), ["near"], hot_rows, hot_share)
+    met = skew_join(wedges, closing, ["near"], "inner", hot_rows, unique_right=True, left_hot=hot)
+    closed = met.select("src", "near", F.array_intersect("far", "ends").alias("far"))
+    closed = closed.where(F.size("far") > 0)
+    one = F.lit(1).cast("bigint").alias("n")
+    times = F.size("far").cast("bigint").alias("n")
+    ends = F.array(F.struct(F.col("src").alias("number"), times), F.struct(F.col("near").alias("number"), times))
+    far = F.transform("far", lambda number: F.struct(number.alias("number"), one))
+    found = closed.select(F.explode(F.concat(ends, far)).alias("end"))
+    counted = found.groupBy("end.number").agg(F.sum("end.n").alias("triangles"))
     number = F.coalesce("triangles", F.lit(0).cast("bigint"))
     pairs_of = F.col("degree") * (F.col("degree") - 1)
-    return degrees.join(counted, "id", "left").select(
+    return numbers.join(counted, "number", "left").select(
         "id", "degree", number.alias("triangles"),
         F.when(pairs_of > 0, 2 * number / pairs_of).alias("clustering"),
     )
