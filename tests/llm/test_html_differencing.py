@@ -106,3 +106,20 @@ def test_hosts_against_a_plain_version(spark, monkeypatch, block):
             pages += [(url, lines)] * random_.choice([1, 1, 1, 3])
     found = _texts(spark, [(url, _page(*lines)) for url, lines in pages])
     assert found == _plain(pages, words)
+
+
+def test_only_lines_that_may_be_main_text_travel(spark):
+    lines = ["Home", "Read more", "A river", "Links", "Copyright"]
+    marks = bytes([0, 1 | 1 << 3, 1, 1 | 1 << 2, 0])  # the middle three in an article, one of them furniture
+    assert html_extract.candidates(lines, marks) == (["Read more", "A river"], [1, -1])
+    assert html_extract.main_text(["Read more", "A river"], [1, -1], {1, 2}) == "A river"
+    assert html_extract.candidates(["a", "b"], bytes([0, 1 << 2])) == (["a"], [0])
+    assert html_extract.candidates([], b"") == ([], [])
+
+
+def test_texts_meet_shared_lines_by_one_plan_for_all_sizes(spark):
+    pages = spark.createDataFrame(
+        [(k, f"http://h/{k}", _page(*TEMPLATE, f"story {k}")) for k in range(3)],
+        "page_id bigint, url string, html string")
+    plan = html_extract.extract_text(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

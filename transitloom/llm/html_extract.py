@@ -252,22 +252,29 @@ def shared_lines(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     return aligned.groupBy("host", "lines_a", "lines_b").agg(F.max_by("shared", "near").alias("shared"))
 
 
-def main_text(lines: list[str], marks: bytes, shared: set[int]) -> str:
-    """The lines of a page that are its main text, one per line of the result.
+def candidates(lines: list[str], marks: bytes) -> tuple[list[str], list[int]]:
+    """The lines that are main text unless shared, and of each its place, or -1 where it stays
+    shared or not.
 
-    Lines not shared and not furniture stay if the page marks no article. Where it does, the
-    lines inside the innermost kind of marked element stay, shared or not, but for shared
+    Furniture goes. If the page marks no article, lines stay that are not shared. Where it does,
+    the lines inside the innermost kind of marked element stay, shared or not, but for shared
     lines that are nothing but links.
     """
     plain = [mark for mark in marks if not mark >> 2 & 1]
     rank = max((mark & 3 for mark in plain), default=0)
-    kept = []
+    kept, places = [], []
     for k, (line, mark) in enumerate(zip(lines, marks, strict=True)):
         furniture, linked = mark >> 2 & 1, mark >> 3 & 1
-        if furniture or mark & 3 != rank or (k in shared and (rank == 0 or linked)):
+        if furniture or mark & 3 != rank:
             continue
         kept.append(line)
-    return "\n".join(kept)
+        places.append(k if rank == 0 or linked else -1)
+    return kept, places
+
+
+def main_text(lines: list[str], places: list[int], shared: set[int]) -> str:
+    """The candidate lines of a page whose place is not shared, one per line of the result."""
+    return "\n".join(line for line, place in zip(lines, places, strict=True) if place not in shared)
 
 
 def extract_text(
@@ -287,14 +294,16 @@ def extract_text(
     )
 
     def pack(batches):
-        # Without markup and compressed, the pages travel to their shared lines.
+        # Only the lines that may be main text travel to their shared lines, compressed.
         for batch in batches:
-            packed, marks, keys = [], [], []
+            packed, places, keys = [], [], []
             for source in batch.column("html").to_pylist():
                 found = blocks(source or "")
                 lines = [block.text for block in found]
-                packed.append(zlib.compress("\n".join(lines).encode(), 1))
-                marks.append(bytes(b.rank | b.furniture << 2 | b.linked << 3 for b in found))
+                marks = bytes(b.rank | b.furniture << 2 | b.linked << 3 for b in found)
+                kept, at = candidates(lines, marks)
+                packed.append(zlib.compress("\n".join(kept).encode(), 6))
+                places.append(at)
                 keys.append(_lines_key(_codes(lines)))
             hosts = [host_and_path(url)[0] for url in batch.column("url").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -303,19 +312,19 @@ def extract_text(
                     pa.array(hosts, pa.string()),
                     *(pa.array([key[k] for key in keys], pa.int64()) for k in (0, 1)),
                     pa.array(packed, pa.binary()),
-                    pa.array(marks, pa.binary()),
+                    pa.array(places, pa.list_(pa.int32())),
                 ],
-                names=["page_id", "url", "host", "lines_a", "lines_b", "packed", "marks"],
+                names=["page_id", "url", "host", "lines_a", "lines_b", "packed", "places"],
             )
 
     def choose(batches):
         for batch in batches:
             texts = []
-            for packed, marks, found in zip(
-                *(batch.column(name).to_pylist() for name in ("packed", "marks", "shared")), strict=True
+            for packed, places, found in zip(
+                *(batch.column(name).to_pylist() for name in ("packed", "places", "shared")), strict=True
             ):
-                lines = zlib.decompress(packed).decode().split("\n") if marks else []
-                texts.append(main_text(lines, marks, set(found or ())))
+                lines = zlib.decompress(packed).decode().split("\n") if places else []
+                texts.append(main_text(lines, places, set(found or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["page_id", "url", "text"],
@@ -323,8 +332,10 @@ def extract_text(
 
     ids = [own.schema["page_id"], own.schema["url"]]
     packed_fields = T.StructType.fromDDL(
-        "host string, lines_a bigint, lines_b bigint, packed binary, marks binary"
+        "host string, lines_a bigint, lines_b bigint, packed binary, places array<int>"
     )
     packed = own.mapInArrow(pack, T.StructType([*ids, *packed_fields.fields]))
-    joined = packed.join(shared, ["host", "lines_a", "lines_b"], "left").drop("host", "lines_a", "lines_b")
+    # The shared lines grow with the pages: one plan for all sizes, which shuffles the texts once.
+    joined = packed.join(shared.hint("merge"), ["host", "lines_a", "lines_b"], "left")
+    joined = joined.drop("host", "lines_a", "lines_b")
     return joined.mapInArrow(choose, T.StructType([*ids, T.StructField("text", T.StringType())]))
