@@ -2,7 +2,8 @@
 
 import pytest
 
-from transitloom.operators import graph, traversal
+from tests.conftest import rows
+from transitloom.operators import graph, skew, traversal
 from transitloom.plans.queries import all_queries
 from transitloom.storage import materialize
 
@@ -79,3 +80,19 @@ def test_different_stops_are_stored_once_for_hot_trips(spark, monkeypatch):
     plan = _plan(found)
     assert "Scan ExistingRDD[trip_id" not in plan  # nothing reads the facts again
     assert graph.stop_precede(facts).count() == 50 and stored == ["visits"]
+
+
+def test_tasks_follow_from_counted_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    facts = spark.createDataFrame(
+        [(k % 7, k % 40, k % 60) for k in range(1100)], "vehicle_id bigint, trip_id bigint, stop bigint")
+    assert "hashpartitioning(trip_id" in _plan(graph.stop_precede(facts)) and ", 11)" in _plan(graph.stop_precede(facts))
+    edges = materialize(graph.transport_edges(facts), "edges")
+    dealt = -(-edges.count() // 100)
+    found = traversal.degrees(edges)
+    assert f", {dealt})" in _plan(found)
+    out = dict(rows(edges.groupBy("src").count()))
+    assert {row["id"]: row["out_degree"] for row in found.collect() if row["out_degree"]} == out
+    edges = [graph.vehicle_trip_edges(facts), graph.trip_stop_edges(facts), graph.precede_edges(facts)]
+    assert ", 23)" in _plan(graph.assemble_edges(*edges, tasks=23))
+    assert rows(graph.assemble_edges(*edges, tasks=23)) == rows(graph.assemble_edges(*edges))

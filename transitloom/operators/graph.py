@@ -11,7 +11,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from transitloom.operators.ordering import next_in_group
 from transitloom.operators.sampling import sample_rows
-from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join
+from transitloom.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, skew_join, tasks_for
 from transitloom.storage import materialize
 
 # Relation names, and id prefix, label word, colour and size per node kind.
@@ -88,7 +88,9 @@ def stop_precede(
         visits = materialize(visits, "visits")  # counted, and read for either kind of trip
         suspects = visits.join(busy.joinable(busy.table.select("trip_id")), "trip_id", "left_semi")
         hot = hot_keys(suspects, ["trip_id"], hot_rows)
-    paired = next_in_group(visits, "trip_id", sort, "stop", "stop2", hot)
+    # As many tasks as rows ask for; few rows stay with the session's number.
+    tasks = tasks_for(busy.rows)
+    paired = next_in_group(visits, "trip_id", sort, "stop", "stop2", hot, tasks if tasks > 1 else None)
     return paired.where("stop2 IS NOT NULL").select("trip_id", F.col("stop").alias("stop1"), "stop2")
 
 
@@ -232,9 +234,13 @@ def _drawn(ids: DataFrame, edges: DataFrame | None) -> DataFrame:
 
 
 def assemble_edges(
-    vehicle_trip: DataFrame, trip_stop: DataFrame, stop_pairs: DataFrame
+    vehicle_trip: DataFrame, trip_stop: DataFrame, stop_pairs: DataFrame, tasks: int | None = None
 ) -> DataFrame:
-    """Undirected titled edges, each unordered pair once with the title that came last."""
+    """Undirected titled edges, each unordered pair once with the title that came last.
+
+    A pair comes from each frame once or twice, so it is never hot: the rows may be dealt to
+    ``tasks`` as they are, before they are merged.
+    """
     titles = (EFFECTUE, DESSERT, PRECEDE)
     parts = (
         (vehicle_trip, _tagged("vehicle_id"), _tagged("trip_id")),
@@ -247,7 +253,9 @@ def assemble_edges(
         )
         for turn, (frame, a, b) in enumerate(parts)
     ]
-    merged = reduce(DataFrame.unionByName, frames).groupBy("src", "dst").agg(F.max("turn").alias("turn"))
+    every = reduce(DataFrame.unionByName, frames)
+    every = every.repartition(tasks, "src", "dst") if tasks else every
+    merged = every.groupBy("src", "dst").agg(F.max("turn").alias("turn"))
     title = F.get(F.array(*map(F.lit, titles)), F.col("turn"))
     return merged.select("src", "dst", title.alias("title"))
 

@@ -62,18 +62,25 @@ def next_in_group(
     value: str,
     alias: str,
     hot: HotKeys = NO_KEYS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add ``value`` of the following row of the same ``group``; NULL for the last row.
 
-    Ordinary groups use a window. A group in ``hot`` would be one task there, so
-    its rows are ranked globally and each is joined with the one ranked right after it.
+    Ordinary groups use a window, dealt to ``tasks`` if given. A group in ``hot`` would be one
+    task there, so its rows are ranked globally and each is joined with the one ranked right
+    after it.
     """
     window = Window.partitionBy(group).orderBy(*order)
+
+    def followed(rows):
+        dealt = rows.repartition(tasks, group) if tasks else rows
+        return dealt.withColumn(alias, F.lead(value).over(window))
+
     if not hot:
-        return df.withColumn(alias, F.lead(value).over(window))
+        return followed(df)
 
     listed = hot.joinable(hot.table.select(group))
-    ordinary = df.join(listed, group, "left_anti").withColumn(alias, F.lead(value).over(window))
+    ordinary = followed(df.join(listed, group, "left_anti"))
     ranked = with_rank(df.join(listed, group, "left_semi"), [group, *order], "_rank")
     following = ranked.select(
         F.col(group), (F.col("_rank") - 1).alias("_rank"), F.col(value).alias(alias)

@@ -538,7 +538,7 @@ def graph_k_hop(spark, sf_dir):
 
 @_query
 def graph_degrees(spark, sf_dir):
-    return traversal.degrees(graph.transport_edges(testdata.graph_facts(spark, sf_dir)))
+    return traversal.degrees(graph_tables.stored_edges(testdata.graph_facts(spark, sf_dir)))
 
 
 @_query
