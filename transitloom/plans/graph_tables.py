@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.operators import graph
+from transitloom.operators.skew import tasks_for
 from transitloom.sources.files import write_csv
 from transitloom.storage import materialize
 
@@ -68,9 +69,11 @@ def assembled_graph(facts: DataFrame, stop_when: str = "true") -> tuple[DataFram
         ),
         "visits",
     )
+    tasks = tasks_for(3 * visits.count())  # each gives three edges at most
     edges = materialize(
         graph.assemble_edges(
-            graph.vehicle_trip_edges(visits), graph.trip_stop_edges(visits), graph.precede_edges(visits)
+            graph.vehicle_trip_edges(visits), graph.trip_stop_edges(visits), graph.precede_edges(visits),
+            tasks if tasks > 1 else None,
         ),
         "assembled",
     )
