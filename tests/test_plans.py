@@ -82,6 +82,20 @@ def test_different_stops_are_stored_once_for_hot_trips(spark, monkeypatch):
     assert graph.stop_precede(facts).count() == 50 and stored == ["visits"]
 
 
+def test_stops_and_their_succession_take_one_shuffle(spark, monkeypatch):
+    facts = spark.createDataFrame(
+        [(k % 7, k % 40 if k % 9 else None, k * k % 31 if k % 5 else None) for k in range(600)] + [(1, 1, 1)] * 9,
+        "vehicle_id bigint, trip_id bigint, stop bigint")
+    found = graph.transport_edges(facts)
+    plan = _plan(found)
+    assert "hashpartitioning(trip_id, stop" not in plan.replace("#", "").translate(str.maketrans("", "", "0123456789L"))
+    assert "Window" not in plan and "Window" not in _plan(graph.precede_edges(facts))
+    pairs = graph.stop_precede(facts).select("stop1", "stop2").distinct()
+    assert rows(graph.precede_edges(facts)) == rows(pairs) and pairs.count() > 30
+    monkeypatch.setattr(graph, "_stop_lists", lambda facts: None)  # as for hot trips
+    assert rows(found) == rows(graph.transport_edges(facts))
+
+
 def test_tasks_follow_from_counted_rows(spark, monkeypatch):
     monkeypatch.setattr(skew, "TASK_ROWS", 100)
     facts = spark.createDataFrame(

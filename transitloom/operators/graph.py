@@ -94,8 +94,27 @@ def stop_precede(
     return paired.where("stop2 IS NOT NULL").select("trip_id", F.col("stop").alias("stop1"), "stop2")
 
 
+def _stop_lists(facts: DataFrame) -> DataFrame | None:
+    """``(trip_id, stops)``: the different stops of each trip, sorted; None if a trip has very
+    many rows. Repeated stops go before the one shuffle."""
+    visits = facts.select("trip_id", "stop").dropna()
+    if hot_keys(visits, ["trip_id"]):
+        return None
+    return visits.groupBy("trip_id").agg(F.array_sort(F.collect_set("stop")).alias("stops"))
+
+
+def _list_pairs(lists: DataFrame) -> DataFrame:
+    """Distinct ``(stop1, stop2)`` that follow each other in a list."""
+    first = F.slice("stops", F.lit(1), F.size("stops") - 1)
+    pairs = F.arrays_zip(first.alias("stop1"), F.slice("stops", F.lit(2), F.size("stops")).alias("stop2"))
+    return lists.select(F.inline(pairs).alias("stop1", "stop2")).distinct()
+
+
 def precede_edges(facts: DataFrame, order: str | None = None) -> DataFrame:
     """Distinct stop successions over all trips."""
+    lists = _stop_lists(facts) if order is None else None
+    if lists is not None:
+        return _list_pairs(lists)
     return stop_precede(facts, order).select("stop1", "stop2").distinct()
 
 
@@ -105,18 +124,28 @@ def _tagged(column: str, name: str | None = None):
 
 
 def transport_edges(facts: DataFrame) -> DataFrame:
-    """All edges between vehicles, trips and stops as ``(src, dst, relation)``."""
+    """All edges between vehicles, trips and stops as ``(src, dst, relation)``.
+
+    Unless a trip has very many rows, the lists of its stops give both its edges to them and
+    their succession, by one shuffle.
+    """
+    lists = _stop_lists(facts)
+    if lists is None:
+        visits, succession = trip_stop_edges(facts), precede_edges(facts)
+    else:
+        visits = lists.select("trip_id", F.explode("stops").alias("stop"))
+        succession = _list_pairs(lists)
     return (
         vehicle_trip_edges(facts)
         .select(_tagged("vehicle_id").alias("src"), _tagged("trip_id").alias("dst"),
                 F.lit(EFFECTUE).alias("relation"))
         .unionByName(
-            trip_stop_edges(facts).select(
+            visits.select(
                 _tagged("trip_id").alias("src"), _tagged("stop").alias("dst"),
                 F.lit(DESSERT).alias("relation"))
         )
         .unionByName(
-            precede_edges(facts).select(
+            succession.select(
                 _tagged("stop1", "stop").alias("src"), _tagged("stop2", "stop").alias("dst"),
                 F.lit(PRECEDE).alias("relation"))
         )
