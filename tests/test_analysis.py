@@ -7,7 +7,7 @@ import random
 import pytest
 
 from tests.conftest import rows
-from transitloom.operators import analysis, motifs
+from transitloom.operators import analysis, motifs, skew
 from transitloom.storage import materialize
 
 # Broadcast and salted joins: the second pair finds hot keys at once and broadcasts nothing.
@@ -54,6 +54,27 @@ def test_pagerank(spark, seeds, way):
     assert math.isclose(sum(found.values()), 1, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("seeds", [None, [100, 401, 999]])
+@pytest.mark.parametrize("way", WAYS)
+def test_pagerank_moves_only_walks(spark, monkeypatch, seeds, way):
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)  # several buckets
+    stored = []
+    monkeypatch.setattr(analysis, "materialize", lambda df, name: stored.append((name, materialize(df, name))) or stored[-1][1])
+    # Three links from the outer nodes, one of them a hub, to the inner ring, which alone goes on.
+    pairs = [(100 + k, 200 + k) for k in range(40)] + [(100, 200 + k) for k in range(9)] + [(200 + k, 300 + k % 10) for k in range(40)]
+    pairs += [(300 + k, 400 + k % 3) for k in range(10)] + [(400, 401), (401, 402), (402, 400), (402, 499)]
+    chosen = spark.createDataFrame([(node,) for node in seeds], "id bigint") if seeds else None
+    found = dict(rows(analysis.pagerank(_edges(spark, pairs), chosen, rounds=6, **way)))
+    expected = _plain_rank(pairs, 6, seeds)
+    assert set(found) == set(expected)
+    assert all(math.isclose(found[node], expected[node], abs_tol=1e-12) for node in found)
+    if not seeds:
+        # A round no longer stores each node, but those that a walk of its length reaches.
+        walks = [frame.count() for name, frame in stored if name == "walks"]
+        assert walks == [54, 14, 4, 4, 4, 4]
+        assert [name for name, _ in stored].count("links") == ("hot_rows" in way)  # the hub's own
+
+
 def test_pagerank_stops_at_its_tolerance(spark, monkeypatch):
     stored = []
     monkeypatch.setattr(analysis, "discard", lambda table: stored.append(table._stored_at))

@@ -23,8 +23,9 @@ from transitloom.operators.skew import (
     HotKeys,
     hot_keys,
     skew_join,
+    tasks_for,
 )
-from transitloom.storage import discard, materialize
+from transitloom.storage import discard, drop_buckets, materialize, materialize_buckets
 
 # Out-links of a node that one row holds, at most, when triangles are looked for.
 WEDGE_LINKS = 1_000
@@ -65,10 +66,11 @@ def pagerank(
     ``id``). Ranks sum to 1. Either ``rounds`` are done, or as many as it takes until the ranks
     change by ``tolerance`` in sum, ``max_rounds`` at most.
 
-    A round shuffles what the links carry, added up per node before it moves, and one row per
-    node; the links themselves only where the ranks are too many to be broadcast. An edge
-    without one of its ends names the other as a node. A graph without nodes has no ranks.
+    A graph without nodes has no ranks; an edge without one of its ends names the other as a
+    node. Where the number of rounds is known, only walks move, see ``_walked``.
     """
+    if rounds is not None:
+        return _walked(edges, seeds, damping, rounds, hot_rows, hot_share, broadcast_rows)
     links = materialize(edges.select("src", "dst").dropna().distinct(), "links")
     out = links.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_degree"))
     named = _ends(edges)
@@ -90,12 +92,12 @@ def pagerank(
         "ranks",
     )
     discard(nodes)
-    for _ in range(max_rounds if rounds is None else rounds):
+    for _ in range(max_rounds):
         seen = state.agg(
             F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))).alias("stuck"),
             F.sum(F.abs(F.col("rank") - F.col("before"))).alias("change"),
         ).first()
-        if rounds is None and (seen["change"] or 0.0) <= tolerance:
+        if (seen["change"] or 0.0) <= tolerance:
             break
         leaving = state.where("out_degree > 0").select(
             F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("sent")
@@ -121,6 +123,101 @@ def pagerank(
     return state.select("id", "rank")
 
 
+def _outgoing(whole: DataFrame, hot_rows: int, hot_share: float) -> tuple[DataFrame, DataFrame | None, HotKeys, int]:
+    """Different links as a table ``(src, dst, share)``, ``share`` being one over the out-links of
+    ``src``; those of hot sources as a table of their own, or None; the hot sources; and the
+    number of buckets by ``src`` that the first table has, 1 if it has none."""
+    hot = hot_keys(whole, ["src"], hot_rows, hot_share)
+    buckets, busy = tasks_for(hot.rows), None
+    ordinary = whole
+    if hot:
+        listed = hot.joinable(hot.table.select("src"))
+        ordinary = whole.join(listed, "src", "left_anti")
+        busy = materialize(whole.join(listed, "src", "left_semi").distinct(), "links")
+        shares = busy.groupBy("src").agg((1 / F.count("*")).alias("share"))
+        busy = busy.join(hot.joinable(shares), "src")
+    # Dealt by one end, the links are told apart, counted and stored by a single shuffle.
+    dealt = (ordinary.repartition(buckets, "src") if buckets > 1 else ordinary.repartition("src")).distinct()
+    share = (1 / F.count("*").over(Window.partitionBy("src"))).alias("share")
+    shared = dealt.select("src", "dst", share)
+    stored = materialize_buckets(shared, "links", "src", buckets) if buckets > 1 else materialize(shared, "links")
+    return stored, busy, hot, buckets
+
+
+def _walked(
+    edges: DataFrame, seeds: DataFrame | None, damping: float, rounds: int,
+    hot_rows: int, hot_share: float, broadcast_rows: int,
+) -> DataFrame:
+    """PageRank of a known number of rounds from the walks of each length.
+
+    A round's ranks are linear in the start and in what starts anew, which is one number. So
+    they are a sum over lengths: the chance of a walk of ``j`` links from the start to a node,
+    times a factor that follows from the masses of the lengths. Walks of a length are stored for
+    the nodes they reach and no others, so links that no walk of this length follows carry
+    nothing, and nothing moves but what the links carry, added up per node before it does. The
+    links stay where they are, in buckets by their source.
+    """
+    named = edges.select("src", "dst")
+    links, busy, hot, buckets = _outgoing(named.dropna(), hot_rows, hot_share)
+
+    def step(walks, size):
+        if walks is None:
+            frames = [links.select("dst", "share")] + ([busy.select("dst", "share")] if hot else [])
+        else:
+            at = walks.withColumnRenamed("id", "src")
+            near = F.broadcast(at) if size <= broadcast_rows else at
+            if size > broadcast_rows and buckets > 1:
+                near = at.repartition(buckets, "src")  # as the links are
+            moved = (F.col("share") * F.col("mass")).alias("share")
+            frames = [links.join(near, "src").select("dst", moved)]
+            if hot:
+                few = hot.joinable(at.join(hot.joinable(hot.table.select("src")), "src", "left_semi"))
+                frames.append(busy.join(few, "src").select("dst", moved))
+        summed = reduce(DataFrame.unionByName, frames).groupBy(F.col("dst").alias("id"))
+        return materialize(summed.agg(F.sum("share").alias("mass")), "walks")
+
+    def measured(walks):
+        seen = walks.agg(F.count("*").alias("size"), F.sum("mass").alias("mass")).first()
+        return seen["size"], seen["mass"] or 0.0
+
+    first = step(None, 0)  # one walk from every node along each link
+    sources = links.select(F.col("src").alias("id")).distinct()
+    odd = _ends(named.where("src IS NULL OR dst IS NULL"))
+    frames = [sources, first.select("id"), odd]
+    if hot:
+        frames.append(hot.table.select(F.col("src").alias("id")))
+    if seeds is None:
+        nodes = materialize(reduce(DataFrame.unionByName, frames).distinct(), "nodes")
+        size = nodes.count()
+        tables, sizes = [nodes.withColumn("mass", F.lit(1.0)), first], [(size, float(size)), measured(first)]
+    else:
+        chosen = materialize(seeds.select("id").dropna().distinct().withColumn("mass", F.lit(1.0)), "seeds")
+        nodes = materialize(reduce(DataFrame.unionByName, [*frames, chosen.select("id")]).distinct(), "nodes")
+        discard(first)
+        tables, sizes = [chosen], [measured(chosen)]
+    while len(tables) <= rounds and sizes[-1][0]:
+        tables.append(step(tables[-1], sizes[-1][0]))
+        sizes.append(measured(tables[-1]))
+    if buckets > 1:
+        drop_buckets(links)
+    else:
+        discard(links)
+
+    masses = [mass / max(1.0, sizes[0][1]) for _, mass in sizes] + [0.0] * (rounds + 1)
+    anew = [1.0]  # the weight of the start in each round
+    for k in range(rounds):
+        stuck = sum(anew[k - j] * damping**j * (masses[j] - masses[j + 1]) for j in range(k + 1))
+        anew.append(1 - damping + damping * stuck)
+    weights = [anew[rounds - j] * damping**j / max(1.0, sizes[0][1]) for j in range(min(len(tables), rounds + 1))]
+    parts = [
+        walks.select("id", (F.col("mass") * F.lit(weight)).alias("rank"))
+        for walks, weight in zip(tables, weights)
+    ]
+    if seeds is not None:
+        parts.append(nodes.select("id", F.lit(0.0).alias("rank")))
+    return reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("rank").alias("rank"))
+
+
 # --- strong components --------------------------------------------------------------
 def _numbered(edges: DataFrame, hot_rows: int, hot_share: float) -> tuple[DataFrame, DataFrame]:
     """Different links between numbered nodes, without loops, and ``(id, name)`` of all nodes;

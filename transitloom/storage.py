@@ -58,6 +58,23 @@ def discard(stored: DataFrame) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def materialize_buckets(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Write ``df``, which lies in ``buckets`` partitions by ``column``, as a table of as many
+    buckets in the shared folder: joins and groups by ``column`` read it where it is."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(buckets, column).sortBy(column).option("path", path).saveAsTable(table)
+    stored = spark.table(table)
+    stored._stored_at, stored._table = path, table
+    return stored
+
+
+def drop_buckets(stored: DataFrame) -> None:
+    """Delete a table made by ``materialize_buckets`` that no frame still to be computed reads."""
+    stored.sparkSession.sql(f"DROP TABLE {stored._table}")
+    discard(stored)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (or a glob) names something, on any Hadoop file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
