@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from transitloom.operators import graph, ordering
+from transitloom.operators import graph, ordering, skew, traversal
 from transitloom.operators.ordering import batch_id, next_in_group, with_rank
 from transitloom.operators.skew import HotKeys, hot_keys, skew_join
 from transitloom.operators.trip_join import join_trips_vehicles
@@ -142,3 +142,28 @@ def test_frequent_value_is_ranked_over_several_partitions(spark, monkeypatch):
     assert [row.v for row in found] == sorted(row.v for row in found)
     part = F.shiftright("_place", 33)
     assert stored[0].where("v = 7").select(part).distinct().count() > 2
+
+
+def test_a_bitmap_keeps_all_that_join_and_little_else(spark):
+    frame = spark.range(20_000).select(F.concat(F.lit("T_"), "id").alias("src"), "id")
+    frame = frame.unionByName(frame.where("id < 100")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) src, -1L id"))
+    ids = frame.where("id % 10 = 3").select("src").distinct()
+    kept = skew.maybe_in(frame, ids, "src", ids.count())
+    assert kept.columns == frame.columns
+    assert rows(kept.where("id % 10 = 3")) == rows(frame.where("id % 10 = 3"))
+    assert kept.count() < 2_010 + 18_000 / 8
+    assert skew.maybe_in(frame, ids.limit(0), "src", 0).isEmpty()
+
+
+def test_neighbourhoods_shuffle_only_links_that_may_join(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(
+        traversal, "maybe_in", lambda *args: kept.append(skew.maybe_in(*args)) or kept[-1])
+    pairs = [(k, k + 1000) for k in range(1000)] + [(0, k) for k in range(1, 50)]
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    seeds = spark.createDataFrame([(0,)], "id bigint")
+    found = traversal.neighborhood(edges, seeds, 2, broadcast_rows=10)
+    assert rows(found) == sorted(
+        [(0, 0), (1000, 1)] + [(k, 1) for k in range(1, 50)] + [(1000 + k, 2) for k in range(1, 50)], key=repr)
+    # Of the 2,098 links both ways few go to the join.
+    assert len(kept) == 1 and kept[0].count() < 99 + 50 + 200

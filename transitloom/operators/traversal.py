@@ -13,6 +13,7 @@ from transitloom.operators.skew import (
     HOT_SHARE,
     NO_KEYS,
     hot_keys,
+    maybe_in,
     skew_join,
     tasks_for,
 )
@@ -42,7 +43,8 @@ def neighborhood(
     """Nodes within ``k`` undirected steps of the seeds (column ``id``), with their distance.
 
     The edges are read once per step: pass a stored frame. They are not shuffled for a step
-    that starts from ``broadcast_rows`` nodes at most; beyond that hubs are salted.
+    that starts from ``broadcast_rows`` nodes at most; beyond that only edges that a broadcast
+    bitmap of hashed starts lets pass are, and hubs are salted.
     """
     links = both_ways(edges)
     hubs = None
@@ -51,12 +53,15 @@ def neighborhood(
     frontier = reached.select("id")
     for hop in range(1, k + 1):
         start = frontier.toDF("src")
-        if start.count() <= broadcast_rows:
+        size = start.count()
+        if size <= broadcast_rows:
             near = links.join(F.broadcast(start), "src", "left_semi")
         else:
             hubs = hot_keys(links, ["src"], hot_rows, hot_share) if hubs is None else hubs
+            # Starts differ; a semi join would be pushed below the bitmap's.
             near = skew_join(
-                links, start, ["src"], "left_semi", hot_rows, hot_share, unique_right=True, left_hot=hubs,
+                maybe_in(links, start, "src", size), start, ["src"], "inner", hot_rows, hot_share,
+                unique_right=True, left_hot=hubs,
             )
         found = near.select(F.col("dst").alias("id")).distinct()
         fresh = found.join(reached.select("id"), "id", "left_anti")
