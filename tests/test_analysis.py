@@ -258,6 +258,25 @@ def test_motifs(spark):
         motifs.find_motifs(relations, [("a", "RUNS", "b"), ("c", "HOP", "d")])
 
 
+def test_motif_searches_share_tables(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(motifs, "materialize", lambda df, name: names.append(name) or materialize(df, name))
+    runs = [(k % 7, k) for k in range(120)] + [(3, None), (5, 10), (5, 10)]
+    hops = [(k, k * k % 11) for k in range(5, 60)] + [(k, k % 4) for k in range(30)]
+    relations = motifs.stored_relations({"RUNS": _edges(spark, runs), "HOP": _edges(spark, hops)})
+    pattern = [("v1", "RUNS", "t1"), ("t1", "HOP", "p"), ("t2", "HOP", "p"), ("v2", "RUNS", "t2")]
+    found = motifs.find_motifs(relations, pattern, different=[("v1", "v2")], ordered=[("t1", "t2")])
+    runs = {pair for pair in runs if pair[1] is not None}
+    expected = [
+        (v, t, p, u, w) for v, t in runs for s, p in set(hops) if s == t
+        for u, q in set(hops) if q == p and t < u for w, x in runs if x == u and v != w
+    ]
+    assert rows(found, "v1", "t1", "p", "t2", "v2") == sorted(expected, key=repr) and expected
+    # Both halves of the pattern keep the same edges; the relations stay for the next search.
+    assert names.count("relation") == 2 and names.count("reduced") == 2
+    assert found.count() == motifs.find_motifs(relations, pattern, [("v1", "v2")], [("t1", "t2")]).count()
+
+
 def test_motifs_of_random_graphs(spark):
     pairs = sorted(set(_tangle(8, 12, 40)))
     edges = _edges(spark, pairs)

@@ -32,6 +32,16 @@ def _join_order(pattern: Sequence[Edge], sizes: Mapping[str, int]) -> list[int]:
     return order
 
 
+def stored_relations(relations: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The different whole edges of each relation as tables, for several searches: ``find_motifs``
+    takes them as they are and does not delete them."""
+    stored = {}
+    for name, frame in relations.items():
+        stored[name] = materialize(frame.select("src", "dst").dropna().distinct(), "relation")
+        stored[name]._links_differ = True
+    return stored
+
+
 def find_motifs(
     relations: Mapping[str, DataFrame],
     pattern: Sequence[Edge],
@@ -48,32 +58,49 @@ def find_motifs(
     as soon as their nodes are there. Edges with NULL ends are none, repeated ones count once.
 
     Before anything is expanded, every edge of the pattern keeps only what its neighbours can
-    continue, there and back along the join order. Joins salt hot nodes.
+    continue, there and back along the join order; edges that keep the same by the same steps
+    share one table. Joins salt hot nodes.
     """
-    used = {relation for _, relation, _ in pattern}
-    stored = {
-        name: materialize(relations[name].select("src", "dst").dropna().distinct(), "relation")
-        for name in sorted(used)
-    }
+    used = sorted({relation for _, relation, _ in pattern})
+    stored = {name: relations[name] for name in used if getattr(relations[name], "_links_differ", False)}
+    own = stored_relations({name: relations[name] for name in used if name not in stored})
+    stored |= own
     order = _join_order(pattern, {name: frame.count() for name, frame in stored.items()})
-    parts = {}
+    # Per edge of the pattern a table of ``src, dst``, and how it came about: equal ways, equal rows.
+    tables, ways, known = {}, {}, {}
     for place in order:
         a, relation, b = pattern[place]
-        frame = stored[relation].where("src = dst") if a == b else stored[relation]
-        parts[place] = frame.select(*{a: F.col("src").alias(a), b: F.col("dst").alias(b)}.values())
-        parts[place] = _checked(parts[place], different, ordered, set())
+        named = stored[relation].where("src = dst") if a == b else stored[relation]
+        named = named.select(*{a: F.col("src").alias(a), b: F.col("dst").alias(b)}.values())
+        kept = _checked(named, different, ordered, set())
+        ends = F.col(f"`{a}`").alias("src"), F.col(f"`{b}`").alias("dst")
+        tables[place] = kept.select(*ends)
+        special = kept is not named or a == b
+        ways[place] = (relation, place if special else None)
 
     def reduce_along(places):
         for at, place in enumerate(places):
-            reduced = parts[place]
+            reduced, way = tables[place], ways[place]
+            sides = dict(zip(pattern[place][::2], ("src", "dst")))
             for other in places[:at]:
-                for name in sorted(set(reduced.columns) & set(parts[other].columns)):
-                    reduced = reduced.join(parts[other].select(name).distinct(), name, "left_semi")
-            if reduced is not parts[place]:
-                parts[place] = materialize(reduced, "reduced")
+                theirs = dict(zip(pattern[other][::2], ("src", "dst")))
+                for name in sorted(sides.keys() & theirs.keys()):
+                    if ways[other] == way and theirs[name] == sides[name]:
+                        continue  # the same rows have the same ends
+                    ends = tables[other].select(F.col(theirs[name]).alias(sides[name])).distinct()
+                    reduced = reduced.join(ends, sides[name], "left_semi").select("src", "dst")
+                    way = (way, sides[name], ways[other], theirs[name])
+            if way != ways[place]:
+                if way not in known:
+                    known[way] = materialize(reduced, "reduced")
+                tables[place], ways[place] = known[way], way
 
     reduce_along(order)
     reduce_along(order[::-1])
+    parts = {}
+    for place in order:
+        a, _, b = pattern[place]
+        parts[place] = tables[place].select(*{a: F.col("src").alias(a), b: F.col("dst").alias(b)}.values())
     found = parts[order[0]]
     for place in order[1:]:
         shared = sorted(set(found.columns) & set(parts[place].columns))
@@ -82,7 +109,7 @@ def find_motifs(
         # Stored, since the next join looks for its hot keys first.
         found = materialize(_checked(joined, different, ordered, before), "motifs")
     if len(order) > 1:  # else the result reads the relation itself
-        for frame in stored.values():
+        for frame in own.values():
             discard(frame)
     names = list(dict.fromkeys(name for a, _, b in pattern for name in (a, b)))
     return found.select(*names)

@@ -89,12 +89,10 @@ def resolved_edges(facts: DataFrame) -> DataFrame:
 def motif_relations(facts: DataFrame, order: str) -> dict[str, DataFrame]:
     """Relations for patterns of trips: a vehicle runs a trip (EFFECTUE), a trip has a hop from
     one stop to the next by time (``HOP``), and a hop has the one back (``BACK``)."""
-    hops = materialize(
-        graph.stop_precede(facts, order).select(
-            F.concat(F.lit("T_"), F.col("trip_id").cast("string")).alias("trip"),
-            F.concat_ws(">", "stop1", "stop2").alias("hop"), F.concat_ws(">", "stop2", "stop1").alias("back"),
-        ),
-        "hops",
+    stored = materialize(graph.stop_precede(facts, order), "hops")
+    hops = stored.select(
+        F.concat(F.lit("T_"), F.col("trip_id").cast("string")).alias("trip"),
+        F.concat_ws(">", "stop1", "stop2").alias("hop"), F.concat_ws(">", "stop2", "stop1").alias("back"),
     )
     return {
         graph.EFFECTUE: graph.vehicle_trip_edges(facts).select(

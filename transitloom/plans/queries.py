@@ -582,7 +582,9 @@ def graph_triangles(spark, sf_dir):
 
 @_query
 def graph_motifs(spark, sf_dir):
-    relations = graph_tables.motif_relations(testdata.graph_facts(spark, sf_dir), "timestamp_seconds")
+    relations = motifs.stored_relations(
+        graph_tables.motif_relations(testdata.graph_facts(spark, sf_dir), "timestamp_seconds")
+    )
     runs, hop, back = graph.EFFECTUE, "HOP", "BACK"
     there_and_back = motifs.find_motifs(
         relations,
