@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from transitloom.operators import graph, ordering, skew, traversal
+from transitloom.operators import graph, ordering, skew, traversal, trip_join
 from transitloom.operators.ordering import batch_id, next_in_group, with_rank
-from transitloom.operators.skew import HotKeys, hot_keys, skew_join
+from transitloom.operators.skew import HotKeys, count_pairs, hot_keys, skew_join
 from transitloom.operators.trip_join import join_trips_vehicles
 from transitloom.plans import testdata
 from transitloom.storage import materialize
@@ -74,6 +74,27 @@ def test_hot_rows_are_spread_over_salts(spark, skewed):
     assert "_left_salt" in plan
 
 
+def test_pairs_of_a_join_are_counted(spark, skewed):
+    right = skewed.where("v < 60")
+    assert count_pairs(skewed, right, ["k"]) == skewed.join(right, "k").count()
+    assert count_pairs(skewed, right.where("k IS NULL"), ["k"]) == 0
+
+
+def test_few_rows_with_many_pairs_are_joined_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(trip_join, "TASK_PAIRS", 1000)
+    events = testdata.event_rows(spark, SF).withColumn("ts", F.date_trunc("month", "ts"))
+    trips, vehicles = testdata.trip_rows(events).coalesce(1), testdata.vehicle_rows(events).coalesce(1)
+    joined = join_trips_vehicles(trips, vehicles)
+    pairs = joined.count()
+    assert pairs > 1000 and joined.rdd.getNumPartitions() == -(-pairs // 1000)
+    sides = trips.select("route_id", "start_time", "start_date").alias("t").join(
+        vehicles.select("journey_id", "start_time", "start_date", F.col("route").alias("route_id")),
+        ["route_id", "start_time", "start_date"],
+    )
+    keys = ["route_id", "start_time", "start_date", "journey_id"]
+    assert rows(joined, *keys) == rows(sides, *keys)
+
+
 def test_trip_join_with_hot_start(spark):
     rows_ = testdata.event_rows(spark, SF).withColumn(
         "ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-05").cast("timestamp_ntz")).otherwise(F.col("ts"))
