@@ -47,6 +47,35 @@ def test_stream_join_equals_batch_join(spark, topics, tmp_path, salts):
     assert rows(spark.read.parquet(path), *expected.columns) == rows(expected)
 
 
+def test_trips_of_a_start_are_kept_as_one_row(spark, tmp_path):
+    events = testdata.event_rows(spark, SF).withColumn("ts", F.date_trunc("month", "ts"))
+    trips, vehicles = testdata.trip_rows(events), testdata.vehicle_rows(events)
+    for name, frame in (("trip", trips), ("vehicle", vehicles)):
+        encode_json(frame).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    streams = [
+        spark.readStream.schema("value binary").parquet(f"{tmp_path}/{name}") for name in ("trip", "vehicle")
+    ]
+    kept = []
+
+    def write(batch, epoch_id):
+        kept.append(batch.storageLevel)
+        sinks.table_writer(f"{tmp_path}/out")(batch, epoch_id)
+
+    job = store_joined_facts(*streams, [write], f"{tmp_path}/cp", None, available_now=True, salts=1)
+    job.awaitTermination()
+    # The join's state holds all vehicles, and the starts of the trips but not every trip.
+    state = next(
+        s for s in job.recentProgress[0]["stateOperators"] if s["operatorName"] == "symmetricHashJoin"
+    )
+    starts = trips.select("route_id", "start_date", "start_time").distinct().count()
+    assert 2 * starts < trips.count()
+    assert vehicles.count() < state["numRowsTotal"] <= vehicles.count() + 2 * starts
+    # One sink gets the rows as they come.
+    assert kept and not any(level.useMemory or level.useDisk for level in kept)
+    expected = join_trips_vehicles(trips, vehicles).drop("processed_time")
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), *expected.columns) == rows(expected)
+
+
 def test_stream_join_with_watermark_keeps_close_pairs(spark, topics, tmp_path):
     batches, stream = topics
     joined = join_trip_vehicle_streams(
