@@ -195,3 +195,55 @@ def test_late_rows_and_the_clock_of_the_test_tables(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/events")
     assert rows(stored.where("event_type <> 'clock'"), *events.columns) == rows(events)
     assert stored.select(F.input_file_name()).distinct().count() >= 4
+
+
+def test_trips_of_a_group_are_settled_like_the_batch(spark, tmp_path):
+    # More trips than groups, more alerts of a group than leave it in one row, all of it in one piece.
+    items = spark.range(30_000).selectExpr(
+        "CAST(id % 9000 AS STRING) AS trip_id", "id", "100000 + id % 7919 AS at", "CAST(id % 13 AS STRING) AS stop")
+    stops = "array(struct(stop AS stop_id, at AS arrival_time, at AS departure_time), " \
+            "struct('x' AS stop_id, at - id % 3 AS arrival_time, at AS departure_time))"
+    trips = items.selectExpr("trip_id", f"{stops} AS stop_time_updates")
+    seen = items.selectExpr("trip_id", "stop", "at + id % 1801 - 900 AS timestamp_seconds")
+    clock = spark.createDataFrame([(None, None, 900_000)], SEEN)
+    for name, frame in (("trips", trips), ("trips", trips.limit(0)), ("seen", seen), ("seen", clock)):
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+    streams = [
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+        for name, schema in (("trips", TRIPS), ("seen", SEEN))
+    ]
+    alerts = trip_alert_stream(*streams, watermark="1 hour")
+    job = _run(alerts, tmp_path, "alerts")
+    stored = spark.read.schema(alerts.schema).parquet(f"{tmp_path}/alerts")
+    expected = enrichment.trip_alerts(trips, seen)
+    assert stored.count() == expected.count() > 30_000
+    assert stored.exceptAll(expected).isEmpty()
+    assert max(state["numRowsTotal"] for step in job.recentProgress for state in step["stateOperators"]) <= 256
+    assert job.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_a_piece_of_several_files_is_taken_whole(spark, tmp_path):
+    # One event an hour in no order, with one, five and four files a piece.
+    events = spark.range(2_000).repartition(8).selectExpr(
+        "id AS event_id", "timestamp_seconds(1700000000 + id * 3600) AS ts", "'seen' AS event_type")
+    clock = {"ts": "2100-01-01 00:00:00", "event_type": "clock"}
+    for pieces, options in ((4, {}), (4, {"file_rows": 100}), (10, {"piece_rows": 200, "file_rows": 60})):
+        folder = f"{tmp_path}/{len(options)}"
+        files = testdata.arriving(events, "ts", "event_id", clock, folder, **options)
+        stream = testdata.arriving_stream(spark, folder, events, files)
+        again = testdata.arriving_stream(spark, folder, stream)
+        assert again._files == files == {0: 1, 1: 5, 2: 4}[len(options)]
+        assert len(spark.read.parquet(folder).inputFiles()) == pieces * files + 1
+        windows = stream.withWatermark("ts", "4 days").groupBy(F.window("ts", "1 hour")).count()
+        _run(windows.select("count"), tmp_path, f"windows-{len(options)}")
+        assert spark.read.parquet(f"{tmp_path}/windows-{len(options)}").agg(F.sum("count")).first()[0] == 2_000
+
+
+def test_pieces_with_few_rows_have_as_many_files(spark, tmp_path):
+    # Nearly all events come in the first piece.
+    events = spark.range(1_000).selectExpr(
+        "id AS event_id", "timestamp_seconds(1700000000 + if(id = 999, 8640000, id)) AS ts")
+    folder = f"{tmp_path}/events"
+    assert testdata.arriving(events, "ts", "event_id", {"ts": "2100-01-01 00:00:00"}, folder, file_rows=50) == 5
+    assert len(spark.read.parquet(folder).inputFiles()) == 21
+    assert spark.read.parquet(folder).where("event_id IS NOT NULL").count() == 1_000

@@ -308,34 +308,52 @@ def graph_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def arriving(rows: DataFrame, moment: str, key: str, clock: dict, folder: str, pieces: int = 4) -> None:
-    """Store rows as files in the order they arrive, some of them one or two days late by ``key``.
-
-    A last file holds one row with nothing but ``clock``, much later than all others: it tells
-    a stream that their time is over.
+def arriving(
+    rows: DataFrame, moment: str, key: str, clock: dict, folder: str, pieces: int = 4,
+    piece_rows: int = 10_000_000, file_rows: int = 1_000_000,
+) -> int:
+    """Store rows in pieces in the order they arrive, some of them one or two days late by ``key``.
+
+    There are ``pieces`` of them, or more where one would get more than ``piece_rows``. A last file
+    holds one row with nothing but ``clock``, much later than all others: it tells a stream that
+    their time is over.
+
+    Returns how many files a piece has, every piece as many: its rows lie in them in no order,
+    so a stream has to take it whole, or it would find those of the next file late.
     """
+    spark = rows.sparkSession
     arrival = F.unix_timestamp(F.col(moment).cast("timestamp")) + F.pmod(key, F.lit(3)) * 86400
-    ends = rows.agg(F.min(arrival).alias("first"), F.max(arrival).alias("last")).first()
+    ends = rows.agg(F.min(arrival).alias("first"), F.max(arrival).alias("last"), F.count("*").alias("rows")).first()
+    pieces = max(pieces, -(-ends["rows"] // piece_rows))
+    files = max(1, -(-ends["rows"] // (pieces * file_rows)))
     span = (ends["last"] - ends["first"] + pieces) // pieces
     for piece in range(pieces):
         own = rows.where(F.floor((arrival - ends["first"]) / span) == piece)
-        own.write.mode("append").parquet(folder)
-    last = rows.sparkSession.range(1).select(
+        own.repartition(files).write.mode("append").parquet(folder)
+        stored = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+        for _ in range((piece + 1) * files - stored):  # a task without rows writes no file
+            rows.limit(0).write.mode("append").parquet(folder)
+    last = spark.range(0, 1, 1, 1).select(
         *[F.lit(clock.get(field.name)).cast(field.dataType).alias(field.name) for field in rows.schema]
     )
     last.write.mode("append").parquet(folder)
+    return files
 
 
-def arriving_stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
-    """The stored rows as a stream, file after file."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def arriving_stream(spark: SparkSession, folder: str, like: DataFrame, files: int | None = None) -> DataFrame:
+    """The stored rows as a stream, piece after piece of so many files (those of ``like``, a stream
+    of the same folder)."""
+    files = files or like._files
+    stream = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    stream._files = files
+    return stream
 
 
 def arriving_events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """All events as they arrive, and the clock."""
     rows = event_rows(spark, sf_dir)
-    arriving(rows, "ts", "event_id", {"ts": "2100-01-01 00:00:00", "event_type": "clock"}, folder)
-    return arriving_stream(spark, folder, rows)
+    files = arriving(rows, "ts", "event_id", {"ts": "2100-01-01 00:00:00", "event_type": "clock"}, folder)
+    return arriving_stream(spark, folder, rows, files)
 
 
 def arriving_items(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
@@ -344,8 +362,8 @@ def arriving_items(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
     clock = {"l_shipdate": "2100-01-01 00:00:00", "l_quantity": 25.0}
-    arriving(rows, "l_shipdate", "l_orderkey", clock, folder)
-    return arriving_stream(spark, folder, rows)
+    files = arriving(rows, "l_shipdate", "l_orderkey", clock, folder)
+    return arriving_stream(spark, folder, rows, files)
 
 
 def planned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
