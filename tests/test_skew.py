@@ -95,6 +95,19 @@ def test_few_rows_with_many_pairs_are_joined_by_several_tasks(spark, monkeypatch
     assert rows(joined, *keys) == rows(sides, *keys)
 
 
+def test_facts_of_a_vehicle_row_follow_each_other(spark):
+    name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set(name, -1)
+    try:
+        events = testdata.event_rows(spark, SF).withColumn("ts", F.date_trunc("month", "ts"))
+        joined = join_trips_vehicles(testdata.trip_rows(events), testdata.vehicle_rows(events))
+        found = [row[0] for row in joined.select("journey_id").collect()]
+    finally:
+        spark.conf.unset(name)
+    runs = sum(one != before for one, before in zip(found, [None, *found], strict=False))
+    assert len(found) > 2 * runs and runs == len(set(found))
+
+
 def test_trip_join_with_hot_start(spark):
     rows_ = testdata.event_rows(spark, SF).withColumn(
         "ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-05").cast("timestamp_ntz")).otherwise(F.col("ts"))
