@@ -61,6 +61,26 @@ def test_compressed_csv_is_read_back(spark, tmp_path, monkeypatch):
     assert sum(file.stat().st_size for file in small) * 5 < plain[0].stat().st_size
 
 
+def test_a_constant_time_is_told_once(spark, tmp_path):
+    frame = spark.range(3).selectExpr(
+        "id", "current_timestamp() AS `made.at`", "timestamp '2024-03-01 10:00:00.123456' AS early",
+        "if(id = 1, NULL, timestamp_micros(id * 3000000000000123)) AS at", "date '2024-03-01' AS day",
+        "timestamp_ntz '2024-03-01 10:00:00' AS ntz")
+    plan = files._with_time_text(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format") == 1  # the time that differs between rows
+    frame = frame.drop("made.at").coalesce(1)
+    for zone in ("UTC", "Asia/Kolkata"):
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            frame.write.mode("overwrite").option("header", True).csv(f"{tmp_path}/spark")
+            assert files.write_csv(frame, f"{tmp_path}/own")
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        own, spark_own = (next((tmp_path / name).glob("part-*.csv")).read_text() for name in ("own", "spark"))
+        assert own == spark_own and own.count("\n") == 4
+
+
 def test_empty_frames_can_be_skipped(spark, tmp_path):
     empty = spark.createDataFrame([], PREDICTIONS)
     assert not files.write_csv(empty, f"{tmp_path}/p", skip_empty=True)
